@@ -7,43 +7,55 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+TIMES = "_veces"
+
 
 @dataclass(frozen=True)
 class JoinLimits:
-    """``broadcast_rows``: largest side sent to every executor.
+    """``broadcast_bytes``: largest side sent to every executor, measured when it was written.
     ``rows_per_piece``: a key with more rows than this is spread over several tasks."""
 
-    broadcast_rows: int = 1_000_000
+    broadcast_bytes: int = 64 << 20
     rows_per_piece: int = 2_000_000
 
 
 DEFAULT_LIMITS = JoinLimits()
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_piece: int) -> DataFrame:
+def key_counts(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
+    """Rows per key, with further aggregates; combined before the shuffle."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(TIMES),
+                                 *[col.alias(name) for name, col in aggregates.items()])
+
+
+def repeated_keys(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
+    """Keys that occur more than once, with their row count in ``TIMES``."""
+    return key_counts(df, keys, **aggregates).where(F.col(TIMES) > 1)
+
+
+def hot_keys(counts: DataFrame, keys: list[str], rows_per_piece: int) -> DataFrame:
     """Keys with more than ``rows_per_piece`` rows and the number of pieces to cut them into.
 
-    Counts are combined before the shuffle. At most ``rows / rows_per_piece`` keys can qualify,
-    which bounds the result for any input.
+    At most one key per ``rows_per_piece`` rows can qualify, which bounds the result for any
+    input and makes it safe to broadcast.
     """
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > rows_per_piece)
-            .select(*keys, F.ceil(F.col("_n") / rows_per_piece).cast("int").alias("_piezas")))
+    return (counts.where(F.col(TIMES) > rows_per_piece)
+            .select(*keys, F.ceil(F.col(TIMES) / rows_per_piece).cast("int").alias("_piezas")))
 
 
-def attach(left: DataFrame, right: DataFrame, keys: list[str], *, right_rows: int,
-           salt_by: list[str], counted: DataFrame | None = None,
+def attach(left: DataFrame, right: DataFrame, keys: list[str], *, right_bytes: int,
+           counts: DataFrame, salt_by: list[str],
            limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
     """Left join against ``right``, which holds each key once.
 
-    A right side known to be small is broadcast, so ``left`` is not moved. Otherwise both sides
+    A right side measured as small is broadcast, so ``left`` is not moved. Otherwise both sides
     are shuffled on key and piece: rows of a hot key are spread over its pieces by a hash of
-    ``salt_by``, and only hot keys are repeated on the right. ``counted`` may name a cheaper
-    frame with the same keys, and at least as many rows, to find hot keys in.
+    ``salt_by``, and only hot keys are repeated on the right. ``counts`` holds rows per key
+    (``TIMES``) for the hot keys at least; it is read in the second case only.
     """
-    if right_rows <= limits.broadcast_rows:
+    if right_bytes <= limits.broadcast_bytes:
         return left.join(F.broadcast(right), keys, "left")
-    hot = F.broadcast(hot_keys(left if counted is None else counted, keys, limits.rows_per_piece))
+    hot = F.broadcast(hot_keys(counts, keys, limits.rows_per_piece))
     pieces = F.coalesce(F.col("_piezas"), F.lit(1))
     spread = (left.join(hot, keys, "left")
               .withColumn("_pieza", F.when(pieces > 1, F.pmod(F.xxhash64(*salt_by), pieces))
@@ -53,11 +65,3 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], *, right_rows: in
               .withColumn("_pieza", F.explode(F.sequence(F.lit(0), pieces - 1)))
               .drop("_piezas"))
     return spread.join(copies, [*keys, "_pieza"], "left").drop("_pieza")
-
-
-def repeated_keys(df: DataFrame, key: str, **aggregates: Column) -> DataFrame:
-    """Keys that occur more than once, with aggregates over each; map-side combined."""
-    return (df.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_veces"),
-                 *[col.alias(name) for name, col in aggregates.items()])
-            .where(F.col("_veces") > 1).drop("_veces"))

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from creditmart.model import (CANALES, CLIENTES, CREDITOS, ENTITIES, LINEAGE, METODOS_PAGO, ORDER,
                               PAGOS, PRODUCTOS, Entity)
 from creditmart.operators.cleanse import SOURCE_TEXT
-from creditmart.operators.lookup import (DEFAULT_LIMITS, JoinLimits, attach, repeated_keys)
+from creditmart.operators.lookup import (DEFAULT_LIMITS, TIMES, JoinLimits, attach, key_counts,
+                                         repeated_keys)
 from creditmart.sources.tables import Scratch, Stored
 
 RULE, SEVERITY, MOTIVES, PAYLOAD = "_regla", "_severidad", "_motivos", "_payload"
@@ -150,7 +151,8 @@ def judge(df: DataFrame, checks: list[Check]) -> DataFrame:
     def pick(parts: list[Column]) -> Column:
         return F.coalesce(*[F.when(failed == i, part) for i, part in enumerate(parts)])
 
-    messages = [F.array(*[F.when(cond, text) for cond, text in c.motives]) for c in checks]
+    messages = [F.array_compact(F.array(*[F.when(cond, text) for cond, text in c.motives]))
+                for c in checks]
     return (df.withColumn("_control", first)
             .withColumns({RULE: pick([F.lit(c.rule) for c in checks]),
                           SEVERITY: pick([F.lit(c.severity) for c in checks]),
@@ -176,17 +178,22 @@ def with_payload(entity: Entity, judged: DataFrame) -> DataFrame:
 def mark_first(entity: Entity, df: DataFrame, scratch: Scratch,
                limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
     """Give rows of a repeated key the order of its first row. Only repeated keys are joined."""
-    repeated = scratch.save(repeated_keys(df, entity.key, **{FIRST: F.min(ORDER)}),
-                            f"{entity.name}-repeated")
-    return attach(df, repeated.df, [entity.key], right_rows=repeated.rows, salt_by=[ORDER],
-                  counted=df.select(entity.key), limits=limits)
+    repeated = scratch.save(repeated_keys(df, [entity.key], **{FIRST: F.min(ORDER)}),
+                            f"{entity.name}-repeated", entity.key)
+    return attach(df, repeated.df.drop(TIMES), [entity.key], right_bytes=repeated.lookup_bytes,
+                  counts=repeated.df, salt_by=[ORDER], limits=limits)
 
 
-def mark_parent(df: DataFrame, foreign_key: str, parents: DataFrame, parent_rows: int,
+def mark_parent(df: DataFrame, foreign_key: str, parents: DataFrame, parent_bytes: int,
                 counted: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
-    """Bring the parent's columns, and ``PARENT`` where there is one. ``parents`` has unique keys."""
+    """Bring the parent's columns, and ``PARENT`` where there is one.
+
+    ``parents`` has unique keys. ``counted`` is a frame to count foreign keys in: any that holds
+    every row of ``df``, so the cheapest to read.
+    """
     return attach(df, parents.withColumn(PARENT, F.lit(True)), [foreign_key],
-                  right_rows=parent_rows, salt_by=[ORDER], counted=counted, limits=limits)
+                  right_bytes=parent_bytes, counts=key_counts(counted, [foreign_key]),
+                  salt_by=[ORDER], limits=limits)
 
 
 def flag_shared(entity: Entity, judged: Stored, scratch: Scratch,
@@ -196,9 +203,10 @@ def flag_shared(entity: Entity, judged: Stored, scratch: Scratch,
     valid = F.col(RULE).isNull()
     for column, flag, _ in entity.duplicate_flags:
         candidates = judged.df.where(valid & (F.col(column) != "")).select(column)
-        shared = scratch.save(repeated_keys(candidates, column), f"{entity.name}-{flag}")
-        df = attach(df, shared.df.withColumn(flag, F.lit(True)), [column],
-                    right_rows=shared.rows, salt_by=[ORDER], counted=candidates, limits=limits)
+        shared = scratch.save(repeated_keys(candidates, [column]), f"{entity.name}-{flag}", column)
+        df = attach(df, shared.df.drop(TIMES).withColumn(flag, F.lit(True)), [column],
+                    right_bytes=shared.lookup_bytes, salt_by=[ORDER], limits=limits,
+                    counts=key_counts(judged.df, [column]))
         df = df.withColumn(flag, valid & F.coalesce(F.col(flag), F.lit(False)))
     return df
 
@@ -218,7 +226,7 @@ def valid_rows(judged: DataFrame) -> DataFrame:
 
 def entity_errors(entity: Entity, judged: DataFrame, run_id: str) -> DataFrame:
     """One error per motive of a failing row, and one per shared value of a valid row."""
-    lines = F.transform(F.array_compact(F.coalesce(F.col(MOTIVES), F.array().cast("array<string>"))),
+    lines = F.transform(F.coalesce(F.col(MOTIVES), F.array().cast("array<string>")),
                         lambda m: F.struct(F.col(RULE).alias("regla_id"),
                                            F.col(SEVERITY).alias("severidad"), m.alias("motivo")))
     shared = [F.when(F.col(flag), F.struct(

@@ -56,12 +56,7 @@ class Warehouse:
 
     @cached_property
     def clean(self) -> dict[str, DataFrame]:
-        return cleanse_all({name: self._spread(df) for name, df in self.raw.items()})
-
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """Deal rows out when a source has fewer splits than there are cores; large ones never do."""
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, ORDER) if df.rdd.getNumPartitions() < cores else df
+        return cleanse_all(self.raw)
 
     # --- Judged entities ------------------------------------------------------------------
 
@@ -77,7 +72,8 @@ class Warehouse:
         judged = quality.judge(marked, checks).drop(quality.FIRST)
         flagged = self._flagged(CLIENTES, judged, "clientes-judged")
         return self.scratch.save(
-            arrange(flagged, F.col(quality.RULE).isNull(), [ORDER, CLIENTES.key]), "clientes")
+            arrange(flagged, F.col(quality.RULE).isNull(), [ORDER, CLIENTES.key]), "clientes",
+            CLIENTES.key)
 
     @cached_property
     def _customer_keys(self) -> DataFrame:
@@ -95,7 +91,7 @@ class Warehouse:
         loans = self.clean["creditos"]
         marked = quality.mark_first(CREDITOS, loans, self.scratch, self.limits)
         owned = quality.mark_parent(marked, "cliente_id", self._customer_keys,
-                                    self.judged_clientes.rows, loans.select("cliente_id"),
+                                    self.judged_clientes.lookup_bytes, loans.select("cliente_id"),
                                     self.limits)
         checks = [quality.duplicate_check(CREDITOS), quality.orphan_check("cliente_id"),
                   *quality.row_checks(CREDITOS)]
@@ -108,7 +104,8 @@ class Warehouse:
         final = (keyed.withColumn(DISCARD, F.when(valid, star.loan_discard(self.start, self.end)))
                  .drop(quality.FIRST, quality.PARENT))
         return self.scratch.save(
-            arrange(final, valid & F.col(DISCARD).isNull()), "creditos")
+            arrange(final, valid & F.col(DISCARD).isNull()), "creditos",
+                                 CREDITOS.key)
 
     @cached_property
     def _loan_keys(self) -> DataFrame:
@@ -128,7 +125,7 @@ class Warehouse:
         payments = self.clean["pagos"]
         marked = quality.mark_first(PAGOS, payments, self.scratch, self.limits)
         owned = quality.mark_parent(marked, "credito_id", self._loan_keys,
-                                    self.judged_creditos.rows, payments.select("credito_id"),
+                                    self.judged_creditos.lookup_bytes, payments.select("credito_id"),
                                     self.limits)
         checks = [quality.duplicate_check(PAGOS), quality.orphan_check("credito_id"),
                   *quality.row_checks(PAGOS)]

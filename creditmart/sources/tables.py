@@ -1,8 +1,8 @@
 """Table storage: scratch tables for one build, and published layers with an atomic switch.
 
 Everything is Parquet under one root. ``Scratch`` holds the intermediate tables of a build;
-they cut lineage, survive the loss of executors, and carry a row count that later joins use
-to decide whether a side may be broadcast. ``TableStore`` holds the layers readers see: each
+they cut lineage, survive the loss of executors, and carry the size that later joins use to
+decide whether a side may be broadcast. ``TableStore`` holds the layers readers see: each
 run writes to its own ``run_id=`` folder and a publication row appended last makes it current,
 so no reader meets a half-written load.
 """
@@ -19,13 +19,22 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+ROW_OVERHEAD = 64        # bytes a row takes in a hash table besides its key
+
+
 @dataclass(frozen=True)
 class Stored:
-    """A written table and its row count."""
+    """A written table, its row count, and the total bytes of its lookup key."""
 
     df: DataFrame
     rows: int
     path: str
+    key_bytes: int = 0
+
+    @property
+    def lookup_bytes(self) -> int:
+        """Memory its keys would take as the broadcast side of a lookup, with short payloads."""
+        return self.key_bytes + self.rows * ROW_OVERHEAD
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "errorifexists",
@@ -52,6 +61,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it lives on."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a bare scan out when it has fewer splits than there are cores.
+
+    Large inputs have more splits than cores and are left as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, *keys) if scan.rdd.getNumPartitions() < cores else scan
+
+
 class Scratch:
     """Intermediate tables of one build, each under a name used once."""
 
@@ -59,11 +84,17 @@ class Scratch:
         self.spark = spark
         self.path = f"{root or scratch_root(spark)}/build-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str) -> Stored:
+    def save(self, df: DataFrame, name: str, key: str | None = None) -> Stored:
         path = f"{self.path}/{name}"
         schema = df.schema
-        rows = write_counted(df, path)["rows"]
-        return Stored(self.spark.read.schema(schema).parquet(path), rows, path)
+        size = F.coalesce(F.sum(F.octet_length(key)), F.lit(0)) if key else F.lit(0)
+        seen = write_counted(df, path, key_bytes=size)
+        return Stored(self.spark.read.schema(schema).parquet(path), seen["rows"], path,
+                      seen["key_bytes"])
+
+    def drop(self) -> None:
+        """Delete all tables of the build. Frames that read them no longer work."""
+        delete_folder(self.spark, self.path)
 
 
 class TableStore:
@@ -104,6 +135,17 @@ class TableStore:
         latest = log.where(F.col("capa") == layer).agg(F.max_by("run_id", "publicado_en")).first()
         return latest[0]
 
+    def drop_superseded(self, layer: str) -> list[str]:
+        """Delete every published run of a layer but the current one. Call when no reader is left."""
+        log = self._read(f"{self.root}/_publicaciones", self.LOG_SCHEMA)
+        current = self.current_run(layer)
+        runs = [] if log is None else [r.run_id for r in log.where(F.col("capa") == layer)
+                                       .select("run_id").distinct().collect()]   # one per run
+        old = sorted(r for r in runs if r != current)
+        for run_id in old:
+            delete_folder(self.spark, f"{self.root}/{layer}/run_id={run_id}")
+        return old
+
     def read(self, layer: str, table: str) -> DataFrame:
         run_id = self.current_run(layer)
         if run_id is None:

@@ -156,7 +156,7 @@ f_credito as (select credito_id, cliente_id, cliente_sk, segmento,
   case when fecha_vencimiento between date '{START}' and date '{END}' then fecha_vencimiento end as fecha_vencimiento,
   cast(monto_aprobado as decimal(18,2)) as monto, plazo_meses as plazo,
   cast(tasa_interes_mensual as decimal(8,4)) as tasa,
-  case when estado_credito in ('Mora', 'Vencido') then greatest(coalesce(corte.fecha - m.fecha_vencimiento, 0), 0) else 0 end as dias_mora,
+  case when estado_credito in ('Mora', 'Vencido') then cast(greatest(coalesce(corte.fecha - m.fecha_vencimiento, 0), 0) as integer) else 0 end as dias_mora,
   estado_credito = 'Activo' as es_activo, estado_credito = 'Mora' as es_mora
   from m_creditos m, corte where _cl is not null),
 n_pagos as (select pg.*, m.cliente_sk, m.cliente_id, m.segmento from v_pagos pg
@@ -175,8 +175,8 @@ festivos as (select anio, dia from (
   union select anio, d + cast((8 - isodow(d)) % 7 as integer) as dia from (
     select anio, unnest([make_date(anio, 1, 6), make_date(anio, 3, 19), make_date(anio, 6, 29), make_date(anio, 8, 15),
       make_date(anio, 10, 12), make_date(anio, 11, 1), make_date(anio, 11, 11), dia + 39, dia + 60, dia + 68]) as d from pascua))),
-calendario as (select cast(strftime(dia, '%Y%m%d') as integer) as tiempo_sk, dia as fecha, year(dia) as anio, month(dia) as mes,
-  day(dia) as dia, quarter(dia) as trimestre, week(dia) as semana_anio,
+calendario as (select cast(strftime(dia, '%Y%m%d') as integer) as tiempo_sk, dia as fecha, cast(year(dia) as smallint) as anio, cast(month(dia) as smallint) as mes,
+  cast(day(dia) as smallint) as dia, cast(quarter(dia) as smallint) as trimestre, cast(week(dia) as smallint) as semana_anio,
   ['Enero', 'Febrero', 'Marzo', 'Abril', 'Mayo', 'Junio', 'Julio', 'Agosto', 'Septiembre', 'Octubre', 'Noviembre', 'Diciembre'][month(dia)] as nombre_mes,
   ['Lunes', 'Martes', 'Miercoles', 'Jueves', 'Viernes', 'Sabado', 'Domingo'][isodow(dia)] as nombre_dia,
   isodow(dia) >= 6 as es_fin_semana, dia in (select festivos.dia from festivos) as es_festivo_co
@@ -301,7 +301,7 @@ SQL: dict[str, str] = {
  left join f_credito f on f.fecha_solicitud = c.fecha group by all"""),
     "holidays": _on_chain("""select h.anio, h.dia as fecha, count(f.pago_id) as num_pagos from festivos h
  left join f_pago f on f.fecha_pago = h.dia group by h.anio, h.dia"""),
-    "dim_seeds": _on_chain("""select d.dimension, d.sk, d.id, d.nombre, d.detalle, count(f.nombre) as num_hechos from (values
+    "dim_seeds": _on_chain("""select d.dimension, cast(d.sk as bigint) as sk, d.id, d.nombre, d.detalle, count(f.nombre) as num_hechos from (values
  ('producto', 1, 'MICRO', 'Microcredito', ''), ('producto', 2, 'LIBRE_INV', 'Libre inversion', ''),
  ('producto', 3, 'CAP_TRABAJO', 'Capital trabajo', ''), ('producto', 4, 'CONSUMO', 'Consumo', ''),
  ('canal', 1, 'ALIADO', 'Aliado', ''), ('canal', 2, 'WEB', 'Web', ''), ('canal', 3, 'APP', 'App', ''),
@@ -320,7 +320,7 @@ SQL: dict[str, str] = {
  cast(monto as double) as monto_aprobado, plazo as plazo_meses, cast(tasa as double) as tasa_interes_mensual, dias_mora from f_credito"""),
     "fact_pago": _on_chain(f"""select pago_id, credito_id, cliente_sk, metodo as metodo_pago, {_KEY.format('fecha_pago')} as tiempo_pago_sk,
  cast(monto as double) as monto_pago, estado as estado_pago, referencia_transaccion, flag_referencia_duplicada from f_pago"""),
-    "fact_key_sequences": _on_chain("""select 'fact_credito' as tabla, count(*) as filas, 1 as primera, count(*) as ultima, count(*) as distintas from f_credito
+    "fact_key_sequences": _on_chain("""select 'fact_credito' as tabla, count(*) as filas, cast(1 as bigint) as primera, count(*) as ultima, count(*) as distintas from f_credito
  union all select 'fact_pago', count(*), 1, count(*), count(*) from f_pago
  union all select 'dim_cliente', count(*), 1, count(*), count(*) from v_clientes"""),
     "star_discards": _on_chain(f"""select 'fact_credito' as tabla, credito_id as clave, 'fecha fuera de calendario' as motivo from v_creditos
@@ -343,7 +343,7 @@ SQL: dict[str, str] = {
  {_n("estado = 'Reversado'")} as pagos_reversados, {_pct(_n("estado = 'Fallido'"), 'count(*)')} as tasa_fallo_pct,
  {_mean('sum(monto)', 'count(*)')} as monto_promedio_transaccion
  from f_pago join calendario c on fecha_pago = c.fecha group by c.anio, c.mes, c.nombre_mes"""),
-    "cosecha_morosidad": _on_chain(f"""select year(fecha_desembolso) as anio_cosecha, month(fecha_desembolso) as mes_cosecha, producto,
+    "cosecha_morosidad": _on_chain(f"""select cast(year(fecha_desembolso) as smallint) as anio_cosecha, cast(month(fecha_desembolso) as smallint) as mes_cosecha, producto,
  count(*) as total_creditos, {_n(_WORSE)} as creditos_deteriorados, {_pct(_n(_WORSE), 'count(*)')} as tasa_deterioro_pct,
  {_mean('sum(monto)', 'count(*)')} as monto_promedio from f_credito where fecha_desembolso is not null group by 1, 2, 3"""),
     "kpi_resumen": _on_chain(f"""select 1 as id, l.*, p.* from (select {_n('es_activo')} as cartera_activa_count,
@@ -383,7 +383,7 @@ SQL: dict[str, str] = {
  max(dias_mora) as max_dias_mora from f_credito f join v_clientes c on f.cliente_sk = c.cliente_sk
  where estado not in ('Rechazado', 'Cancelado', 'Pagado')
  group by c.cliente_id, c.nombres, c.apellidos, c.segmento, c.ciudad having count(*) > 1"""),
-    "q7_cosecha": _on_chain(f"""select year(fecha_desembolso) as anio_cosecha, month(fecha_desembolso) as mes_cosecha, producto,
+    "q7_cosecha": _on_chain(f"""select cast(year(fecha_desembolso) as smallint) as anio_cosecha, cast(month(fecha_desembolso) as smallint) as mes_cosecha, producto,
  count(*) as total_creditos, {_n(_WORSE)} as creditos_deteriorados, {_pct(_n(_WORSE), 'count(*)')} as tasa_deterioro_pct,
  {_mean_round('sum(monto)', 'count(*)', 2, 0)} as monto_promedio from f_credito where fecha_desembolso is not null group by 1, 2, 3"""),
     "run_health": _on_chain("""select run_id, started_at, finished_at, status,
