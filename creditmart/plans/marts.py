@@ -14,11 +14,28 @@ from pyspark.sql import functions as F
 from creditmart.functions import masking
 from creditmart.functions.numeric import count_when, mean, percentage, rounded_mean, sum_when
 
-REJECTED = F.col("estado") == "Rechazado"
-ACTIVE, ARREARS = F.col("es_activo"), F.col("es_mora")
-OVERDUE = F.col("estado") == "Vencido"
-ZERO = F.lit(0).cast("decimal(18,2)")
-AMOUNT, RATE = F.col("monto_aprobado"), F.col("tasa_interes_mensual")
+AMOUNT = "monto_aprobado"
+
+
+def active() -> Column:
+    return F.col("es_activo")
+
+
+def arrears() -> Column:
+    return F.col("es_mora")
+
+
+def approved() -> Column:
+    return F.col("estado") != "Rechazado"
+
+
+def overdue() -> Column:
+    return F.col("estado") == "Vencido"
+
+
+def total_when(condition: Column, amount: str) -> Column:
+    """Sum over the rows that meet the condition, 0 when there are none."""
+    return F.coalesce(sum_when(condition, F.col(amount)), F.lit(0).cast("decimal(18,2)"))
 
 
 def with_state(dw, facts: DataFrame) -> DataFrame:
@@ -61,7 +78,7 @@ def by_segment_and_product(dw, loans: DataFrame) -> DataFrame:
 
 def cartera_vigente(dw) -> DataFrame:
     """Active portfolio by segment and product."""
-    return by_segment_and_product(dw, with_state(dw, dw.fact_credito).where(ACTIVE)).select(
+    return by_segment_and_product(dw, with_state(dw, dw.fact_credito).where(active())).select(
         "segmento", "producto", F.col("n").alias("num_creditos"), F.col("monto").alias("monto_total"),
         mean(F.col("tasa"), F.col("n_tasa")).alias("tasa_promedio"),
         mean(F.col("plazo"), F.col("n")).alias("plazo_promedio_meses"))
@@ -69,41 +86,41 @@ def cartera_vigente(dw) -> DataFrame:
 
 def morosidad_por_producto(dw) -> DataFrame:
     """Arrears by product."""
-    n, late = F.count(F.lit(1)), count_when(ARREARS)
+    n, late = F.count(F.lit(1)), count_when(arrears())
     return (with_product(dw, with_state(dw, dw.fact_credito)).groupBy("producto")
             .agg(n.alias("total_creditos"), late.alias("creditos_mora"),
-                 count_when(OVERDUE).alias("creditos_vencidos"),
+                 count_when(overdue()).alias("creditos_vencidos"),
                  percentage(late, n).alias("tasa_mora_pct"),
-                 mean(sum_when(ARREARS, F.col("dias_mora")), late).alias("dias_mora_promedio")))
+                 mean(sum_when(arrears(), F.col("dias_mora")), late).alias("dias_mora_promedio")))
 
 
 def efectividad_canal(dw) -> DataFrame:
     """Approval by channel."""
-    n, approved = F.count(F.lit(1)), count_when(~REJECTED)
+    n, accepted = F.count(F.lit(1)), count_when(approved())
     return (with_channel(dw, with_state(dw, dw.fact_credito)).groupBy("canal")
-            .agg(n.alias("total_solicitudes"), approved.alias("aprobados"),
-                 percentage(approved, n).alias("tasa_aprobacion_pct"),
-                 mean(sum_when(~REJECTED, AMOUNT), approved).alias("ticket_promedio_aprobado")))
+            .agg(n.alias("total_solicitudes"), accepted.alias("aprobados"),
+                 percentage(accepted, n).alias("tasa_aprobacion_pct"),
+                 mean(sum_when(approved(), F.col(AMOUNT)), accepted).alias("ticket_promedio_aprobado")))
 
 
 def pagos_diarios(dw) -> DataFrame:
     """Collections by month. The average covers payments in every state."""
-    state, amount = F.col("estado_pago"), F.col("monto_pago")
+    state = F.col("estado_pago")
     n, failed = F.count(F.lit(1)), count_when(state == "Fallido")
     return (with_calendar(dw, dw.fact_pago, "tiempo_pago_sk", "anio", "mes", "nombre_mes")
             .groupBy("anio", "mes", "nombre_mes")
             .agg(n.alias("total_transacciones"),
-                 F.coalesce(sum_when(state == "Exitoso", amount), ZERO).alias("monto_recaudado"),
+                 total_when(state == "Exitoso", "monto_pago").alias("monto_recaudado"),
                  failed.alias("pagos_fallidos"),
                  count_when(state == "Reversado").alias("pagos_reversados"),
                  percentage(failed, n).alias("tasa_fallo_pct"),
-                 mean(F.sum(amount), n).alias("monto_promedio_transaccion"))
+                 mean(F.sum("monto_pago"), n).alias("monto_promedio_transaccion"))
             .orderBy("anio", "mes"))
 
 
 def cosecha_morosidad(dw) -> DataFrame:
     """Vintages: loans by month of disbursement and product. Loans without one are left out."""
-    n, worse = F.count(F.lit(1)), count_when(ARREARS | OVERDUE)
+    n, worse = F.count(F.lit(1)), count_when(arrears() | overdue())
     facts = with_calendar(dw, with_state(dw, dw.fact_credito), "tiempo_desembolso_sk", "anio", "mes")
     return (with_product(dw, facts)
             .groupBy(F.col("anio").alias("anio_cosecha"), F.col("mes").alias("mes_cosecha"),
@@ -116,16 +133,16 @@ def cosecha_morosidad(dw) -> DataFrame:
 
 def kpi_resumen(dw) -> DataFrame:
     """One row with the seven headline figures: one pass over each fact, joined row to row."""
-    n, approved = F.count(F.lit(1)), count_when(~REJECTED)
+    n, accepted = F.count(F.lit(1)), count_when(approved())
     loans = with_state(dw, dw.fact_credito).agg(
-        count_when(ACTIVE).alias("cartera_activa_count"),
-        F.coalesce(sum_when(ACTIVE, AMOUNT), ZERO).alias("cartera_vigente_monto"),
-        percentage(count_when(ARREARS), n).alias("tasa_mora_pct"),
-        rounded_mean(sum_when(~REJECTED, AMOUNT), approved, 2, 0).alias("ticket_promedio"),
-        percentage(approved, n).alias("tasa_aprobacion_pct"))
+        count_when(active()).alias("cartera_activa_count"),
+        total_when(active(), AMOUNT).alias("cartera_vigente_monto"),
+        percentage(count_when(arrears()), n).alias("tasa_mora_pct"),
+        rounded_mean(sum_when(approved(), F.col(AMOUNT)), accepted, 2, 0).alias("ticket_promedio"),
+        percentage(accepted, n).alias("tasa_aprobacion_pct"))
     state = F.col("estado_pago")
     payments = dw.fact_pago.agg(
-        F.coalesce(sum_when(state == "Exitoso", F.col("monto_pago")), ZERO).alias("recaudo_total"),
+        total_when(state == "Exitoso", "monto_pago").alias("recaudo_total"),
         percentage(count_when(state == "Fallido"), n).alias("tasa_fallo_pago_pct"))
     one = F.lit(1).alias("id")
     return loans.select(one, "*").join(F.broadcast(payments.select(one, "*")), "id")

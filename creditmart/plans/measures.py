@@ -11,8 +11,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditmart.functions.numeric import mean
-
 LOANS, PAYMENTS = "fact_credito", "fact_pago"
 HIERARCHY = ("anio", "trimestre", "mes", "dia")
 
@@ -52,59 +50,54 @@ RELATIONS = {
 }
 
 
-def _count(when: Column) -> Column:
-    return F.when(when, 1).otherwise(0).cast("long")
-
-
-_ACTIVE, _LATE = F.col("_activo"), F.col("_mora")
-_APPROVED = F.col("_estado") != "Rechazado"
-_PAID, _FAILED = F.col("estado_pago") == "Exitoso", F.col("estado_pago") == "Fallido"
-
-# Additive parts per fact row.
+# Additive parts, as SQL over one fact row.
 PARTS = {
     LOANS: {
-        "_n": _count(F.lit(True)),
-        "_n_activo": _count(_ACTIVE),
-        "_n_mora": _count(_LATE),
-        "_n_aprobado": _count(_APPROVED),
-        "_monto_activo": F.when(_ACTIVE, F.col("monto_aprobado")),
-        "_monto_aprobado": F.when(_APPROVED, F.col("monto_aprobado")),
-        "_dias_mora": F.when(_LATE, F.col("dias_mora")).cast("long"),
+        "_n": "1L",
+        "_n_activo": "cast(_activo as long)",
+        "_n_mora": "cast(_mora as long)",
+        "_n_aprobado": "cast(_estado <> 'Rechazado' as long)",
+        "_monto_activo": "case when _activo then monto_aprobado end",
+        "_monto_aprobado": "case when _estado <> 'Rechazado' then monto_aprobado end",
+        "_dias_mora": "case when _mora then cast(dias_mora as long) end",
     },
     PAYMENTS: {
-        "_n_pago": _count(F.lit(True)),
-        "_n_fallido": _count(_FAILED),
-        "_monto_exitoso": F.when(_PAID, F.col("monto_pago")),
+        "_n_pago": "1L",
+        "_n_fallido": "cast(estado_pago = 'Fallido' as long)",
+        "_monto_exitoso": "case when estado_pago = 'Exitoso' then monto_pago end",
     },
 }
 
 
-def _rate(part: str, whole: str) -> Column:
-    """Percentage that is 0, not null, when there is nothing to divide."""
-    exact = F.coalesce(F.col(part), F.lit(0)) * 100.0 / F.nullif(F.col(whole), F.lit(0).cast("long"))
-    return F.coalesce(exact, F.lit(0.0))
-
-
 @dataclass(frozen=True)
 class Measure:
     fact: str
     parts: tuple[str, ...]
-    value: Column
+    value: str                # SQL over the summed parts
+
+
+def _sum(fact: str, part: str) -> Measure:
+    return Measure(fact, (part,), part)
+
+
+def _mean(fact: str, total: str, count: str) -> Measure:
+    return Measure(fact, (total, count), f"cast({total} as double) / nullif({count}, 0)")
+
+
+def _rate(fact: str, part: str, whole: str) -> Measure:
+    """Percentage that is 0, not null, when there is nothing to divide."""
+    return Measure(fact, (part, whole), f"coalesce({part} * 100.0D / nullif({whole}, 0), 0.0D)")
 
 
 MEASURES = {
-    "cartera_vigente": Measure(LOANS, ("_monto_activo",), F.col("_monto_activo")),
-    "num_creditos_activos": Measure(LOANS, ("_n_activo",),
-                                    F.nullif(F.col("_n_activo"), F.lit(0).cast("long"))),
-    "ticket_promedio": Measure(LOANS, ("_monto_aprobado", "_n_aprobado"),
-                               mean(F.col("_monto_aprobado"), F.col("_n_aprobado"))),
-    "tasa_mora_pct": Measure(LOANS, ("_n_mora", "_n"), _rate("_n_mora", "_n")),
-    "dias_mora_promedio": Measure(LOANS, ("_dias_mora", "_n_mora"),
-                                  mean(F.col("_dias_mora"), F.col("_n_mora"))),
-    "recaudo_total": Measure(PAYMENTS, ("_monto_exitoso",), F.col("_monto_exitoso")),
-    "tasa_fallo_pago_pct": Measure(PAYMENTS, ("_n_fallido", "_n_pago"),
-                                   _rate("_n_fallido", "_n_pago")),
-    "tasa_aprobacion_pct": Measure(LOANS, ("_n_aprobado", "_n"), _rate("_n_aprobado", "_n")),
+    "cartera_vigente": _sum(LOANS, "_monto_activo"),
+    "num_creditos_activos": Measure(LOANS, ("_n_activo",), "nullif(_n_activo, 0)"),
+    "ticket_promedio": _mean(LOANS, "_monto_aprobado", "_n_aprobado"),
+    "tasa_mora_pct": _rate(LOANS, "_n_mora", "_n"),
+    "dias_mora_promedio": _mean(LOANS, "_dias_mora", "_n_mora"),
+    "recaudo_total": _sum(PAYMENTS, "_monto_exitoso"),
+    "tasa_fallo_pago_pct": _rate(PAYMENTS, "_n_fallido", "_n_pago"),
+    "tasa_aprobacion_pct": _rate(LOANS, "_n_aprobado", "_n"),
 }
 
 
@@ -138,7 +131,7 @@ def _additive(dw, fact: str, parts: set[str], columns: set[str], where: Column |
     relations = _needed(fact, columns)
     for relation in (r for r in relations if r.small):
         rows = rows.join(_attributes(dw, relation, columns), relation.fact_key)
-    rows = rows.withColumns({p: PARTS[fact][p] for p in parts})
+    rows = rows.withColumns({p: F.expr(PARTS[fact][p]) for p in parts})
     large = [r for r in relations if not r.small]
     keys = [c for r in relations if r.small for c in r.columns if c in columns]
     keys += [r.fact_key for r in large]
@@ -188,7 +181,7 @@ def measures(dw, names: list[str], by: list[str] = (), where: Column | None = No
         else:
             merged = merged.withColumn("_uno", F.lit(1)).join(
                 F.broadcast(other.withColumn("_uno", F.lit(1))), "_uno").drop("_uno")
-    return merged.select(*keys, *[MEASURES[n].value.alias(n) for n in names])
+    return merged.select(*keys, *[F.expr(MEASURES[n].value).alias(n) for n in names])
 
 
 def measure(dw, name: str, by: list[str] = (), where: Column | None = None,

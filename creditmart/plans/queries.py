@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from creditmart.functions.numeric import (count_when, percentage, rounded_mean, sum_when)
 from creditmart.plans import marts
-from creditmart.plans.marts import (AMOUNT, ARREARS, OVERDUE, REJECTED, ZERO, with_calendar,
+from creditmart.plans.marts import (AMOUNT, approved, arrears, overdue, total_when, with_calendar,
                                     with_channel, with_method, with_product, with_state)
 
 CLOSED = ("Rechazado", "Cancelado", "Pagado")
@@ -19,7 +19,7 @@ def _full_name():
 
 def cartera_segmento_producto(dw) -> DataFrame:
     """Q1: portfolio by segment and product, rejected loans left out."""
-    loans = with_state(dw, dw.fact_credito).where(~REJECTED)
+    loans = with_state(dw, dw.fact_credito).where(approved())
     n = F.col("n")
     return (marts.by_segment_and_product(dw, loans)
             .select("segmento", "producto", n.alias("num_creditos"),
@@ -31,7 +31,7 @@ def cartera_segmento_producto(dw) -> DataFrame:
 
 def top_clientes(dw, limit: int = 10) -> DataFrame:
     """Q2: customers with the largest total. Ranked on keys; only the winners meet the dimension."""
-    best = (with_state(dw, dw.fact_credito).where(~REJECTED).groupBy("cliente_sk")
+    best = (with_state(dw, dw.fact_credito).where(approved()).groupBy("cliente_sk")
             .agg(F.count(F.lit(1)).alias("num_creditos"),
                  F.sum(AMOUNT).alias("monto_total_desembolsado"),
                  rounded_mean(F.sum("tasa_interes_mensual"), F.count("tasa_interes_mensual"), 4, 2)
@@ -45,7 +45,7 @@ def top_clientes(dw, limit: int = 10) -> DataFrame:
 
 def desembolsos_mensuales(dw, years: tuple[int, ...] = (2024, 2025)) -> DataFrame:
     """Q3: disbursements by month of the given years."""
-    loans = with_state(dw, dw.fact_credito).where(~REJECTED)
+    loans = with_state(dw, dw.fact_credito).where(approved())
     n = F.count(F.lit(1))
     return (with_calendar(dw, loans, "tiempo_desembolso_sk", "anio", "mes", "nombre_mes")
             .where(F.col("anio").isin(*years))
@@ -57,23 +57,23 @@ def desembolsos_mensuales(dw, years: tuple[int, ...] = (2024, 2025)) -> DataFram
 
 def deterioro_producto_canal(dw) -> DataFrame:
     """Q4: arrears by product and channel."""
-    n, late = F.count(F.lit(1)), count_when(ARREARS)
-    days = rounded_mean(sum_when(ARREARS, F.col("dias_mora")), late, 0, 0)
+    n, late = F.count(F.lit(1)), count_when(arrears())
+    days = rounded_mean(sum_when(arrears(), F.col("dias_mora")), late, 0, 0)
     return (with_channel(dw, with_product(dw, with_state(dw, dw.fact_credito)))
             .groupBy("producto", "canal")
             .agg(n.alias("total_creditos"), late.alias("en_mora"),
-                 count_when(OVERDUE).alias("vencidos"),
-                 percentage(count_when(ARREARS | OVERDUE), n).alias("tasa_deterioro_pct"),
+                 count_when(overdue()).alias("vencidos"),
+                 percentage(count_when(arrears() | overdue()), n).alias("tasa_deterioro_pct"),
                  F.coalesce(days, F.lit(0).cast("decimal(20,0)")).alias("dias_mora_promedio"))
             .orderBy(F.desc("tasa_deterioro_pct"), "producto", "canal"))
 
 
 def recaudo_por_metodo(dw) -> DataFrame:
     """Q5: collections by payment method."""
-    state, amount = F.col("estado_pago"), F.col("monto_pago")
+    state = F.col("estado_pago")
 
     def total(label: str):
-        return F.coalesce(sum_when(state == label, amount), ZERO)
+        return total_when(state == label, "monto_pago")
 
     n = F.count(F.lit(1))
     return (with_method(dw, dw.fact_pago).groupBy("metodo_pago", "tipo")
@@ -90,7 +90,7 @@ def clientes_multiples_creditos(dw) -> DataFrame:
                .groupBy("cliente_sk")
                .agg(F.count(F.lit(1)).alias("total_creditos_vigentes"),
                     F.sum(AMOUNT).alias("exposicion_total"),
-                    F.coalesce(sum_when(ARREARS, AMOUNT), ZERO).alias("monto_en_mora"),
+                    total_when(arrears(), AMOUNT).alias("monto_en_mora"),
                     F.max("dias_mora").alias("max_dias_mora"))
                .where(F.col("total_creditos_vigentes") > 1))
     return (exposed.join(dw.dim_cliente, "cliente_sk")
