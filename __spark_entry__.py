@@ -27,7 +27,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse(spark, fixtures.raw_entities(spark, sf_dir),
+        _WAREHOUSES[key] = Warehouse(spark, fixtures.Landed(spark, sf_dir),
                                      start=fixtures.START, end=fixtures.END)
     return _WAREHOUSES[key]
 
@@ -110,7 +110,7 @@ def _flags(dw: Warehouse) -> DataFrame:
 
 def _cleansed(name: str) -> Callable[[Warehouse], DataFrame]:
     entity = ENTITIES[name]
-    return lambda dw: dw.clean[name].select(*entity.columns, *entity.catalog_flags)
+    return lambda dw: dw.cleaned(name).select(*entity.columns, *entity.catalog_flags)
 
 
 def _staged(name: str) -> Callable[[Warehouse], DataFrame]:
@@ -189,8 +189,8 @@ def _audited(dw: Warehouse) -> DataFrame:
 
 def _audited_dirty(dw: Warehouse) -> DataFrame:
     """The same audit over rows no rule has filtered, where constraints do break."""
-    pagos = dw.clean["pagos"].withColumn("flag_referencia_duplicada", F.lit(False))
-    return constraints.audit({CREDITOS.staging_table: dw.clean["creditos"],
+    pagos = dw.cleaned("pagos").withColumn("flag_referencia_duplicada", F.lit(False))
+    return constraints.audit({CREDITOS.staging_table: dw.cleaned("creditos"),
                               PAGOS.staging_table: pagos})
 
 

@@ -175,11 +175,15 @@ def with_payload(entity: Entity, judged: DataFrame) -> DataFrame:
 
 # --- Markers that need other rows ---------------------------------------------------------
 
-def mark_first(entity: Entity, df: DataFrame, scratch: Scratch,
+def repeated_rows(entity: Entity, df: DataFrame, scratch: Scratch) -> Stored:
+    """Keys that occur more than once, each with the order of its first row."""
+    return scratch.save(repeated_keys(df, [entity.key], **{FIRST: F.min(ORDER)}),
+                        f"{entity.name}-repeated", entity.key)
+
+
+def mark_first(entity: Entity, df: DataFrame, repeated: Stored,
                limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
     """Give rows of a repeated key the order of its first row. Only repeated keys are joined."""
-    repeated = scratch.save(repeated_keys(df, [entity.key], **{FIRST: F.min(ORDER)}),
-                            f"{entity.name}-repeated", entity.key)
     return attach(df, repeated.df.drop(TIMES), [entity.key], right_bytes=repeated.lookup_bytes,
                   counts=repeated.df, salt_by=[ORDER], limits=limits)
 

@@ -7,6 +7,7 @@ fact at the grain of keys, joins only the dimensions the slice needs, and adds t
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,23 +165,15 @@ def measures(dw, names: list[str], by: list[str] = (), where: Column | None = No
         parts = {p for n in wanted for p in MEASURES[n].parts}
         rows = _additive(dw, fact, parts, set(by) | set(where_columns), where)
         totals = [F.sum(p).alias(p) for p in sorted(parts)]
-        if drill:
+        finest = rows.groupBy(*by).agg(*totals)
+        if drill:       # roll up the finest level, not the rows: each level would copy them
             depth = F.bit_count(F.grouping_id()).cast("int").alias("nivel")
-            results.append(rows.rollup(*by).agg(depth, *totals))
-        else:
-            results.append(rows.groupBy(*by).agg(*totals))
+            finest = finest.rollup(*by).agg(depth, *totals)
+        results.append(finest)
     keys = by + level
-    merged = results[0]
-    for other in results[1:]:
-        if keys:
-            same = [merged[k].eqNullSafe(other[k]) for k in keys]
-            both = merged.join(other, same, "full")
-            merged = both.select(*[F.coalesce(merged[k], other[k]).alias(k) for k in keys],
-                                 *[merged[c] for c in merged.columns if c not in keys],
-                                 *[other[c] for c in other.columns if c not in keys])
-        else:
-            merged = merged.withColumn("_uno", F.lit(1)).join(
-                F.broadcast(other.withColumn("_uno", F.lit(1))), "_uno").drop("_uno")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
+    parts = [c for c in stacked.columns if c not in keys]
+    merged = stacked.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in parts])
     return merged.select(*keys, *[F.expr(MEASURES[n].value).alias(n) for n in names])
 
 

@@ -15,6 +15,7 @@ A table is built when first asked for.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from functools import cached_property, reduce
@@ -25,10 +26,11 @@ from pyspark.sql import functions as F
 from creditmart.model import (CALENDARIO_DESDE, CALENDARIO_HASTA, CLIENTES, CREDITOS, ENTITIES,
                               ORDER, PAGOS)
 from creditmart.operators import calendar, quality, star
-from creditmart.operators.cleanse import cleanse_all, to_staging
+from creditmart.operators.cleanse import cleanse, to_staging
 from creditmart.operators.lookup import DEFAULT_LIMITS, JoinLimits
 from creditmart.operators.sequence import arrange, number
 from creditmart.operators.star import DISCARD, OUT_OF_CALENDAR
+from creditmart.plans.concurrent import together
 from creditmart.sources.tables import Scratch, Stored
 
 RUN_ID = "00000000-0000-0000-0000-000000000000"
@@ -43,7 +45,7 @@ class Warehouse:
     """
 
     spark: SparkSession
-    raw: dict[str, DataFrame]
+    raw: Mapping[str, DataFrame]
     run_id: str = RUN_ID
     start: str = CALENDARIO_DESDE
     end: str = CALENDARIO_HASTA
@@ -53,10 +55,26 @@ class Warehouse:
 
     def __post_init__(self):
         self.scratch = self.scratch or Scratch(self.spark)
-
-    @cached_property
-    def clean(self) -> dict[str, DataFrame]:
-        return cleanse_all(self.raw)
+        self._clean: dict[str, DataFrame] = {}
+        self._repeated: dict[str, Stored] = {}
+
+    def cleaned(self, name: str) -> DataFrame:
+        """One entity typed and canonical, before any rule."""
+        if name not in self._clean:
+            self._clean[name] = cleanse(ENTITIES[name], self.raw[name])
+        return self._clean[name]
+
+    def _find_repeated(self, *names: str) -> None:
+        """Look for repeated keys of several entities at once: no entity depends on another."""
+        missing = [n for n in names if n not in self._repeated]
+        self._repeated |= together({
+            n: lambda n=n: quality.repeated_rows(ENTITIES[n], self.cleaned(n), self.scratch)
+            for n in missing})
+
+    def _marked(self, name: str) -> DataFrame:
+        self._find_repeated(name)
+        return quality.mark_first(ENTITIES[name], self.cleaned(name), self._repeated[name],
+                                  self.limits)
 
     # --- Judged entities ------------------------------------------------------------------
 
@@ -67,7 +85,7 @@ class Warehouse:
 
     @cached_property
     def judged_clientes(self) -> Stored:
-        marked = quality.mark_first(CLIENTES, self.clean["clientes"], self.scratch, self.limits)
+        marked = self._marked("clientes")
         checks = [quality.duplicate_check(CLIENTES), *quality.row_checks(CLIENTES)]
         judged = quality.judge(marked, checks).drop(quality.FIRST)
         flagged = self._flagged(CLIENTES, judged, "clientes-judged")
@@ -88,8 +106,8 @@ class Warehouse:
 
     @cached_property
     def judged_creditos(self) -> Stored:
-        loans = self.clean["creditos"]
-        marked = quality.mark_first(CREDITOS, loans, self.scratch, self.limits)
+        self._find_repeated("clientes", "creditos")
+        loans, marked = self.cleaned("creditos"), self._marked("creditos")
         owned = quality.mark_parent(marked, "cliente_id", self._customer_keys,
                                     self.judged_clientes.lookup_bytes, loans.select("cliente_id"),
                                     self.limits)
@@ -122,8 +140,8 @@ class Warehouse:
 
     @cached_property
     def judged_pagos(self) -> Stored:
-        payments = self.clean["pagos"]
-        marked = quality.mark_first(PAGOS, payments, self.scratch, self.limits)
+        self._find_repeated(*ENTITIES)
+        payments, marked = self.cleaned("pagos"), self._marked("pagos")
         owned = quality.mark_parent(marked, "credito_id", self._loan_keys,
                                     self.judged_creditos.lookup_bytes, payments.select("credito_id"),
                                     self.limits)
