@@ -41,7 +41,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 # --- Queries that need more than one call -------------------------------------------------
 
-def _write_sources(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def write_sources(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """The raw entities as CSV folders whose file order is the load order."""
     folder = f"{scratch_root(spark)}/csv-{uuid.uuid4().hex}"
     paths = {}
@@ -58,7 +58,7 @@ def _write_sources(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 def _raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     frames = []
-    for name, df in csv_source.extract(spark, _write_sources(spark, sf_dir)).items():
+    for name, df in csv_source.extract(spark, write_sources(spark, sf_dir)).items():
         landed = csv_source.land(df, f"{scratch.path}/raw_{name}", scratch).df
         frames.append(landed.select(
             F.lit(name).alias("entidad"),
@@ -68,7 +68,7 @@ def _raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run(spark: SparkSession, sf_dir: str) -> tuple[TableStore, pipeline.RunResult]:
     store = TableStore(spark, f"{scratch_root(spark)}/layers-{uuid.uuid4().hex}")
-    result = pipeline.run(spark, _write_sources(spark, sf_dir), store.root,
+    result = pipeline.run(spark, write_sources(spark, sf_dir), store.root,
                           start=fixtures.START, end=fixtures.END)
     return store, result
 

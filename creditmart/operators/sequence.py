@@ -7,6 +7,8 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditmart.sources.local import local_frame
+
 POSITION = "_posicion"
 _SHIFT = 33      # fixed value: bits below the partition number in monotonically_increasing_id
 
@@ -38,8 +40,9 @@ def number(stored: DataFrame, numbered: Column, name: str) -> DataFrame:
     counts = sorted(tuple(r) for r in
                     rows.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect())
     starts = [0, *accumulate(n for _, n in counts)]
-    offsets = stored.sparkSession.createDataFrame(
-        [(p, start) for (p, _), start in zip(counts, starts)], "_p int, _previas long")
+    offsets = local_frame(stored.sparkSession,
+                          [(p, start) for (p, _), start in zip(counts, starts)],
+                          "_p int, _previas long")
     place = F.col(POSITION).bitwiseAND(F.lit((1 << _SHIFT) - 1))
     return (rows.withColumn("_p", part)
             .join(F.broadcast(offsets), "_p")          # one row per written partition

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from creditmart.functions.dates import date_key
 from creditmart.model import CANALES, ESTADOS_CREDITO_DIM, METODOS_PAGO, PRODUCTOS
+from creditmart.sources.local import local_frame
 
 DISCARD = "_descarte"
 OUT_OF_CALENDAR, NO_KEY = "fecha fuera de calendario", "llave subrogada nula"
 
 
 def _seed(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
-    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows, 1)], columns)
+    return local_frame(spark, [(i, *r) for i, r in enumerate(rows, 1)], columns)
 
 
 def dim_producto(spark: SparkSession) -> DataFrame:

@@ -97,7 +97,7 @@ class Warehouse:
     def _customer_keys(self) -> DataFrame:
         """Every distinct customer id with its key; the key is null for isolated customers."""
         known = self.judged_clientes.df.where(
-            F.coalesce(F.col(quality.RULE) != "DQ-1", F.lit(True)))
+            F.col(quality.RULE).isNull() | (F.col(quality.RULE) != "DQ-1"))
         valid = F.col(quality.RULE).isNull()
         keyed = number(known, valid, "cliente_sk").select("cliente_id", "cliente_sk")
         isolated = known.where(~valid).select("cliente_id",
@@ -135,7 +135,7 @@ class Warehouse:
         lends = F.col(quality.RULE).isNull() & (
             F.coalesce(F.col(DISCARD), F.lit("")) != OUT_OF_CALENDAR)
         return (self.judged_creditos.df
-                .where(F.coalesce(~F.col(quality.RULE).isin(*_UPSTREAM), F.lit(True)))
+                .where(F.col(quality.RULE).isNull() | ~F.col(quality.RULE).isin(*_UPSTREAM))
                 .select("credito_id", F.when(lends, F.col("cliente_sk")).alias("cliente_sk")))
 
     @cached_property
@@ -156,6 +156,11 @@ class Warehouse:
         return self.scratch.save(
             arrange(final, valid & F.col(DISCARD).isNull()), "pagos")
 
+    def build(self) -> Warehouse:
+        """Build all stored tables now rather than on demand."""
+        self.judged_pagos
+        return self
+
     def judged(self, name: str) -> DataFrame:
         return {"clientes": lambda: self.judged_clientes, "creditos": lambda: self.judged_creditos,
                 "pagos": lambda: self.judged_pagos}[name]().df
@@ -189,7 +194,8 @@ class Warehouse:
 
     @cached_property
     def dim_tiempo(self) -> DataFrame:
-        return calendar.dim_tiempo(self.spark, self.start, self.end)
+        days = calendar.dim_tiempo(self.spark, self.start, self.end)
+        return self.scratch.save(days.coalesce(1), "dim_tiempo").df
 
     @cached_property
     def dim_producto(self) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from creditmart.sources.local import local_frame
+
 
 ROW_OVERHEAD = 64        # bytes a row takes in a hash table besides its key
 
@@ -50,15 +52,23 @@ def write_counted(df: DataFrame, path: str, mode: str = "errorifexists",
     return seen.get
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """Shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset, as in tests, a temporary folder per application; never on a cluster.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="creditmart-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="creditmart-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
@@ -100,11 +110,12 @@ class Scratch:
 class TableStore:
     """Published layers under ``root``: raw, stg, dq, dwh, bi."""
 
-    LOG_SCHEMA = "capa string, run_id string, publicado_en timestamp"
+    LOG_SCHEMA = "capa string, run_id string, version string, publicado_en timestamp"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.version = uuid.uuid4().hex      # a rerun of a run never touches its earlier tables
 
     def _read(self, path: str, schema: str | None = None) -> DataFrame | None:
         try:
@@ -115,8 +126,8 @@ class TableStore:
                 return None
             raise
 
-    def table_path(self, layer: str, run_id: str, table: str) -> str:
-        return f"{self.root}/{layer}/run_id={run_id}/{table}"
+    def table_path(self, layer: str, run_id: str, table: str, version: str | None = None) -> str:
+        return f"{self.root}/{layer}/run_id={run_id}/{version or self.version}/{table}"
 
     def write(self, layer: str, run_id: str, table: str, df: DataFrame, **metrics) -> dict[str, int]:
         """Stage one table of a layer. It stays invisible until ``publish``."""
@@ -124,33 +135,43 @@ class TableStore:
 
     def publish(self, layer: str, run_id: str) -> None:
         """Switch readers of ``layer`` to this run: one appended row, written after all tables."""
-        row = [(layer, run_id, datetime.now(timezone.utc))]
-        (self.spark.createDataFrame(row, self.LOG_SCHEMA).coalesce(1)
+        row = [(layer, run_id, self.version, datetime.now(timezone.utc))]
+        (local_frame(self.spark, row, self.LOG_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{self.root}/_publicaciones"))
 
-    def current_run(self, layer: str) -> str | None:
+    def _log(self, layer: str) -> DataFrame | None:
         log = self._read(f"{self.root}/_publicaciones", self.LOG_SCHEMA)
+        return None if log is None else log.where(F.col("capa") == layer)
+
+    def _current(self, layer: str) -> tuple[str, str] | None:
+        log = self._log(layer)
         if log is None:
             return None
-        latest = log.where(F.col("capa") == layer).agg(F.max_by("run_id", "publicado_en")).first()
-        return latest[0]
+        latest = log.agg(F.max_by(F.struct("run_id", "version"), "publicado_en")).first()[0]
+        return None if latest is None else (latest.run_id, latest.version)
 
-    def drop_superseded(self, layer: str) -> list[str]:
-        """Delete every published run of a layer but the current one. Call when no reader is left."""
-        log = self._read(f"{self.root}/_publicaciones", self.LOG_SCHEMA)
-        current = self.current_run(layer)
-        runs = [] if log is None else [r.run_id for r in log.where(F.col("capa") == layer)
-                                       .select("run_id").distinct().collect()]   # one per run
-        old = sorted(r for r in runs if r != current)
-        for run_id in old:
-            delete_folder(self.spark, f"{self.root}/{layer}/run_id={run_id}")
-        return old
+    def current_run(self, layer: str) -> str | None:
+        current = self._current(layer)
+        return current and current[0]
 
     def read(self, layer: str, table: str) -> DataFrame:
-        run_id = self.current_run(layer)
-        if run_id is None:
+        current = self._current(layer)
+        if current is None:
             raise ValueError(f"layer {layer} has not been published")
-        return self.spark.read.parquet(self.table_path(layer, run_id, table))
+        run_id, version = current
+        return self.spark.read.parquet(self.table_path(layer, run_id, table, version))
+
+    def drop_superseded(self, layer: str) -> list[str]:
+        """Delete every published load of a layer but the current one; returns their run ids.
+
+        Call when no reader is left on the old tables.
+        """
+        log, current = self._log(layer), self._current(layer)
+        loads = [] if log is None else log.select("run_id", "version").distinct().collect()
+        old = sorted(tuple(r) for r in loads if tuple(r) != current)      # one short row per load
+        for run_id, version in old:
+            delete_folder(self.spark, f"{self.root}/{layer}/run_id={run_id}/{version}")
+        return [run_id for run_id, _ in old]
 
     def append_run(self, layer: str, table: str, run_id: str, df: DataFrame) -> int:
         """Add one run's rows to a table that keeps history; a rerun of the same run replaces them."""

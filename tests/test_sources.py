@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,7 @@ from creditmart.model import CLIENTES, CREDITOS, ENTITIES
 from creditmart.sources import csv_source
 from creditmart.sources.csv_source import (CorruptRows, MissingColumns, check_columns, extract,
                                            land, read_csv)
-from creditmart.sources.tables import Scratch, TableStore
+from creditmart.sources.tables import Scratch, TableStore, scratch_root
 
 
 def write(path, text: str, bom: bool = False):
@@ -145,3 +147,28 @@ def test_split_offsets_read_one_row_per_split(spark):
         "_archivo string, _bloque long, _veces long, _desde long")
     got = {(r._archivo, r._bloque): r._base for r in csv_source.split_offsets(splits).collect()}
     assert got == {("f1", 0): 0, ("f1", 100): 10, ("f2", 0): 15}
+
+
+def fake_session(master: str, setting: str | None):
+    context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: setting or default),
+                           sparkContext=context)
+
+
+def test_scratch_folder_comes_from_the_session():
+    assert scratch_root(fake_session("yarn", "hdfs://x/ck/")) == "hdfs://x/ck"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(fake_session("yarn", None))
+    local = fake_session("local[2]", None)
+    assert scratch_root(local) == scratch_root(local)
+
+
+def test_rerun_of_a_published_run_leaves_its_tables_until_published(spark, tmp_path):
+    root = str(tmp_path / "layers")
+    first, second = TableStore(spark, root), TableStore(spark, root)
+    first.write("dwh", "r1", "t", spark.range(3))
+    first.publish("dwh", "r1")
+    second.write("dwh", "r1", "t", spark.range(9))
+    assert second.read("dwh", "t").count() == 3
+    second.publish("dwh", "r1")
+    assert first.read("dwh", "t").count() == 9
