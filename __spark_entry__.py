@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import oracle
 from creditmart.model import CREDITOS, ENTITIES, ORDER, PAGOS
-from creditmart.operators import calendar, constraints, quality
+from creditmart.operators import calendar, constraints, star
 from creditmart.plans import audit, marts, measures, pipeline
 from creditmart.plans import queries as reference
 from creditmart.plans.warehouse import Warehouse
@@ -178,10 +178,6 @@ def _key_sequences(dw: Warehouse) -> DataFrame:
             .unionByName(span("dim_cliente", "cliente_sk")))
 
 
-def _cutoff(dw: Warehouse) -> DataFrame:
-    return dw.valid("creditos").limit(1).select(F.lit(dw.cutoff).alias("fecha_corte"))
-
-
 def _audited(dw: Warehouse) -> DataFrame:
     tables = {e.staging_table: dw.staging(n) for n, e in ENTITIES.items()}
     return constraints.audit({**tables, "dim_tiempo": dw.dim_tiempo, "dim_cliente": dw.dim_cliente})
@@ -199,13 +195,14 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors spread over the mapped runs, so that one run holds only some of them."""
-    size = F.length("motivo")
+    """An error history of two loads, of which the report covers the latest only."""
+    errors = warehouse(spark, sf_dir).errors()
     start = F.lit("2025-01-01 00:00:00").cast("timestamp")
-    errors = warehouse(spark, sf_dir).errors_with_key().withColumns({
-        "run_id": F.concat(F.lit("R"), (size % 14).cast("string")),
-        "created_at": F.timestamp_add("SECOND", size, start)})
-    return audit.errors_of_latest_run(errors, _runs(spark, sf_dir))
+    history = [errors.withColumns({
+        "run_id": F.lit(run_id),
+        "created_at": F.timestamp_add("SECOND", F.length("motivo") + later, start)})
+        for run_id, later in (("R12", 0), ("R13", 3600))]
+    return audit.errors_of_latest_run(history[0].unionByName(history[1]), _runs(spark, sf_dir))
 
 
 ALL_MEASURES = list(measures.MEASURES)
@@ -242,7 +239,7 @@ ON_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fact_pago": _fact_pago,
     "fact_key_sequences": _key_sequences,
     "star_discards": lambda dw: dw.discards(),
-    "cutoff_date": _cutoff,
+    "cutoff_date": lambda dw: star.latest_date(dw.valid("creditos"), dw.valid("pagos")),
     "cartera_vigente": marts.cartera_vigente,
     "morosidad_producto": marts.morosidad_por_producto,
     "efectividad_canal": marts.efectividad_canal,

@@ -9,16 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_YMD = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
+_YMD = r"^(?!0000)\d{4}-\d{1,2}-(\d{1,2}| [1-9])$"
 _DMY = r"^(\d{1,2})-(\d{1,2})-(?!0000)(\d{4})$"
 _PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _GROUPED = r"^[+-]?(\d(_?\d)*\.?(\d(_?\d)*)?|\.\d(_?\d)*)([eE][+-]?\d(_?\d)*)?$"
 
 
 def parse_date(text: Column) -> Column:
-    """Year-month-day or day-month-year, split by ``-`` or ``/``; one-digit parts allowed."""
+    """Year-month-day or day-month-year, split by ``-`` or ``/``; one-digit parts allowed.
+
+    A one-digit day at the end may be padded with a space.
+    """
     dashed = F.translate(text, "/", "-")
-    return (F.when(dashed.rlike(_YMD), dashed.try_cast("date"))
+    return (F.when(dashed.rlike(_YMD), F.translate(text, "/ ", "-").try_cast("date"))
             .when(dashed.rlike(_DMY), F.regexp_replace(dashed, _DMY, "$3-$2-$1").try_cast("date")))
 
 

@@ -18,9 +18,9 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 
 
-def is_blank(text: Column) -> Column:
-    """True for null or whitespace-only text."""
-    return text.isNull() | (strip(text) == "")
+def is_blank(stripped: Column) -> Column:
+    """True for null or empty; text must be stripped first, so whitespace counts as empty."""
+    return stripped.isNull() | (stripped == "")
 
 
 def catalog_value(text: Column, catalog: dict[str, str]) -> Column:

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditmart.functions.text import is_blank
 from creditmart.model import (CANALES, CLIENTES, CREDITOS, ENTITIES, LINEAGE, METODOS_PAGO, ORDER,
                               PAGOS, PRODUCTOS, Entity)
 from creditmart.operators.cleanse import SOURCE_TEXT
@@ -62,7 +63,7 @@ def _outside(column: str, seeds: list[tuple]) -> Check:
 
 
 def _blank(*columns: str) -> tuple[tuple[Column, Column], ...]:
-    return tuple((F.col(c).isNull() | (F.col(c) == ""), F.lit(f"{c} nulo o vacío")) for c in columns)
+    return tuple((is_blank(F.col(c)), F.lit(f"{c} nulo o vacío")) for c in columns)
 
 
 def _amount_text(column: str) -> Column:
@@ -206,7 +207,7 @@ def flag_shared(entity: Entity, judged: Stored, scratch: Scratch,
     df = judged.df
     valid = F.col(RULE).isNull()
     for column, flag, _ in entity.duplicate_flags:
-        candidates = judged.df.where(valid & (F.col(column) != "")).select(column)
+        candidates = judged.df.where(valid & ~is_blank(F.col(column))).select(column)
         shared = scratch.save(repeated_keys(candidates, [column]), f"{entity.name}-{flag}", column)
         df = attach(df, shared.df.drop(TIMES).withColumn(flag, F.lit(True)), [column],
                     right_bytes=shared.lookup_bytes, salt_by=[ORDER], limits=limits,

@@ -73,12 +73,15 @@ def days_in_arrears(state: Column, due: Column, cutoff: Column) -> Column:
     return F.when(late, F.greatest(F.datediff(cutoff, due), F.lit(0))).otherwise(0)
 
 
-def latest_date(loans: DataFrame, payments: DataFrame) -> date | None:
-    """Latest date in the valid loans and payments: one partial maximum per task, no shuffle of rows."""
+def latest_date(loans: DataFrame, payments: DataFrame) -> DataFrame:
+    """One row with the latest date in the valid loans and payments, null when there is none.
+
+    One partial maximum per task; rows are not shuffled.
+    """
     loan_dates = ("fecha_desembolso", "fecha_vencimiento", "fecha_solicitud")
     of_loans = loans.agg(F.greatest(*[F.max(c) for c in loan_dates]).alias("d"))
     of_payments = payments.agg(F.max("fecha_pago").alias("d"))
-    return of_loans.unionByName(of_payments).agg(F.max("d")).first()[0]
+    return of_loans.unionByName(of_payments).agg(F.max("d").alias("fecha_corte"))
 
 
 def fact_credito(loans: DataFrame, cutoff: date, start: str, end: str) -> DataFrame:

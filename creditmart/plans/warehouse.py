@@ -223,8 +223,8 @@ class Warehouse:
     def cutoff(self) -> date:
         if self.cutoff_date:
             return self.cutoff_date
-        latest = star.latest_date(self.valid("creditos"), self.valid("pagos"))
-        return latest or datetime.now(timezone.utc).date()
+        latest = star.latest_date(self.valid("creditos"), self.valid("pagos")).first()
+        return latest.fecha_corte or datetime.now(timezone.utc).date()
 
     def _entering(self, name: str, key: str) -> DataFrame:
         entering = F.col(quality.RULE).isNull() & F.col(DISCARD).isNull()

