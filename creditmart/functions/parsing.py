@@ -1,7 +1,8 @@
 """Tolerant readers for text dates and numbers. Bad input gives null, never an error.
 
-All take text already stripped. The pattern check comes before each cast because a plain cast
-also takes bare years, time parts, type suffixes and words such as ``inf``.
+All take text already stripped. A pattern check comes before each cast because a plain cast also
+takes bare years, time parts, type suffixes and words such as ``inf``. Dates are read in two
+steps, so that a caller can put them in successive projections and do each once per row.
 """
 
 from __future__ import annotations
@@ -9,26 +10,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_DMY = r"^(\d{1,2})-(\d{1,2})-(\d{4})$"
 _YMD = r"^(?!0000)\d{4}-\d{1,2}-(\d{1,2}| [1-9])$"
-_DMY = r"^(\d{1,2})-(\d{1,2})-(?!0000)(\d{4})$"
-_PLAIN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_GROUPED = r"^[+-]?(\d(_?\d)*\.?(\d(_?\d)*)?|\.\d(_?\d)*)([eE][+-]?\d(_?\d)*)?$"
+_DIGITS = r"\d+(_\d+)*"
+_NUMBER = rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
 
 
-def parse_date(text: Column) -> Column:
-    """Year-month-day or day-month-year, split by ``-`` or ``/``; one-digit parts allowed.
+def year_first(text: Column) -> Column:
+    """Dashes for slashes, and day-month-year turned to year-month-day."""
+    return F.regexp_replace(F.translate(text, "/", "-"), _DMY, "$3-$2-$1")
+
+
+def date_of(iso: Column) -> Column:
+    """Date from year-month-day; one-digit parts allowed, the day may be padded with a space."""
+    return F.when(iso.rlike(_YMD), F.translate(iso, " ", "").try_cast("date"))
 
-    A one-digit day at the end may be padded with a space.
-    """
-    dashed = F.translate(text, "/", "-")
-    return (F.when(dashed.rlike(_YMD), F.translate(text, "/ ", "-").try_cast("date"))
-            .when(dashed.rlike(_DMY), F.regexp_replace(dashed, _DMY, "$3-$2-$1").try_cast("date")))
+
+def parse_date(text: Column) -> Column:
+    """Year-month-day or day-month-year, split by ``-`` or ``/``."""
+    return date_of(year_first(text))
 
 
 def parse_double(text: Column) -> Column:
     """Plain or scientific notation; single underscores between digits are allowed."""
-    return (F.when(text.rlike(_PLAIN), text.try_cast("double"))
-            .when(text.rlike(_GROUPED), F.translate(text, "_", "").try_cast("double")))
+    return F.when(text.rlike(_NUMBER), F.translate(text, "_", "").try_cast("double"))
 
 
 def fitting(value: Column, sql_type: str) -> Column:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditmart.functions.parsing import fitting, parse_date, parse_double, truncated
+from creditmart.functions.parsing import date_of, fitting, parse_double, truncated, year_first
 from creditmart.functions.text import catalog_value, strip
 from creditmart.model import CLIENTES, CREDITOS, ENTITIES, LINEAGE, ORDER, PAGOS, Entity, Field
 
-SOURCE_TEXT = "_texto_original"
+SOURCE_TEXT = "_texto_"        # prefix of the columns that keep the text behind a typed one
 
 
 def _stripped(field: Field, columns: list[str]) -> Column:
@@ -18,12 +18,12 @@ def _stripped(field: Field, columns: list[str]) -> Column:
 
 
 def _read(field: Field) -> list[Column]:
-    """First reading of stripped text: dates done, numbers as double, catalogues looked up."""
+    """First reading of stripped text: dates year first, numbers as double, catalogues looked up."""
     text = F.col(field.name)
     if field.kind == "catalog":
         return [text.alias(field.name), catalog_value(text, field.catalog).alias(field.flag)]
     if field.kind == "date":
-        return [parse_date(text).alias(field.name)]
+        return [year_first(text).alias(field.name)]
     if field.kind in ("number", "integer"):
         return [parse_double(text).alias(field.name)]
     return [text]
@@ -34,6 +34,8 @@ def _finish(field: Field) -> list[Column]:
     if field.kind == "catalog":
         found = F.col(field.flag)
         return [F.coalesce(found, value).alias(field.name), found.isNotNull().alias(field.flag)]
+    if field.kind == "date":
+        return [date_of(value).alias(field.name)]
     if field.kind == "number":
         return [fitting(value, field.sql_type).alias(field.name)]
     if field.kind == "integer":
@@ -41,6 +43,11 @@ def _finish(field: Field) -> list[Column]:
     return [value]
 
 
+def read_fields(entity: Entity) -> list[str]:
+    """Fields whose text is read into another type, which may lose it."""
+    return [f.name for f in entity.fields if f.kind in ("date", "number", "integer")]
+
+
 def cleanse(entity: Entity, raw: DataFrame) -> DataFrame:
     """Typed columns, catalogue flags, lineage and order; plus the text behind dates and numbers.
 
@@ -49,12 +56,11 @@ def cleanse(entity: Entity, raw: DataFrame) -> DataFrame:
     cast once per row: Catalyst keeps them apart because later ones use a result repeatedly.
     """
     kept = [F.col(c) for c in (*LINEAGE, ORDER) if c in raw.columns]
-    source = F.struct(*[F.col(f.name) for f in entity.fields
-                        if f.kind in ("date", "number", "integer")]).alias(SOURCE_TEXT)
+    source = {f"{SOURCE_TEXT}{name}": F.col(name) for name in read_fields(entity)}
     texts = raw.select(*[_stripped(f, raw.columns) for f in entity.fields], *kept)
-    values = texts.select(*[c for f in entity.fields for c in _read(f)], *kept, source)
-    return values.select(*[c for f in entity.fields for c in _finish(f)], *kept,
-                         F.col(SOURCE_TEXT))
+    values = texts.select(*[c for f in entity.fields for c in _read(f)], *kept,
+                          *[text.alias(name) for name, text in source.items()])
+    return values.select(*[c for f in entity.fields for c in _finish(f)], *kept, *source)
 
 
 def cleanse_clientes(raw: DataFrame) -> DataFrame:

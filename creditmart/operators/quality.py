@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from creditmart.functions.text import is_blank
 from creditmart.model import (CANALES, CLIENTES, CREDITOS, ENTITIES, LINEAGE, METODOS_PAGO, ORDER,
                               PAGOS, PRODUCTOS, Entity)
-from creditmart.operators.cleanse import SOURCE_TEXT
+from creditmart.operators.cleanse import SOURCE_TEXT, read_fields
 from creditmart.operators.lookup import (DEFAULT_LIMITS, TIMES, JoinLimits, attach, key_counts,
                                          repeated_keys)
 from creditmart.sources.tables import Scratch, Stored
@@ -32,7 +32,10 @@ ERROR_COLUMNS = [c.split()[0] for c in ERROR_SCHEMA.split(", ")]
 
 @dataclass(frozen=True)
 class Check:
-    """A predicate that isolates a row. Each motive is (applies, text); all that apply are logged."""
+    """A predicate that isolates a row. Each motive is (applies, text); all that apply are logged.
+
+    A predicate may be null, which counts as not failing wherever it stands in a ``when``.
+    """
 
     rule: str
     severity: str
@@ -40,7 +43,7 @@ class Check:
 
     @property
     def fails(self) -> Column:
-        return reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c, _ in self.motives])
+        return reduce(lambda a, b: a | b, [c for c, _ in self.motives])
 
 
 def _says(prefix: str, value: str, suffix: str = "") -> Column:
@@ -74,9 +77,8 @@ def _amount_text(column: str) -> Column:
 
 def _joined(rule: str, prefix: str, parts: list[tuple[Column, Column]]) -> Check:
     """Several conditions that share a single log line."""
-    safe = [(F.coalesce(c, F.lit(False)), t) for c, t in parts]
-    any_fails = reduce(lambda a, b: a | b, [c for c, _ in safe])
-    text = F.concat(F.lit(prefix), F.concat_ws("; ", *[F.when(c, t) for c, t in safe]))
+    any_fails = reduce(lambda a, b: a | b, [c for c, _ in parts])
+    text = F.concat(F.lit(prefix), F.concat_ws("; ", *[F.when(c, t) for c, t in parts]))
     return _one(rule, "ERROR", any_fails, text)
 
 
@@ -163,15 +165,19 @@ def judge(df: DataFrame, checks: list[Check]) -> DataFrame:
 
 def payload(entity: Entity, columns: list[str]) -> Column:
     """The row as JSON: typed values with nulls spelled out, flags, lineage, source text."""
-    names = [*entity.columns, *LINEAGE, *entity.catalog_flags, *entity.flags, SOURCE_TEXT]
-    return F.to_json(F.struct(*[F.col(c) for c in names if c in columns]),
-                     {"ignoreNullFields": "false"})
+    names = [*entity.columns, *LINEAGE, *entity.catalog_flags, *entity.flags]
+    parts = [F.col(c) for c in names if c in columns]
+    texts = [F.col(SOURCE_TEXT + n).alias(n) for n in read_fields(entity)
+             if SOURCE_TEXT + n in columns]
+    if texts:
+        parts.append(F.struct(*texts).alias("_texto_original"))
+    return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
 
 
 def with_payload(entity: Entity, judged: DataFrame) -> DataFrame:
     """Serialise failing rows only, and drop what was kept for that."""
     body = F.when(F.col(RULE).isNotNull(), payload(entity, judged.columns))
-    return judged.withColumn(PAYLOAD, body).drop(SOURCE_TEXT)
+    return judged.withColumn(PAYLOAD, body).drop(*[SOURCE_TEXT + n for n in read_fields(entity)])
 
 
 # --- Markers that need other rows ---------------------------------------------------------

@@ -139,7 +139,7 @@ def test_pagos_keep_the_text_behind_a_bad_date(spark):
     row = cleansed(spark, PAGOS, estado_pago="success", fecha_pago="2024-13-01")
     assert row.estado_pago == "Exitoso"
     assert row.fecha_pago is None
-    assert row._texto_original.fecha_pago == "2024-13-01"
+    assert row._texto_fecha_pago == "2024-13-01"
 
 
 def test_null_text_reads_as_blank(spark):
