@@ -10,6 +10,7 @@ from conftest import TESTDATA, raw_frames
 from creditmart.operators.lookup import JoinLimits
 from creditmart.operators import quality
 from creditmart.plans.warehouse import Warehouse
+from creditmart.sources.tables import Scratch
 
 SF = TESTDATA / "sf0.001"
 needs_tables = pytest.mark.skipif(not SF.exists(), reason="test tables are not mounted")
@@ -71,3 +72,27 @@ def test_small_lookup_moves_no_rows(spark):
     joined = quality.mark_parent(dw.cleaned("creditos"), "cliente_id", dw._customer_keys, 1,
                                  dw.cleaned("creditos").select("cliente_id"), dw.limits)
     assert "hashpartitioning" not in plan(joined)
+
+
+def test_stages_stay_small_enough_to_be_compiled(spark, monkeypatch):
+    """The JVM interprets methods over 8000 bytes, which is many times slower."""
+    sizes = {}
+    save = Scratch.save
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+
+    def measured(self, df, name, key=None):
+        code = debug.codegenString(df._jdf.queryExecution().executedPlan())
+        sizes[name] = max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
+        return save(self, df, name, key)
+
+    dw = Warehouse(spark, raw_frames(spark))
+    dw._find_repeated("clientes", "creditos", "pagos")
+    monkeypatch.setattr(Scratch, "save", measured)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dw.build()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert {"clientes-judged", "creditos", "pagos-judged", "pagos"} <= sizes.keys()
+    assert max(sizes.values()) < 8000, sizes
