@@ -196,13 +196,14 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An error history of two loads, of which the report covers the latest only."""
-    errors = warehouse(spark, sf_dir).errors()
     start = F.lit("2025-01-01 00:00:00").cast("timestamp")
-    history = [errors.withColumns({
-        "run_id": F.lit(run_id),
-        "created_at": F.timestamp_add("SECOND", F.length("motivo") + later, start)})
-        for run_id, later in (("R12", 0), ("R13", 3600))]
-    return audit.errors_of_latest_run(history[0].unionByName(history[1]), _runs(spark, sf_dir))
+    loads = F.array(*[F.struct(F.lit(run_id).alias("run_id"), F.lit(later).alias("espera"))
+                      for run_id, later in (("R12", 0), ("R13", 3600))])
+    history = (warehouse(spark, sf_dir).errors().drop("run_id")
+               .select("*", F.inline(loads))
+               .withColumn("created_at", F.timestamp_add(
+                   "SECOND", F.length("motivo") + F.col("espera"), start)))
+    return audit.errors_of_latest_run(history, _runs(spark, sf_dir))
 
 
 ALL_MEASURES = list(measures.MEASURES)

@@ -9,6 +9,7 @@ import __spark_entry__ as entry_module
 from conftest import TESTDATA, raw_frames
 from creditmart.operators.lookup import JoinLimits
 from creditmart.operators import quality
+from creditmart.plans import marts
 from creditmart.plans.warehouse import Warehouse
 from creditmart.sources.tables import Scratch
 
@@ -44,17 +45,17 @@ def test_scans_are_pruned_and_filtered(spark):
 
 
 @needs_tables
-def test_calendar_and_seeds_are_broadcast_but_customers_are_not(spark):
+def test_seeds_are_broadcast_by_hint_but_customers_are_not(spark):
     dw = entry_module.warehouse(spark, str(SF))
-    marts = entry_module.marts
-    text = dw.spark._jvm.PythonSQLUtils.explainString(
-        marts.cartera_vigente(dw)._jdf.queryExecution(), "simple")
-    hints = marts.cartera_vigente(dw)._jdf.queryExecution().analyzed().toString()
-    assert text and hints.count("ResolvedHint (strategy=broadcast)") >= 2
-    customer = marts.with_state(dw, dw.fact_credito).join(
-        dw.dim_cliente.select("cliente_sk", "segmento"), "cliente_sk")
-    assert customer._jdf.queryExecution().analyzed().toString().count(
-        "strategy=broadcast") < hints.count("strategy=broadcast") + 3
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(marts.cartera_vigente(dw))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert re.findall(r"SortMergeJoin \[(\w+)#", text) == ["cliente_sk"]
+    assert {"producto_sk", "estado_credito_sk"} <= set(
+        re.findall(r"BroadcastHashJoin \[(\w+)#", text))
 
 
 def test_large_lookup_is_hashed_by_key_and_piece(spark):
