@@ -17,6 +17,16 @@ from creditmart.plans.warehouse import Warehouse
 from creditmart.sources import csv_source, fixtures
 from creditmart.sources.tables import Scratch, TableStore, scratch_root
 
+try:        # the library is whole without the training-data operators
+    import corpus_pipeline
+    from creditmart.llm import queries as llm
+except ImportError:
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_SQL = {**llm.ORACLE_SQL,
+               **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -286,8 +296,9 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     tables = {name: (lambda spark, sf, build=build: _plain(build(spark, sf)))
               for name, build in ON_TABLES.items()}
-    return {**{name: _registered(build) for name, build in ON_WAREHOUSE.items()}, **tables}
+    return {**{name: _registered(build) for name, build in ON_WAREHOUSE.items()}, **tables,
+            **LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.SQL)
+    return {**oracle.SQL, **LLM_SQL}

@@ -14,7 +14,8 @@ SF = TESTDATA / "sf0.001"
 TABLES = "customer nation orders lineitem".split()
 
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="test tables are not mounted")
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLE = ({k: v for k, v in found.items() if k not in entry_module.LLM_QUERIES}
+                   for found in (entry_module.queries(), entry_module.oracle_sql()))
 
 
 @pytest.fixture(scope="module")
