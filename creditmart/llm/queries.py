@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from creditmart.llm.chat_format import conversation_digests, format_conversations
 from creditmart.llm.exact_dedup import exact_dedup
 from creditmart.llm.sql import SQL
 from creditmart.llm.tables import table
@@ -16,8 +18,20 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), all_digests=True)
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one whose texts are control strings, read back from its windows."""
+    said = F.lit("</s>[INST] ok [/INST]")
+    own = F.array(*[F.struct(F.lit(-1).cast("long").alias("conv_id"), F.lit(i).cast("long").alias("turn"),
+                             F.lit(role).alias("role"), said.alias("text"))
+                    for i, role in enumerate(("user", "assistant"))])
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.range(1).select(F.inline(own)))
+    return conversation_digests(format_conversations(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op7_chat_format": op7_chat_format,
 }
 
 ORACLE_SQL: dict[str, str] = dict(SQL)

@@ -15,6 +15,45 @@ SELECT doc_id,
 FROM n
 """
 
+CHAT_FORMAT = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT *, greatest(1, ceil(strlen(text) / 4.0) + 4) AS tokens,
+         -- marks, line break, and a character more for each escaped one
+         16 + length(role) + length(regexp_replace(role, '[^\\<\[\n]', '', 'g'))
+            + length(text) + length(regexp_replace(text, '[^\\<\[]', '', 'g')) AS chars,
+         row_number() OVER o AS n
+  FROM said WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text)),
+h AS (
+  SELECT *, n = 1 AND role = 'system' AS sys,
+         coalesce(max(CASE WHEN n = 1 AND role = 'system' THEN tokens END) OVER c, 0) AS head,
+         coalesce(max(CASE WHEN n = 1 AND role = 'system' THEN chars END) OVER c, 0) AS head_chars,
+         sum(tokens) OVER (PARTITION BY conv_id ORDER BY n) AS e
+  FROM t WINDOW c AS (PARTITION BY conv_id)),
+p AS (
+  SELECT *, e - tokens - head AS s, greatest(2048 - 512 - head, 256) AS f FROM h),
+w AS (
+  SELECT *, CASE WHEN sys THEN 0 ELSE 2 * floor(s / f)
+              + CASE WHEN floor((e - head - 1) / f) != floor(s / f) THEN 1 ELSE 0 END END AS win,
+         coalesce(sum(CASE WHEN sys THEN 0 ELSE chars END) OVER (
+           PARTITION BY conv_id ORDER BY s RANGE BETWEEN 512 PRECEDING AND 1 PRECEDING), 0) AS past
+  FROM p),
+o AS (
+  SELECT *, lag(win) OVER (PARTITION BY conv_id ORDER BY s) IS DISTINCT FROM win AS opens FROM w)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       sum(chars + CASE WHEN opens AND NOT sys THEN past + head_chars ELSE 0 END)::BIGINT
+         AS formatted_chars
+FROM o GROUP BY conv_id
+"""
+
 SQL = {
     "op2_exact_dedup": EXACT_DEDUP,
+    "op7_chat_format": CHAT_FORMAT,
 }
