@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditmart.llm import bpe
 from creditmart.llm.chat_format import conversation_digests, format_conversations
 from creditmart.llm.exact_dedup import exact_dedup
 from creditmart.llm.sql import SQL
 from creditmart.llm.tables import table
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str,
+            vocabulary: str = public_tokenizers.path("byte_bpe_50k.json")) -> DataFrame:
+    """Every document encoded and decoded again, as digests."""
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the equal document that stays."""
     return exact_dedup(table(spark, sf_dir, "documents"), all_digests=True)
@@ -30,6 +42,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op7_chat_format": op7_chat_format,
 }

@@ -31,3 +31,10 @@ def with_size(side: Stored, row_bytes: int = ROW_BYTES) -> DataFrame:
 
 
 __all__ = ["BROADCAST_BYTES", "Scratch", "Stored", "fits", "table", "text_of", "with_size"]
+
+
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python workers take few rows at once: texts are long. A smaller setting is kept."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
