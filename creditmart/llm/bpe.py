@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from creditmart.llm.tables import bounded_batches, text_of
+from creditmart.llm.tables import ready_workers, text_of
 
 REMEMBERED = 600_000        # words, and pieces, that a worker remembers; only time depends on it
 LONGEST_REMEMBERED = 48
@@ -196,7 +196,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             ids = pa.array([pairs.encode(t) for t in batch.column(1).to_pylist()], pa.binary())
             yield pa.record_batch([batch.column(0), ids], ["doc_id", "ids"])
 
-    bounded_batches(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
 

@@ -8,11 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.llm import bpe
+from creditmart.llm import bpe, warc
 from creditmart.llm.chat_format import conversation_digests, format_conversations
 from creditmart.llm.exact_dedup import exact_dedup
 from creditmart.llm.sql import SQL
-from creditmart.llm.tables import table
+from creditmart.llm.tables import Scratch, table
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str,
@@ -30,6 +30,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), all_digests=True)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back as a capture."""
+    folder = f"{Scratch(spark).path}/archives"
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.page_table(warc.assemble(warc.read_records(spark, folder, with_payload=False)))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts are control strings, read back from its windows."""
     said = F.lit("</s>[INST] ok [/INST]")
@@ -44,6 +51,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_warc": op3_warc,
     "op7_chat_format": op7_chat_format,
 }
 

@@ -53,7 +53,22 @@ SELECT conv_id, count(*) AS n_turns,
 FROM o GROUP BY conv_id
 """
 
+WARC = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+c AS (
+  SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(hex, (1 + 5 * (i // 4))::BIGINT, 5))::BIGINT >> (15 - 5 * (i % 4))::INTEGER)
+            & 31)::BIGINT + 1, 1), '' ORDER BY i) AS digest
+  FROM (SELECT DISTINCT hex FROM p), range(32) r(i) GROUP BY hex)
+SELECT page_id, strlen(html) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = max(page_id) OVER g THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = max(page_id) OVER g THEN NULL ELSE max(page_id) OVER g END AS refers_to
+FROM p JOIN c USING (hex) WINDOW g AS (PARTITION BY hex)
+"""
+
 SQL = {
     "op2_exact_dedup": EXACT_DEDUP,
+    "op3_warc": WARC,
     "op7_chat_format": CHAT_FORMAT,
 }

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import creditmart
 from creditmart.sources.tables import Scratch, Stored
 
 BROADCAST_BYTES = 32 << 20      # most that a side may take, by its counted rows, to be broadcast
@@ -33,8 +39,25 @@ def with_size(side: Stored, row_bytes: int = ROW_BYTES) -> DataFrame:
 __all__ = ["BROADCAST_BYTES", "Scratch", "Stored", "fits", "table", "text_of", "with_size"]
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Let Python workers take few rows at once: texts are long. A smaller setting is kept."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}      # the driver serves it until it ends
+
+
+def ready_workers(spark: SparkSession) -> None:
+    """Prepare the session for functions that run in Python workers.
+
+    Workers get this package, and take few rows and bytes at once, as texts are long; smaller
+    settings stay.
+    """
+    for name, most in (("maxRecordsPerBatch", 1000), ("maxBytesPerBatch", 32 << 20)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(re.sub(r"\D", "", spark.conf.get(name)) or 0) <= most:
+            spark.conf.set(name, str(most))
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        folder = _SHIPPED[context.applicationId] = tempfile.TemporaryDirectory()
+        archive = f"{folder.name}/creditmart.zip"
+        root = Path(creditmart.__file__).parent
+        with zipfile.ZipFile(archive, "w") as package:
+            for file in sorted(root.rglob("*.py")):
+                package.write(file, file.relative_to(root.parent))
+        context.addPyFile(archive)
