@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from creditmart.llm import bpe, warc
 from creditmart.llm.chat_format import conversation_digests, format_conversations
 from creditmart.llm.exact_dedup import exact_dedup
+from creditmart.llm.fingerprints import edited_fingerprints
 from creditmart.llm.sql import SQL
 from creditmart.llm.tables import Scratch, table
 
@@ -37,6 +38,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_table(warc.assemble(warc.read_records(spark, folder, with_payload=False)))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of an edited text, and how near both and the next are."""
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts are control strings, read back from its windows."""
     said = F.lit("</s>[INST] ok [/INST]")
@@ -52,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_warc": op3_warc,
+    "op4_fingerprints": op4_fingerprints,
     "op7_chat_format": op7_chat_format,
 }
 
