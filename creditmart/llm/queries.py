@@ -12,8 +12,9 @@ from creditmart.llm import bpe, warc
 from creditmart.llm.chat_format import conversation_digests, format_conversations
 from creditmart.llm.exact_dedup import exact_dedup
 from creditmart.llm.fingerprints import edited_fingerprints
+from creditmart.llm.line_dedup import line_dedup
 from creditmart.llm.sql import SQL
-from creditmart.llm.tables import Scratch, table
+from creditmart.llm.tables import Scratch, table, text_of
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str,
@@ -43,6 +44,13 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose template recurs in other documents."""
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.char_length(text_of("text")).cast("long").alias("kept_chars"),
+        F.sha2(text_of("text"), 256).alias("kept_sha256"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts are control strings, read back from its windows."""
     said = F.lit("</s>[INST] ok [/INST]")
@@ -59,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_warc": op3_warc,
     "op4_fingerprints": op4_fingerprints,
+    "op5_line_dedup": op5_line_dedup,
     "op7_chat_format": op7_chat_format,
 }
 

@@ -67,8 +67,49 @@ SELECT page_id, strlen(html) AS payload_bytes, digest AS payload_digest,
 FROM p JOIN c USING (hex) WINDOW g AS (PARTITION BY hex)
 """
 
+LINE_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines,
+         string_split(regexp_replace(coalesce(text, ''),
+           '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), chr(10)) AS masked
+  FROM documents),
+t AS (
+  SELECT doc_id, pos, list_filter(regexp_split_to_array(masked[pos], '[\x20\x09\x0B\x0C\x0D]+'),
+                                  lambda x: x != '') AS form
+  FROM (SELECT doc_id, masked, unnest(range(1, len(masked) + 1)) AS pos FROM d)),
+l AS (
+  SELECT *, (len(form), form[1:3])::VARCHAR AS leaf FROM t WHERE len(form) >= 2),
+f AS (
+  SELECT leaf, form, count(*) AS n FROM l
+  WHERE leaf IN (SELECT leaf FROM l GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3)
+  GROUP BY leaf, form),
+s AS (
+  SELECT leaf, form, first_value(form) OVER (PARTITION BY leaf ORDER BY n DESC, form) AS seed
+  FROM f),
+m AS (
+  SELECT leaf, form, CASE WHEN len(list_filter(range(1, len(form) + 1),
+                                   lambda i: form[i] = seed[i])) >= 0.7 * len(form)
+                          THEN seed ELSE form END AS template FROM s),
+r AS (
+  SELECT l.doc_id, l.pos, leaf, template FROM l JOIN m USING (leaf, form)),
+c AS (
+  SELECT leaf, template, min((doc_id, pos)) AS first FROM r
+  GROUP BY leaf, template HAVING count(DISTINCT doc_id) >= 3),
+x AS (
+  SELECT r.doc_id, r.pos FROM r JOIN c USING (leaf, template) WHERE (r.doc_id, r.pos) != c.first),
+k AS (
+  SELECT d.doc_id, p.pos, d.lines[p.pos] AS line, x.pos IS NOT NULL AS gone
+  FROM (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS pos FROM d) p JOIN d USING (doc_id)
+  LEFT JOIN x ON x.doc_id = p.doc_id AND x.pos = p.pos)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       length(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_chars,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM k GROUP BY doc_id
+"""
+
 SQL = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op3_warc": WARC,
+    "op5_line_dedup": LINE_DEDUP,
     "op7_chat_format": CHAT_FORMAT,
 }
