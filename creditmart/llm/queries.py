@@ -13,6 +13,7 @@ from creditmart.llm.chat_format import conversation_digests, format_conversation
 from creditmart.llm.exact_dedup import exact_dedup
 from creditmart.llm.fingerprints import edited_fingerprints
 from creditmart.llm.line_dedup import line_dedup
+from creditmart.llm.packing import pack_documents
 from creditmart.llm.sql import SQL
 from creditmart.llm.tables import Scratch, table, text_of
 
@@ -62,6 +63,12 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(rows))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str,
+                vocabulary: str = public_tokenizers.path("word_bpe_49k.json")) -> DataFrame:
+    """Every document packed with its lexical neighbours, piece by piece."""
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -69,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_line_dedup": op5_line_dedup,
     "op7_chat_format": op7_chat_format,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL: dict[str, str] = dict(SQL)
