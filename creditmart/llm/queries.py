@@ -14,6 +14,7 @@ from creditmart.llm.exact_dedup import exact_dedup
 from creditmart.llm.fingerprints import edited_fingerprints
 from creditmart.llm.line_dedup import line_dedup
 from creditmart.llm.packing import pack_documents
+from creditmart.llm.quality import classify
 from creditmart.llm.sql import SQL
 from creditmart.llm.tables import Scratch, table, text_of
 
@@ -69,6 +70,11 @@ def op9_packing(spark: SparkSession, sf_dir: str,
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's perplexity under the model of trusted text, and whether it is kept."""
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("_hash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op7_chat_format": op7_chat_format,
     "op9_packing": op9_packing,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = dict(SQL)
