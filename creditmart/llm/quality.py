@@ -209,7 +209,7 @@ def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None)
     q = F.when(F.col("own.n") >= FEWEST, F.col("own.q")).otherwise(F.col("every.q"))
     judged = judged.withColumn("q", q).withColumn(
         "limit", F.col("q")[0] + MARGIN * (F.col("q")[1] - F.col("q")[0])
-        + SHORT / F.sqrt("n_bytes"))
+        + SHORT / F.sqrt(F.greatest("n_bytes", F.lit(1))))
     return judged.select("doc_id", "_hash", "lang", F.col("x").alias("bits_per_byte"),
                          F.pow(F.lit(2.0), F.col("x")).alias("perplexity"), "limit",
                          F.coalesce(F.col("x") <= F.col("limit"), F.lit(True)).alias("kept"))

@@ -16,6 +16,7 @@ from creditmart.llm.line_dedup import line_dedup
 from creditmart.llm.packing import pack_documents
 from creditmart.llm.quality import classify
 from creditmart.llm.sql import SQL
+from creditmart.llm.suffix_dedup import remove_repeats
 from creditmart.llm.tables import Scratch, table, text_of
 
 
@@ -53,6 +54,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(text_of("text"), 256).alias("kept_sha256"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings that stand elsewhere too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans",
+                                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts are control strings, read back from its windows."""
     said = F.lit("</s>[INST] ok [/INST]")
@@ -81,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_fingerprints": op4_fingerprints,
     "op5_line_dedup": op5_line_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_chat_format": op7_chat_format,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import creditmart
 from creditmart.sources.tables import Scratch, Stored
 
-BROADCAST_BYTES = 32 << 20      # most that a side may take, by its counted rows, to be broadcast
+BROADCAST_BYTES = 64 << 20      # most that a side may take, by its counted rows, to be broadcast
 ROW_BYTES = 64                  # memory of a broadcast row with a few numeric columns
 
 
