@@ -12,6 +12,7 @@ from creditmart.llm import bpe, warc
 from creditmart.llm.chat_format import conversation_digests, format_conversations
 from creditmart.llm.exact_dedup import exact_dedup
 from creditmart.llm.fingerprints import edited_fingerprints
+from creditmart.llm.jaccard_join import jaccard_components
 from creditmart.llm.line_dedup import line_dedup
 from creditmart.llm.packing import pack_documents
 from creditmart.llm.quality import classify
@@ -72,6 +73,11 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(rows))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of its similar ones."""
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("_hash")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str,
                 vocabulary: str = public_tokenizers.path("word_bpe_49k.json")) -> DataFrame:
     """Every document packed with its lexical neighbours, piece by piece."""
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_chat_format": op7_chat_format,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
 }

@@ -107,9 +107,36 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM k GROUP BY doc_id
 """
 
+JACCARD_JOIN = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x != '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)
+         AS grams
+  FROM w),
+g AS (
+  SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common
+  FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id != b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+l AS (
+  SELECT a, b FROM p WHERE 100 * common >= 80 * (na + nb - common)),
+r AS (
+  SELECT doc_id AS a, doc_id AS b FROM s
+  UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, len(s.grams) AS n_shingles, min(r.b) AS component_id
+FROM s JOIN r ON r.a = s.doc_id GROUP BY s.doc_id, len(s.grams)
+"""
+
 SQL = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op3_warc": WARC,
     "op5_line_dedup": LINE_DEDUP,
     "op7_chat_format": CHAT_FORMAT,
+    "op8_jaccard_join": JACCARD_JOIN,
 }
