@@ -310,13 +310,14 @@ def _merged(spans) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   **settings) -> DataFrame:
+                   as_text: bool = False, **settings) -> DataFrame:
     """``docs`` without ``text_col``, with ``kept`` (binary), ``n_bytes``, ``n_removed``, ``n_spans``.
 
     Every byte goes that is covered by a string of LENGTH bytes which also starts anywhere else, in
     the same text or another; strings are judged on the input. Texts are taken as UTF-8 and a null
-    one as empty, so ``kept`` may end amid a character. Rows that repeat an id and its text are
-    texts like any others, so both go. Extra columns are carried along, but for the four named.
+    one as empty. ``kept`` may hold parts of a character; ``as_text`` makes it a string without
+    them. Rows that repeat an id and its text are texts like any others, so both go. Extra columns
+    are carried along, but for the four named.
     """
     spark = docs.sparkSession
     text = text_of(text_col)
@@ -340,9 +341,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 sizes.append(len(data))
                 removed.append(len(data) - len(kept[-1]))
                 counts.append(len(gone))
-            yield pa.record_batch([*batch.columns[2:], pa.array(kept, pa.binary()),
+            kept = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text \
+                else pa.array(kept, pa.binary())
+            yield pa.record_batch([*batch.columns[2:], kept,
                                    *[pa.array(c, pa.int64()) for c in (sizes, removed, counts)]],
                                   [*rest, *made])
 
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rest)
-    return rows.mapInArrow(work, f"{schema}, kept binary, n_bytes long, n_removed long, n_spans long")
+    kind = "string" if as_text else "binary"
+    return rows.mapInArrow(work, f"{schema}, kept {kind}, n_bytes long, n_removed long, n_spans long")
