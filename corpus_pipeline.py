@@ -7,11 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from creditmart.llm import stages
 from creditmart.sources.tables import scratch_root
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", stages.quality_filter),
+    ("lines", stages.line_filter),
+    ("similar", stages.similar_filter),
+    ("repeats", stages.repeat_filter),
+    ("packing", stages.packed),
+]
 
 ORACLE_SQL = None       # similarity, language-model and retrieval stages have no SQL
 
