@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from creditmart.llm.tables import Scratch, fits, ready_workers, text_of, with_size
 
@@ -327,9 +328,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("doc_id").alias("_id"), F.col("_hash").alias("_h"), "spans"), "spans")
     made = ["kept", "n_bytes", "n_removed", "n_spans"]
     rest = [c for c in docs.columns if c != text_col and c not in made]
-    rows = docs.select(*rest, text.alias("_text")).join(
-        with_size(spans, row_bytes=400), F.col(id_col).eqNullSafe(F.col("_id"))
-        & (F.xxhash64("_text") == F.col("_h")), "left").select("_text", "spans", *rest)
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest])
+    rows = docs.select(row.alias("_row"), F.col(id_col).alias("_doc"), text.alias("_text")).join(
+        with_size(spans, row_bytes=400), F.col("_doc").eqNullSafe(F.col("_id"))
+        & (F.xxhash64("_text") == F.col("_h")), "left").select("_text", "spans", "_row")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,10 +345,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 counts.append(len(gone))
             kept = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text \
                 else pa.array(kept, pa.binary())
-            yield pa.record_batch([*batch.columns[2:], kept,
+            yield pa.record_batch([batch.column(2), kept,
                                    *[pa.array(c, pa.int64()) for c in (sizes, removed, counts)]],
-                                  [*rest, *made])
+                                  ["_row", *made])
 
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rest)
-    kind = "string" if as_text else "binary"
-    return rows.mapInArrow(work, f"{schema}, kept {kind}, n_bytes long, n_removed long, n_spans long")
+    kind = StringType() if as_text else BinaryType()
+    schema = StructType([rows.schema["_row"], *[
+        StructField(c, kind if c == "kept" else LongType()) for c in made]])
+    found = rows.mapInArrow(work, schema)
+    return found.select(*[F.col("_row").getField(c).alias(c) for c in rest], *made)
