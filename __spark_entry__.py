@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import oracle
 from creditmart.model import CREDITOS, ENTITIES, ORDER, PAGOS
-from creditmart.operators import calendar, constraints, star
+from creditmart.operators import calendar, constraints, quality, star
+from creditmart.operators.cleanse import cleanse
 from creditmart.plans import audit, marts, measures, pipeline
 from creditmart.plans import queries as reference
 from creditmart.plans.warehouse import Warehouse
@@ -93,7 +94,7 @@ def _stored_marts(spark: SparkSession, sf_dir: str) -> TableStore:
     store = TableStore(spark, f"{scratch_root(spark)}/layers-{uuid.uuid4().hex}")
     dw = warehouse(spark, sf_dir)
     pipeline.load_star(store, dw)
-    pipeline.refresh_marts(store, dw.run_id)
+    pipeline.refresh_marts(store)
     return store
 
 
@@ -188,6 +189,46 @@ def _key_sequences(dw: Warehouse) -> DataFrame:
             .unionByName(span("dim_cliente", "cliente_sk")))
 
 
+def _key_order(dw: Warehouse) -> DataFrame:
+    """Every fact with its key, which counts rows in load order."""
+    return (dw.fact_credito.select(F.lit("fact_credito").alias("tabla"), F.col("credito_id").alias("clave"),
+                                   F.col("fact_credito_sk").alias("sk"))
+            .unionByName(dw.fact_pago.select(F.lit("fact_pago").alias("tabla"),
+                                             F.col("pago_id").alias("clave"),
+                                             F.col("fact_pago_sk").alias("sk"))))
+
+
+def _extreme_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-4 on the mapped loans and payments with amounts and rates far out."""
+    raw = fixtures.raw_entities(spark, sf_dir)
+    loans = raw["creditos"].withColumns({"monto_aprobado": F.expr(fixtures.EXTREME_AMOUNT.format("credito_id", 3)),
+                                         "tasa_interes_mensual": F.expr(fixtures.EXTREME_RATE.format("credito_id", 3))})
+    paid = raw["pagos"].withColumn("monto_pago", F.expr(fixtures.EXTREME_AMOUNT.format("credito_id", 3)))
+    frames = [quality.judge(cleanse(e, df), quality.row_checks(e)).where(F.col(quality.RULE) == "DQ-4").select(
+        F.col(e.key).alias("clave"), F.explode(quality.MOTIVES).alias("motivo"))
+        for e, df in ((CREDITOS, loans), (PAGOS, paid))]
+    return frames[0].unionByName(frames[1])
+
+
+PAYLOAD_FIELDS = {"clientes": ("cliente_id", "fecha_registro", "estado_cliente"),
+                  "creditos": ("credito_id", "fecha_desembolso", "estado_credito"),
+                  "pagos": ("pago_id", "fecha_pago", "estado_pago")}
+
+
+def _payloads(dw: Warehouse) -> DataFrame:
+    """Fields of the logged rows, as typed and as the source had them; null where JSON has null."""
+    def of(name: str, key: str, day: str, state: str) -> DataFrame:
+        errors = dw.errors_with_key().where(F.col("tabla_origen") == ENTITIES[name].raw_table)
+        field = lambda path: F.get_json_object("payload_original", f"$.{path}")
+        return errors.select(
+            "regla_id", "tabla_origen", "motivo", field(key).alias("clave"),
+            field(day).alias("fecha"), field(f"_texto_original.{day}").alias("fecha_original"),
+            field(state).alias("estado"), field(f"_texto_original.{state}").alias("estado_original"))
+
+    frames = [of(name, *fields) for name, fields in PAYLOAD_FIELDS.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 def _audited(dw: Warehouse) -> DataFrame:
     tables = {e.staging_table: dw.staging(n) for n, e in ENTITIES.items()}
     return constraints.audit({**tables, "dim_tiempo": dw.dim_tiempo, "dim_cliente": dw.dim_cliente})
@@ -249,6 +290,8 @@ ON_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "fact_credito": _fact_credito,
     "fact_pago": _fact_pago,
     "fact_key_sequences": _key_sequences,
+    "fact_key_order": _key_order,
+    "dq_error_payload": _payloads,
     "star_discards": lambda dw: dw.discards(),
     "cutoff_date": lambda dw: star.latest_date(dw.valid("creditos"), dw.valid("pagos")),
     "cartera_vigente": marts.cartera_vigente,
@@ -276,6 +319,9 @@ ON_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
 ON_TABLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_roundtrip": _raw_roundtrip,
     "run_health": lambda spark, sf: audit.run_health(_runs(spark, sf)),
+    "ledger_rerun": lambda spark, sf: audit.current_state(fixtures.rerun_events(spark, sf)).select(
+        "run_id", "started_at", "status", "filas_raw_creditos", "error_message"),
+    "dq4_extreme": _extreme_domain,
     "latest_run": lambda spark, sf: audit.latest_run(_runs(spark, sf)),
     "run_errors": _run_errors,
     "pipeline_run": _pipeline_run,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditmart.functions.parsing import date_of, fitting, parse_double, truncated, year_first
+from creditmart.functions.parsing import date_of, parse_double, truncated, year_first
 from creditmart.functions.text import catalog_value, strip
 from creditmart.model import CLIENTES, CREDITOS, ENTITIES, LINEAGE, ORDER, PAGOS, Entity, Field
 
@@ -36,23 +36,22 @@ def _finish(field: Field) -> list[Column]:
         return [F.coalesce(found, value).alias(field.name), found.isNotNull().alias(field.flag)]
     if field.kind == "date":
         return [date_of(value).alias(field.name)]
-    if field.kind == "number":
-        return [fitting(value, field.sql_type).alias(field.name)]
     if field.kind == "integer":
         return [truncated(value).alias(field.name)]
     return [value]
 
 
 def read_fields(entity: Entity) -> list[str]:
-    """Fields whose text is read into another type, which may lose it."""
-    return [f.name for f in entity.fields if f.kind in ("date", "number", "integer")]
+    """Fields whose text is read into another type or spelling, which may lose it."""
+    return [f.name for f in entity.fields if f.kind != "text"]
 
 
 def cleanse(entity: Entity, raw: DataFrame) -> DataFrame:
-    """Typed columns, catalogue flags, lineage and order; plus the text behind dates and numbers.
+    """Typed columns, catalogue flags, lineage and order; plus the text behind what was read.
 
-    Dates and numbers that cannot be read become null here, so their text is kept for the
-    audit trail. The steps are separate projections so that each text is stripped, matched and
+    Dates and numbers that cannot be read become null here, and catalogue values are respelled, so
+    their text is kept for the audit trail. Numbers stay as read, also those that staging could
+    not hold. The steps are separate projections so that each text is stripped, matched and
     cast once per row: Catalyst keeps them apart because later ones use a result repeatedly.
     """
     kept = [F.col(c) for c in (*LINEAGE, ORDER) if c in raw.columns]

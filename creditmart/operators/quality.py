@@ -5,6 +5,8 @@ failing rule. That makes the verdict a property of the row: ``RULE`` (null when
 ``SEVERITY`` and ``MOTIVES``, the messages to log. Rules that need other rows contribute a
 marker column first (first place of its key, parent found, value shared); all the rest are
 plain predicates. Valid rows are a filter on the verdict and errors are an explode of it.
+
+Rule ids, severities and the texts of motives are output, and so fixed values.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditmart.functions.parsing import fits, float_text
 from creditmart.functions.text import is_blank
 from creditmart.model import (CANALES, CLIENTES, CREDITOS, ENTITIES, LINEAGE, METODOS_PAGO, ORDER,
                               PAGOS, PRODUCTOS, Entity)
@@ -70,9 +73,7 @@ def _blank(*columns: str) -> tuple[tuple[Column, Column], ...]:
 
 
 def _amount_text(column: str) -> Column:
-    """An amount with at least one decimal, as the log has always shown it."""
-    text = F.regexp_replace(F.col(column).cast("decimal(18,2)").cast("string"), "0$", "")
-    return F.coalesce(text, F.lit("nan"))
+    return F.coalesce(float_text(F.col(column)), F.lit("nan"))
 
 
 def _joined(rule: str, prefix: str, parts: list[tuple[Column, Column]]) -> Check:
@@ -86,6 +87,11 @@ def _not_positive(column: str) -> Column:
     return F.col(column).isNull() | (F.col(column) <= 0)
 
 
+def _no_amount(column: str) -> Column:
+    """Not positive, or more than its staging type can hold."""
+    return _not_positive(column) | ~fits(F.col(column), "decimal(18,2)")
+
+
 def row_checks(entity: Entity) -> list[Check]:
     """DQ-3 to DQ-6 in the order they apply."""
     if entity is CLIENTES:
@@ -97,7 +103,7 @@ def row_checks(entity: Entity) -> list[Check]:
         return [
             _unknown_state("estado_pago", "_estado_pago_valido", "WARNING"),
             _outside("metodo_pago", METODOS_PAGO),
-            _one("DQ-4", "ERROR", _not_positive("monto_pago"),
+            _one("DQ-4", "ERROR", _no_amount("monto_pago"),
                  F.concat(F.lit("monto_pago fuera de dominio: "), _amount_text("monto_pago"))),
             _one("DQ-5", "ERROR", F.col("fecha_pago").isNull(),
                  _says("fecha_pago inválida: '", "fecha_pago", "'")),
@@ -111,10 +117,10 @@ def row_checks(entity: Entity) -> list[Check]:
         _outside("producto", PRODUCTOS),
         _outside("canal", CANALES),
         _joined("DQ-4", "Valor fuera de dominio: ", [
-            (_not_positive("monto_aprobado"),
+            (_no_amount("monto_aprobado"),
              F.concat(F.lit("monto_aprobado="), _amount_text("monto_aprobado"))),
             (_not_positive("plazo_meses"), _says("plazo_meses=", "plazo_meses")),
-            (~rate.between(0, 10), _says("tasa=", "tasa_interes_mensual")),
+            (~rate.between(0, 10), F.concat(F.lit("tasa="), float_text(rate))),
         ]),
         _joined("DQ-5", "", [
             (asked.isNull(), F.lit("fecha_solicitud inválida o nula")),
@@ -175,9 +181,17 @@ def payload(entity: Entity, columns: list[str]) -> Column:
 
 
 def with_payload(entity: Entity, judged: DataFrame) -> DataFrame:
-    """Serialise failing rows only, and drop what was kept for that."""
+    """Serialise failing rows only, and drop what was kept for that.
+
+    Where rows may still be flagged, source texts stay until ``shared_value_payload``.
+    """
     body = F.when(F.col(RULE).isNotNull(), payload(entity, judged.columns))
-    return judged.withColumn(PAYLOAD, body).drop(*[SOURCE_TEXT + n for n in read_fields(entity)])
+    with_body = judged.withColumn(PAYLOAD, body)
+    return with_body if entity.flags else without_source_text(entity, with_body)
+
+
+def without_source_text(entity: Entity, df: DataFrame) -> DataFrame:
+    return df.drop(*[SOURCE_TEXT + n for n in read_fields(entity)])
 
 
 # --- Markers that need other rows ---------------------------------------------------------
@@ -225,8 +239,8 @@ def flag_shared(entity: Entity, judged: Stored, scratch: Scratch,
 def shared_value_payload(entity: Entity, df: DataFrame) -> DataFrame:
     """Serialise flagged rows too, next to the failing ones."""
     flagged = reduce(lambda a, b: a | b, [F.col(f) for f in entity.flags])
-    return df.withColumn(PAYLOAD, F.coalesce(
-        F.col(PAYLOAD), F.when(flagged, payload(entity, df.columns))))
+    body = F.coalesce(F.col(PAYLOAD), F.when(flagged, payload(entity, df.columns)))
+    return without_source_text(entity, df.withColumn(PAYLOAD, body))
 
 
 # --- Errors and survivors -----------------------------------------------------------------

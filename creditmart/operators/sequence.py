@@ -13,18 +13,15 @@ POSITION = "_posicion"
 _SHIFT = 33      # fixed value: bits below the partition number in monotonically_increasing_id
 
 
-def arrange(df: DataFrame, numbered: Column, order: list[str] | None = None) -> DataFrame:
-    """Put the ``numbered`` rows of every partition first and add each row's partition and place.
+def arrange(df: DataFrame, numbered: Column, order: list[str]) -> DataFrame:
+    """Sort by ``order``, the ``numbered`` rows first, and add each row's partition and place.
 
-    With ``order``, rows are also range-partitioned and sorted, so keys follow it; without, they
-    follow storage order and no row is moved. The result must be stored before ``number`` reads
-    it: only stored positions are stable.
+    Keys therefore follow ``order``, however the rows came to be stored. The result must be stored
+    before ``number`` reads it: only stored positions are stable.
     """
     group = F.when(numbered, 0).otherwise(1).cast("int")
-    grouped = df.withColumn("_grupo", group)
-    if order:
-        grouped = grouped.repartitionByRange("_grupo", *order)
-    return (grouped.sortWithinPartitions("_grupo", *(order or []))
+    grouped = df.withColumn("_grupo", group).repartitionByRange("_grupo", *order)
+    return (grouped.sortWithinPartitions("_grupo", *order)
             .drop("_grupo")
             .withColumn(POSITION, F.monotonically_increasing_id()))
 

@@ -122,8 +122,8 @@ class Warehouse:
         final = (keyed.withColumn(DISCARD, F.when(valid, star.loan_discard(self.start, self.end)))
                  .drop(quality.FIRST, quality.PARENT))
         return self.scratch.save(
-            arrange(final, valid & F.col(DISCARD).isNull()), "creditos",
-                                 CREDITOS.key)
+            arrange(final, valid & F.col(DISCARD).isNull(), [ORDER, CREDITOS.key]), "creditos",
+            CREDITOS.key)
 
     @cached_property
     def _loan_keys(self) -> DataFrame:
@@ -154,7 +154,7 @@ class Warehouse:
         valid = F.col(quality.RULE).isNull()
         final = keyed.withColumn(DISCARD, F.when(valid, star.payment_discard(self.start, self.end)))
         return self.scratch.save(
-            arrange(final, valid & F.col(DISCARD).isNull()), "pagos")
+            arrange(final, valid & F.col(DISCARD).isNull(), [ORDER, PAGOS.key]), "pagos")
 
     def build(self) -> Warehouse:
         """Build all stored tables now rather than on demand."""

@@ -147,18 +147,24 @@ class TableStore:
         log = self._log(layer)
         if log is None:
             return None
-        latest = log.agg(F.max_by(F.struct("run_id", "version"), "publicado_en")).first()[0]
+        latest = log.agg(F.max_by(F.struct("run_id", "version"),
+                                  F.struct("publicado_en", "version"))).first()[0]
         return None if latest is None else (latest.run_id, latest.version)
 
+    def load(self, layer: str) -> tuple[str, str]:
+        """Run and version of the load that is current now; reads may be pinned to it."""
+        current = self._current(layer)
+        if current is None:
+            raise ValueError(f"layer {layer} has not been published")
+        return current
+
     def current_run(self, layer: str) -> str | None:
         current = self._current(layer)
         return current and current[0]
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        current = self._current(layer)
-        if current is None:
-            raise ValueError(f"layer {layer} has not been published")
-        run_id, version = current
+    def read(self, layer: str, table: str, load: tuple[str, str] | None = None) -> DataFrame:
+        """A table of ``load``, or of the current one."""
+        run_id, version = load or self.load(layer)
         return self.spark.read.parquet(self.table_path(layer, run_id, table, version))
 
     def drop_superseded(self, layer: str) -> list[str]:

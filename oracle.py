@@ -21,8 +21,7 @@ def _date(column: str) -> str:
 
 
 def _amount(column: str) -> str:
-    """An amount in a message: two decimals, the last one dropped when it is zero."""
-    return f"regexp_replace(cast(cast({column} as decimal(18,2)) as varchar), '0$', '')"
+    return f"cast({column} as varchar)"
 
 
 def _pct(part: str, whole: str) -> str:
@@ -95,10 +94,10 @@ x_pagos as (select *, lower(metodo_pago) in ('pse', 'efecty', 'transferencia', '
 c3_clientes as (select * from c1_clientes where _estado_cliente_valido),
 c3_creditos as (select * from x_creditos where _estado_credito_valido and _prod and _canal),
 c3_pagos as (select * from x_pagos where _estado_pago_valido and _metodo),
-d_creditos as (select *, coalesce(monto_aprobado <= 0, true) as _m, coalesce(plazo_meses <= 0, true) as _p,
+d_creditos as (select *, coalesce(monto_aprobado <= 0 or monto_aprobado >= 1e16, true) as _m, coalesce(plazo_meses <= 0, true) as _p,
   coalesce(tasa_interes_mensual < 0 or tasa_interes_mensual > 10, false) as _t from c3_creditos),
 c4_creditos as (select * from d_creditos where not (_m or _p or _t)),
-c4_pagos as (select * from c3_pagos where monto_pago > 0),
+c4_pagos as (select * from c3_pagos where monto_pago > 0 and monto_pago < 1e16),
 f_creditos as (select *, fecha_solicitud is null as _f1, coalesce(fecha_desembolso < fecha_solicitud, false) as _f2,
   coalesce(fecha_vencimiento < fecha_desembolso, false) as _f3 from c4_creditos),
 c5_creditos as (select * from f_creditos where not (_f1 or _f2 or _f3)),
@@ -130,7 +129,7 @@ errores as (
    case when _p then 'plazo_meses=' || coalesce(cast(plazo_meses as varchar), 'None') end,
    case when _t then 'tasa=' || cast(tasa_interes_mensual as varchar) end), credito_id from d_creditos where _m or _p or _t
  union all select 'DQ-4', 'raw_pagos', 'ERROR', 'monto_pago fuera de dominio: ' || coalesce({_amount('monto_pago')}, 'nan'), pago_id
-   from c3_pagos where coalesce(monto_pago <= 0, true)
+   from c3_pagos where coalesce(monto_pago <= 0 or monto_pago >= 1e16, true)
  union all select 'DQ-5', 'raw_creditos', 'ERROR', concat_ws('; ', case when _f1 then 'fecha_solicitud inválida o nula' end,
    case when _f2 then 'fecha_desembolso (' || cast(fecha_desembolso as varchar) || ') < fecha_solicitud (' || cast(fecha_solicitud as varchar) || ')' end,
    case when _f3 then 'fecha_vencimiento (' || cast(fecha_vencimiento as varchar) || ') < fecha_desembolso (' || cast(fecha_desembolso as varchar) || ')' end),
@@ -274,6 +273,9 @@ _COLS_PAGOS = """pago_id, credito_id, fecha_pago, monto_pago, metodo_pago, estad
 _RAW_CLIENTES = _COLS_CLIENTES
 _SEGMENT_PRODUCT = "from f_credito where {0} group by segmento, producto"
 
+_EXTREME_LOAN = fixtures.EXTREME_AMOUNT.format("credito_id", 3)
+_EXTREME_RATE = fixtures.EXTREME_RATE.format("credito_id", 3)
+
 SQL: dict[str, str] = {
     "raw_roundtrip": _on_chain(f"""select 'clientes' as entidad, md5(concat_ws('|', {_RAW_CLIENTES})) as huella from raw_clientes
  union all select 'creditos', md5(concat_ws('|', {_COLS_CREDITOS})) from raw_creditos
@@ -323,6 +325,39 @@ SQL: dict[str, str] = {
     "fact_key_sequences": _on_chain("""select 'fact_credito' as tabla, count(*) as filas, cast(1 as bigint) as primera, count(*) as ultima, count(*) as distintas from f_credito
  union all select 'fact_pago', count(*), 1, count(*), count(*) from f_pago
  union all select 'dim_cliente', count(*), 1, count(*), count(*) from v_clientes"""),
+    "fact_key_order": _on_chain("""select 'fact_credito' as tabla, credito_id as clave,
+ row_number() over (order by cast(substr(credito_id, 3) as bigint)) as sk from f_credito
+ union all select 'fact_pago', f.pago_id, row_number() over (order by _o1, _o2, _o3, _o4)
+ from f_pago f join v_pagos v on f.pago_id = v.pago_id"""),
+    "dq4_extreme": _on_chain(f""", e_creditos as (select credito_id, plazo_meses,
+  try_cast({_EXTREME_LOAN} as double) as m, try_cast({_EXTREME_RATE} as double) as t from t_creditos
+  where _estado_credito_valido and lower(producto) in ('microcredito', 'libre inversion', 'capital trabajo', 'consumo')
+  and lower(canal) in ('aliado', 'web', 'app')),
+ e_pagos as (select pago_id, try_cast({_EXTREME_LOAN} as double) as m from t_pagos
+  where _estado_pago_valido and lower(metodo_pago) in ('pse', 'efecty', 'transferencia', 'tarjeta'))
+ select credito_id as clave, 'Valor fuera de dominio: ' || concat_ws('; ',
+  case when m <= 0 or m >= 1e16 then 'monto_aprobado=' || cast(m as varchar) end,
+  case when coalesce(plazo_meses <= 0, true) then 'plazo_meses=' || coalesce(cast(plazo_meses as varchar), 'None') end,
+  case when t < 0 or t > 10 then 'tasa=' || cast(t as varchar) end) as motivo from e_creditos
+ where m <= 0 or m >= 1e16 or coalesce(plazo_meses <= 0, true) or t < 0 or t > 10
+ union all select pago_id, 'monto_pago fuera de dominio: ' || cast(m as varchar) from e_pagos where m <= 0 or m >= 1e16"""),
+    "dq_error_payload": _on_chain(""", c as (
+  select 'raw_clientes' as tabla, 'cliente_id' as campo, t.cliente_id as clave, _n, cast(t.fecha_registro as varchar) as fecha,
+   trim(r.fecha_registro) as fecha_original, t.estado_cliente as estado, trim(r.estado_cliente) as estado_original
+   from r_clientes t join raw_clientes r using (cliente_id)
+  union all select 'raw_creditos', 'credito_id', t.credito_id, _n, cast(t.fecha_desembolso as varchar), trim(r.fecha_desembolso),
+   t.estado_credito, trim(r.estado_credito) from r_creditos t join raw_creditos r on t._ord = r._raw_id
+  union all select 'raw_pagos', 'pago_id', t.pago_id, _n, cast(t.fecha_pago as varchar), trim(r.fecha_pago), t.estado_pago,
+   trim(r.estado_pago) from r_pagos t join raw_pagos r on t.pago_id = r.pago_id and t._o1 = r._o1 and t._o2 = r._o2
+   and t._o3 = r._o3 and t._o4 = r._o4)
+ select 'DQ-1' as regla_id, tabla as tabla_origen, campo || ' duplicado: ' || clave as motivo, clave, fecha, fecha_original,
+  estado, estado_original from c where _n > 1
+ union all select e.regla_id, e.tabla_origen, e.motivo, c.clave, c.fecha, c.fecha_original, c.estado, c.estado_original
+ from errores e join c on e.tabla_origen = c.tabla and e.clave = c.clave and c._n = 1 where e.regla_id <> 'DQ-1'"""),
+    "ledger_rerun": _on_chain("""select run_id, started_at + interval 365 days as started_at,
+ case when cast(substr(run_id, 2) as int) % 2 = 1 then 'FAILED' else 'RUNNING' end as status,
+ cast(null as bigint) as filas_raw_creditos,
+ case when cast(substr(run_id, 2) as int) % 2 = 1 then 'otra falla' end as error_message from runs"""),
     "star_discards": _on_chain(f"""select 'fact_credito' as tabla, credito_id as clave, 'fecha fuera de calendario' as motivo from v_creditos
   where fecha_solicitud not between date '{START}' and date '{END}'
  union all select 'fact_credito', credito_id, 'llave subrogada nula' from m_creditos where _cl is null
@@ -366,7 +401,7 @@ SQL: dict[str, str] = {
     "q2_top_clientes": _on_chain(f"""select c.cliente_id, c.nombres || ' ' || coalesce(c.apellidos, '') as nombre_cliente, c.ciudad, c.segmento,
  count(*) as num_creditos, {_sum('monto')} as monto_total_desembolsado, {_mean_round('sum(tasa)', 'count(tasa)', 4, 2)} as tasa_promedio
  from f_credito f join v_clientes c on f.cliente_sk = c.cliente_sk where {_APPROVED}
- group by c.cliente_id, c.nombres, c.apellidos, c.ciudad, c.segmento, c.cliente_sk order by sum(monto) desc, c.cliente_sk limit 10"""),
+ group by c.cliente_id, c.nombres, c.apellidos, c.ciudad, c.segmento, c.cliente_sk order by sum(monto) desc, c.cliente_id limit 10"""),
     "q3_desembolsos_mensuales": _on_chain(f"""select c.anio, c.mes, c.nombre_mes, count(*) as creditos_desembolsados, {_sum('monto')} as monto_total,
  {_mean_round('sum(monto)', 'count(*)', 2, 0)} as ticket_promedio from f_credito join calendario c on fecha_desembolso = c.fecha
  where {_APPROVED} and c.anio in (1996, 1997) group by c.anio, c.mes, c.nombre_mes"""),
@@ -387,7 +422,7 @@ SQL: dict[str, str] = {
  count(*) as total_creditos, {_n(_WORSE)} as creditos_deteriorados, {_pct(_n(_WORSE), 'count(*)')} as tasa_deterioro_pct,
  {_mean_round('sum(monto)', 'count(*)', 2, 0)} as monto_promedio from f_credito where fecha_desembolso is not null group by 1, 2, 3"""),
     "run_health": _on_chain("""select run_id, started_at, finished_at, status,
- cast((epoch_us(finished_at) - epoch_us(started_at)) // 1000000 as bigint) as duracion_seg,
+ cast(round((epoch_us(finished_at) - epoch_us(started_at)) / 1000000) as bigint) as duracion_seg,
  filas_raw_clientes, filas_raw_creditos, filas_raw_pagos, filas_dq_errors, filas_fact_credito, filas_fact_pago, error_message
  from runs order by started_at desc, run_id limit 10"""),
     "latest_run": _on_chain(f"select run_id, status, {', '.join(COUNTS)} from runs order by started_at desc, run_id limit 1"),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import entity_rows, raw_frame
-from creditmart.functions.parsing import fitting, parse_date, parse_double, truncated
+from creditmart.functions.parsing import fits, float_text, parse_date, parse_double, truncated
 from creditmart.functions.text import WHITESPACE, catalog_value, is_blank, strip
 from creditmart.model import (CLIENTES, CREDITOS, ESTADOS_CLIENTE, ESTADOS_CREDITO, ESTADOS_PAGO,
                               PAGOS)
@@ -53,6 +53,10 @@ def test_dates(spark):
     assert apply(spark, list(cases), parse_date) == list(cases.values())
 
 
+def fitting(text):
+    return F.when(fits(parse_double(text), "decimal(18,2)"), parse_double(text))
+
+
 def test_numbers(spark):
     cases = {
         "2799828": 2799828.0, "1.77": 1.77, "-700000": -700000.0, "": None, "N/A": None,
@@ -60,7 +64,7 @@ def test_numbers(spark):
         "1__000": None, "_1": None, "inf": None, "nan": None, "1.0d": None, "1e999": None,
         "0x10": None, "1,000": None, "99999999999999999999": None,
     }
-    read = apply(spark, list(cases), lambda c: fitting(parse_double(c), "decimal(18,2)"))
+    read = apply(spark, list(cases), fitting)
     assert read == list(cases.values())
 
 
@@ -87,6 +91,16 @@ def python_number(text):
     return value if abs(value) < 1e16 - 0.005 else None
 
 
+def test_number_texts(spark):
+    rng = random.Random(5)
+    values = [0.0, -0.001, 1e-4, 9.9e-5, 50000.0, 1e15, 1e16, 1e20, -2.5e-7, 12345678.9, 1e7, 0.1 + 0.2, 1e100,
+              float("inf"), -float("inf"), 5e-324, *[rng.uniform(-1, 1) * 10 ** rng.randint(-8, 20) for _ in range(500)]]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [float(r[0]) for r in df.select(float_text(F.col("v"))).collect()] == values
+    exact = values[:15]
+    assert [r[0] for r in df.limit(15).select(float_text(F.col("v"))).collect()] == [repr(v) for v in exact]
+
+
 def test_dates_agree_with_the_standard_library(spark):
     rng = random.Random(7)
     parts = ["2024", "1999", "0001", "12", "1", "02", "29", "30", "31", "13", "00", "7", " 7", "", "24"]
@@ -105,7 +119,7 @@ def test_numbers_agree_with_the_standard_library(spark):
              for _ in range(6000)]
     expected = [python_number(t) for t in texts]
     assert sum(n is not None for n in expected) > 1000
-    assert apply(spark, texts, lambda c: fitting(parse_double(c), "decimal(18,2)")) == expected
+    assert apply(spark, texts, fitting) == expected
 
 
 def cleansed(spark, entity, **overrides):

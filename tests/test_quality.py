@@ -227,8 +227,8 @@ def hot_rows():
 
 def outcome(dw):
     errors = sorted(tuple(r) for r in dw.errors().drop("payload_original").collect())
-    facts = sorted(tuple(r) for r in dw.fact_pago.drop("fact_pago_sk").collect())
-    loans = sorted(tuple(r) for r in dw.fact_credito.drop("fact_credito_sk").collect())
+    facts = sorted(tuple(r) for r in dw.fact_pago.collect())
+    loans = sorted(tuple(r) for r in dw.fact_credito.collect())
     flags = sorted((r.pago_id, r.flag_referencia_duplicada) for r in dw.valid("pagos").collect())
     return errors, facts, loans, flags
 
