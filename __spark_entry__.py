@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle
-from creditmart.model import CREDITOS, ENTITIES, ORDER, PAGOS
+from creditmart.model import CLIENTES, CREDITOS, ENTITIES, ORDER, PAGOS
 from creditmart.operators import calendar, constraints, quality, star
 from creditmart.operators.cleanse import cleanse
 from creditmart.plans import audit, marts, measures, pipeline
@@ -229,16 +230,41 @@ def _payloads(dw: Warehouse) -> DataFrame:
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
-def _audited(dw: Warehouse) -> DataFrame:
-    tables = {e.staging_table: dw.staging(n) for n, e in ENTITIES.items()}
-    return constraints.audit({**tables, "dim_tiempo": dw.dim_tiempo, "dim_cliente": dw.dim_cliente})
+_PUBLISHED: dict[tuple[str, str], TableStore] = {}
 
 
-def _audited_dirty(dw: Warehouse) -> DataFrame:
-    """The same audit over rows no rule has filtered, where constraints do break."""
-    pagos = dw.cleaned("pagos").withColumn("flag_referencia_duplicada", F.lit(False))
-    return constraints.audit({CREDITOS.staging_table: dw.cleaned("creditos"),
-                              PAGOS.staging_table: pagos})
+def _published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All tables with declared constraints, as a load leaves them."""
+    key, dw = (spark.sparkContext.applicationId, sf_dir), warehouse(spark, sf_dir)
+    if key not in _PUBLISHED:
+        store, now = TableStore(spark, f"{scratch_root(spark)}/layers-{uuid.uuid4().hex}"), datetime.now(timezone.utc)
+        ledger = audit.Ledger(store)
+        ledger.start(dw.run_id, now)
+        counts = pipeline.load_errors(store, dw) | pipeline.load_staging(store, dw) | pipeline.load_star(store, dw)
+        ledger.succeed(dw.run_id, now, now, counts)
+        _PUBLISHED[key] = store
+    store = _PUBLISHED[key]
+    star_tables = pipeline.PublishedStar(store)
+    return {**{e.staging_table: store.read("stg", e.staging_table) for e in ENTITIES.values()},
+            **{name: getattr(star_tables, name) for name in Warehouse.STAR},
+            "dq_errors": store.history("dq", "dq_errors", pipeline.ERROR_LOG_SCHEMA),
+            "etl_runs": audit.Ledger(store).runs()}
+
+
+def _audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return constraints.audit(_published(spark, sf_dir))
+
+
+def _audited_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same audit over rows no rule has filtered, and loans of customers that do not exist."""
+    dw, tables = warehouse(spark, sf_dir), _published(spark, sf_dir)
+    flags = {"clientes": CLIENTES.flags, "creditos": [], "pagos": PAGOS.flags}
+    dirty = {ENTITIES[n].staging_table: dw.cleaned(n).withColumns({f: F.lit(False) for f in flags[n]})
+             for n in ENTITIES}
+    loans = tables["fact_credito"].withColumn("cliente_sk", F.col("cliente_sk") * 2)
+    return constraints.audit({**dirty, **{n: tables[n] for n in Warehouse.STAR if n.startswith("dim")},
+                              "fact_credito": loans}).where(
+        F.col("tabla").isin(*dirty, "fact_credito"))
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,6 +284,7 @@ def _run_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL_MEASURES = list(measures.MEASURES)
+LOAN_MEASURES = [n for n, m in measures.MEASURES.items() if m.fact == measures.LOANS]
 
 
 def _city_measures(dw: Warehouse) -> DataFrame:
@@ -311,13 +338,17 @@ ON_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "measures_total": lambda dw: measures.measures(dw, ALL_MEASURES),
     "measures_by_segment": lambda dw: measures.measures(dw, ALL_MEASURES, by=["segmento"]),
     "measures_by_city_active": _city_measures,
+    "measures_by_income_band": lambda dw: measures.measures(dw, ALL_MEASURES, by=["rango_ingresos"]),
+    "measures_by_state": lambda dw: measures.measures(dw, LOAN_MEASURES, by=["estado_credito"]),
+    "measures_by_payment_state": lambda dw: measures.measures(
+        dw, ["recaudo_total", "tasa_fallo_pago_pct"], by=["estado_pago"]),
     "measures_time_rollup": lambda dw: measures.drill_down(dw, ALL_MEASURES),
-    "constraint_audit": _audited,
-    "constraint_audit_dirty": _audited_dirty,
 }
 
 ON_TABLES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_roundtrip": _raw_roundtrip,
+    "constraint_audit": _audited,
+    "constraint_audit_dirty": _audited_dirty,
     "run_health": lambda spark, sf: audit.run_health(_runs(spark, sf)),
     "ledger_rerun": lambda spark, sf: audit.current_state(fixtures.rerun_events(spark, sf)).select(
         "run_id", "started_at", "status", "filas_raw_creditos", "error_message"),

@@ -2,6 +2,10 @@
 
 Every measure is a ratio or sum of additive parts. ``measures`` computes the parts once per
 fact at the grain of keys, joins only the dimensions the slice needs, and adds them up.
+
+A measure's own filter replaces a slice on the column it filters: approved loans by loan state are
+all approved loans in every row, as there is one filter on that column at a time. Filters on other
+columns of the same dimension, and ``where``, stay.
 """
 
 from __future__ import annotations
@@ -9,9 +13,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from creditmart.plans.marts import cliente_safe
+
 LOANS, PAYMENTS = "fact_credito", "fact_pago"
 HIERARCHY = ("anio", "trimestre", "mes", "dia")
 
@@ -29,27 +35,43 @@ class Relation:
 
 _CALENDAR = {c: c for c in (*HIERARCHY, "fecha", "semana_anio", "nombre_mes", "nombre_dia",
                             "es_fin_semana", "es_festivo_co")}
-_CUSTOMER = {c: c for c in ("cliente_id", "tipo_documento", "estado_cliente", "ciudad", "segmento",
-                            "fecha_registro", "flag_email_duplicado", "flag_doc_duplicado")}
-_STATE = {"estado_credito": "nombre", "es_activo": "es_activo", "es_mora": "es_mora",
+# Customers as the masked view shows them.
+_CUSTOMER = {c: c for c in ("cliente_id", "tipo_documento", "numero_documento", "nombre_display", "email",
+                            "telefono", "fecha_registro", "estado_cliente", "ciudad", "segmento",
+                            "rango_ingresos", "flag_email_duplicado", "flag_doc_duplicado")}
+_STATE = {"estado_id": "estado_id", "estado_credito": "nombre", "es_activo": "es_activo", "es_mora": "es_mora",
           "es_terminado": "es_terminado"}
 
 RELATIONS = {
     LOANS: (
         Relation("dim_cliente", "cliente_sk", "cliente_sk", False, _CUSTOMER),
-        Relation("dim_producto", "producto_sk", "producto_sk", True, {"producto": "nombre"}),
-        Relation("dim_canal", "canal_sk", "canal_sk", True, {"canal": "nombre"}),
+        Relation("dim_producto", "producto_sk", "producto_sk", True,
+                 {"producto_id": "producto_id", "producto": "nombre"}),
+        Relation("dim_canal", "canal_sk", "canal_sk", True,
+                 {"canal_id": "canal_id", "canal": "nombre"}),
         Relation("dim_estado_credito", "estado_credito_sk", "estado_credito_sk", True, _STATE),
         Relation("dim_tiempo", "tiempo_solicitud_sk", "tiempo_sk", True, _CALENDAR),
     ),
     PAYMENTS: (
         Relation("dim_cliente", "cliente_sk", "cliente_sk", False, _CUSTOMER),
         Relation("dim_metodo_pago", "metodo_pago_sk", "metodo_pago_sk", True,
-                 {"metodo_pago": "nombre", "tipo": "tipo"}),
+                 {"metodo_id": "metodo_id", "metodo_pago": "nombre", "tipo": "tipo"}),
         Relation("dim_tiempo", "tiempo_pago_sk", "tiempo_sk", True, _CALENDAR),
     ),
 }
 
+# Columns of the facts themselves that a slice may use.
+FACT_COLUMNS = {
+    LOANS: {"credito_id", "monto_aprobado", "plazo_meses", "tasa_interes_mensual", "dias_mora"},
+    PAYMENTS: {"pago_id", "credito_id", "monto_pago", "estado_pago", "referencia_transaccion",
+               "flag_referencia_duplicada"},
+}
+
+# The slice that a part's own filter replaces.
+REPLACES = {"_n_activo": "es_activo", "_monto_activo": "es_activo", "_n_mora": "es_mora",
+            "_dias_mora": "es_mora", "_n_aprobado": "estado_credito",
+            "_monto_aprobado": "estado_credito", "_n_fallido": "estado_pago",
+            "_monto_exitoso": "estado_pago"}
 
 # Additive parts, as SQL over one fact row.
 PARTS = {
@@ -107,7 +129,7 @@ class IllegalSlice(ValueError):
 
 
 def _needed(fact: str, columns: set[str]) -> list[Relation]:
-    reachable = {c for r in RELATIONS[fact] for c in r.columns}
+    reachable = {c for r in RELATIONS[fact] for c in r.columns} | FACT_COLUMNS[fact]
     missing = sorted(columns - reachable)
     if missing:
         raise IllegalSlice(f"{fact} cannot be sliced by {missing}")
@@ -116,7 +138,8 @@ def _needed(fact: str, columns: set[str]) -> list[Relation]:
 
 def _attributes(dw, relation: Relation, columns: set[str]) -> DataFrame:
     picked = [F.col(src).alias(name) for name, src in relation.columns.items() if name in columns]
-    dim = getattr(dw, relation.dimension).select(
+    table = cliente_safe(dw) if relation.dimension == "dim_cliente" else getattr(dw, relation.dimension)
+    dim = table.select(
         F.col(relation.dim_key).alias(relation.fact_key), *picked)
     return F.broadcast(dim) if relation.small else dim
 
@@ -135,6 +158,7 @@ def _additive(dw, fact: str, parts: set[str], columns: set[str], where: Column |
     rows = rows.withColumns({p: F.expr(PARTS[fact][p]) for p in parts})
     large = [r for r in relations if not r.small]
     keys = [c for r in relations if r.small for c in r.columns if c in columns]
+    keys += sorted(columns & FACT_COLUMNS[fact])
     keys += [r.fact_key for r in large]
     if large:
         rows = rows.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in sorted(parts)])
@@ -166,6 +190,11 @@ def measures(dw, names: list[str], by: list[str] = (), where: Column | None = No
         rows = _additive(dw, fact, parts, set(by) | set(where_columns), where)
         totals = [F.sum(p).alias(p) for p in sorted(parts)]
         finest = rows.groupBy(*by).agg(*totals)
+        for part in sorted(p for p in parts if REPLACES.get(p) in by):
+            if drill:
+                raise ValueError(f"totals by {REPLACES[part]} would count {part} more than once")
+            others = [c for c in by if c != REPLACES[part]]     # one row per combination from here
+            finest = finest.withColumn(part, F.sum(part).over(Window.partitionBy(*others)))
         if drill:       # roll up the finest level, not the rows: each level would copy them
             depth = F.bit_count(F.grouping_id()).cast("int").alias("nivel")
             finest = finest.rollup(*by).agg(depth, *totals)

@@ -6,7 +6,6 @@ mapping the Spark side reads. Each query adds its own last step.
 
 from __future__ import annotations
 
-from creditmart.operators.constraints import CONSTRAINTS
 from creditmart.plans.audit import COUNTS
 from creditmart.sources import fixtures
 from creditmart.sources.fixtures import END, START
@@ -233,36 +232,114 @@ def _measures_by(keys: list[str], loans: str, payments: str, grouping: str, extr
  select {both}, {_MEASURE_COLUMNS} from l full join p on {same}""")
 
 
-def _constraint_rows(tables: dict[str, str]) -> str:
-    parts = []
+def _with_band(fact: str) -> str:
+    return f"""(select f.*, case when ingresos_mensuales is null then 'Sin dato' when ingresos_mensuales < 5000000 then '< 5M'
+ when ingresos_mensuales < 10000000 then '5M - 10M' when ingresos_mensuales < 20000000 then '10M - 20M' else '> 20M' end
+ as rango_ingresos from {fact} f join v_clientes c on f.cliente_sk = c.cliente_sk)"""
+
+
+# Declared constraints, written out from the data contract (fixed values): keys, columns that are
+# never null, lengths, listed values, references.
+_CLIENT_LENGTHS = """cliente_id 20, tipo_documento 10, numero_documento 50, nombres 200, apellidos 200, email 200,
+ telefono 30, estado_cliente 20, ciudad 100, segmento 50"""
+_DECLARED = {
+    "stg_clientes": ("cliente_id", """cliente_id, tipo_documento, nombres, estado_cliente, flag_email_duplicado,
+ flag_doc_duplicado, _ingested_at, _source_file""", _CLIENT_LENGTHS, {}, {}),
+    "stg_creditos": ("credito_id", """credito_id, cliente_id, fecha_solicitud, monto_aprobado, plazo_meses,
+ estado_credito, producto, canal, _ingested_at, _source_file""",
+                     "credito_id 20, cliente_id 20, estado_credito 30, producto 100, canal 50", {}, {}),
+    "stg_pagos": ("pago_id", """pago_id, credito_id, fecha_pago, monto_pago, metodo_pago, estado_pago,
+ flag_referencia_duplicada, _ingested_at, _source_file""",
+                  "pago_id 20, credito_id 20, metodo_pago 50, estado_pago 30, referencia_transaccion 100", {}, {}),
+    "dim_tiempo": ("tiempo_sk, fecha", """fecha, anio, mes, dia, trimestre, semana_anio, nombre_mes, nombre_dia,
+ es_fin_semana, es_festivo_co, _loaded_at""", "nombre_mes 20, nombre_dia 20", {}, {}),
+    "dim_cliente": ("cliente_sk, cliente_id", """cliente_id, tipo_documento, nombres, estado_cliente,
+ flag_email_duplicado, flag_doc_duplicado, _loaded_at""", _CLIENT_LENGTHS, {}, {}),
+    "dim_producto": ("producto_sk, producto_id", "nombre, _loaded_at", "producto_id 30, nombre 100", {}, {}),
+    "dim_canal": ("canal_sk, canal_id", "nombre, _loaded_at", "canal_id 20, nombre 50", {}, {}),
+    "dim_estado_credito": ("estado_credito_sk, estado_id", "nombre, es_activo, es_mora, es_terminado, _loaded_at",
+                           "estado_id 20, nombre 50", {}, {}),
+    "dim_metodo_pago": ("metodo_pago_sk, metodo_id", "nombre, _loaded_at", "metodo_id 20, nombre 50, tipo 30", {}, {}),
+    "fact_credito": ("fact_credito_sk, credito_id", """credito_id, cliente_sk, producto_sk, canal_sk,
+ estado_credito_sk, tiempo_solicitud_sk, monto_aprobado, plazo_meses, dias_mora, _loaded_at""", "credito_id 20", {},
+                     {"cliente_sk": "dim_cliente.cliente_sk", "producto_sk": "dim_producto.producto_sk",
+                      "canal_sk": "dim_canal.canal_sk", "estado_credito_sk": "dim_estado_credito.estado_credito_sk",
+                      "tiempo_solicitud_sk": "dim_tiempo.tiempo_sk", "tiempo_desembolso_sk": "dim_tiempo.tiempo_sk",
+                      "tiempo_vencimiento_sk": "dim_tiempo.tiempo_sk"}),
+    "fact_pago": ("fact_pago_sk, pago_id", """pago_id, credito_id, cliente_sk, metodo_pago_sk, tiempo_pago_sk,
+ monto_pago, estado_pago, flag_referencia_duplicada, _loaded_at""",
+                  "pago_id 20, credito_id 20, estado_pago 30, referencia_transaccion 100", {},
+                  {"cliente_sk": "dim_cliente.cliente_sk", "metodo_pago_sk": "dim_metodo_pago.metodo_pago_sk",
+                   "tiempo_pago_sk": "dim_tiempo.tiempo_sk"}),
+    "dq_errors": ("", "run_id, regla_id, tabla_origen, severidad, motivo, payload_original, created_at",
+                  "regla_id 10, tabla_origen 50, severidad 10", {"severidad": "'ERROR', 'WARNING'"}, {}),
+    "etl_runs": ("run_id", "started_at, status", "status 10", {"status": "'RUNNING', 'SUCCESS', 'FAILED'"}, {}),
+}
 
-    def add(table: str, name: str, count: str) -> None:
-        parts.append(f"select '{table}' as tabla, '{name}' as restriccion, cast(({count}) as bigint) as violaciones")
-
-    for table, source in tables.items():
-        c = CONSTRAINTS[table]
-        for k in c.unique:
-            add(table, f"unique not null {k}", f"select count(*) from {source} where {k} is null")
-            add(table, f"unique {k}", f"select count({k}) - count(distinct {k}) from {source}")
-        for k in c.not_null:
-            add(table, f"not null {k}", f"select count(*) from {source} where {k} is null")
-        for k, size in c.max_len.items():
-            add(table, f"length {k} <= {size}", f"select count(*) from {source} where length({k}) > {size}")
-        for k, values in c.one_of.items():
-            listed = ", ".join(f"'{v}'" for v in values)
-            add(table, f"check {k}", f"select count(*) from {source} where {k} not in ({listed})")
-        for ref in c.references:
-            if ref.table in tables:
-                add(table, f"{ref.column} -> {ref.table}",
-                    f"select count(*) from {source} where {ref.column} is not null and "
-                    f"{ref.column} not in (select {ref.target} from {tables[ref.table]})")
+
+def _constraint_rows(tables: dict[str, str], only: tuple[str, ...] = ()) -> str:
+    parts = []
+    split = lambda text: [x.strip() for x in text.split(",") if x.strip()]
+    for table in only or tables:
+        keys, required, lengths, listed, references = _DECLARED[table]
+        found = {}
+        for k in split(keys):
+            found[f"unique not null {k}"] = f"count(*) filter ({k} is null)"
+            found[f"unique {k}"] = f"count({k}) - count(distinct {k})"
+        for k in split(required):
+            found[f"not null {k}"] = f"count(*) filter ({k} is null)"
+        for k, size in (x.split() for x in split(lengths)):
+            found[f"length {k} <= {size}"] = f"count(*) filter (length({k}) > {size})"
+        for k, values in listed.items():
+            found[f"check {k}"] = f"count(*) filter ({k} not in ({values}))"
+        for k, (target, column) in ((k, r.split(".")) for k, r in references.items()):
+            found[f"{k} -> {target}"] = f"count(*) filter ({k} not in (select {column} from {tables[target]}))"
+        parts += [f"select '{table}' as tabla, '{name}' as restriccion, cast({count} as bigint) as violaciones"
+                  f" from {tables[table]}" for name, count in found.items()]
     return _on_chain("\n union all ".join(parts))
 
 
-_STAR_SOURCES = {
-    "stg_clientes": "v_clientes", "stg_creditos": "v_creditos", "stg_pagos": "v_pagos",
-    "dim_tiempo": "calendario", "dim_cliente": "v_clientes",
+def _stamped(source: str) -> str:
+    return f"(select *, 1 as _ingested_at, 1 as _source_file, 1 as _loaded_at from {source})"
+
+
+def _place(labels: str, column: str) -> str:
+    return f"list_position([{', '.join(repr(x) for x in labels.split('/'))}], {column})"
+
+
+def _seeds(key: str, id_: str, ids: str, names: str, rest: str = "") -> str:
+    rows = ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(zip(ids.split("/"), names.split("/")), 1))
+    return f"(select *{rest}, 1 as _loaded_at from (values {rows}) t({key}, {id_}, nombre))"
+
+
+_PRODUCTS, _CHANNELS = "Microcredito/Libre inversion/Capital trabajo/Consumo", "Aliado/Web/App"
+_STATES, _METHODS = "Activo/Mora/Vencido/Pagado/Cancelado/Rechazado", "PSE/Efecty/Transferencia/Tarjeta"
+_DAY = "cast(strftime({0}, '%Y%m%d') as integer)"
+_AUDITED = {
+    "stg_clientes": _stamped("v_clientes"), "stg_creditos": _stamped("v_creditos"), "stg_pagos": _stamped("v_pagos"),
+    "dim_tiempo": _stamped("calendario"), "dim_cliente": _stamped("v_clientes"),
+    "dim_producto": _seeds("producto_sk", "producto_id", "MICRO/LIBRE_INV/CAP_TRABAJO/CONSUMO", _PRODUCTS),
+    "dim_canal": _seeds("canal_sk", "canal_id", "ALIADO/WEB/APP", _CHANNELS),
+    "dim_estado_credito": _seeds("estado_credito_sk", "estado_id", _STATES.upper(), _STATES,
+                                 ", nombre = 'Activo' as es_activo, nombre = 'Mora' as es_mora, false as es_terminado"),
+    "dim_metodo_pago": _seeds("metodo_pago_sk", "metodo_id", _METHODS.upper(), _METHODS, ", 'digital' as tipo"),
+    "fact_credito": _stamped(f"""(select row_number() over () as fact_credito_sk, credito_id, cliente_sk,
+ {_place(_PRODUCTS, 'producto')} as producto_sk, {_place(_CHANNELS, 'canal')} as canal_sk,
+ {_place(_STATES, 'estado')} as estado_credito_sk, {_DAY.format('fecha_solicitud')} as tiempo_solicitud_sk,
+ {_DAY.format('fecha_desembolso')} as tiempo_desembolso_sk, {_DAY.format('fecha_vencimiento')} as tiempo_vencimiento_sk,
+ monto as monto_aprobado, plazo as plazo_meses, dias_mora from f_credito)"""),
+    "fact_pago": _stamped(f"""(select row_number() over () as fact_pago_sk, pago_id, credito_id, cliente_sk,
+ {_place(_METHODS, 'metodo')} as metodo_pago_sk, {_DAY.format('fecha_pago')} as tiempo_pago_sk, monto as monto_pago,
+ estado as estado_pago, referencia_transaccion, flag_referencia_duplicada from f_pago)"""),
+    "dq_errors": "(select *, 1 as run_id, motivo as payload_original, 1 as created_at from errores)",
+    "etl_runs": "(select 1 as run_id, 1 as started_at, 'SUCCESS' as status)",
 }
+_DIRTY = {**_AUDITED,
+          "stg_clientes": "(select *, false as flag_email_duplicado, false as flag_doc_duplicado from "
+                          + _stamped("t_clientes") + ")",
+          "stg_creditos": _stamped("t_creditos"),
+          "stg_pagos": "(select *, false as flag_referencia_duplicada from " + _stamped("t_pagos") + ")",
+          "fact_credito": f"(select * replace (cliente_sk * 2 as cliente_sk) from {_AUDITED['fact_credito']})"}
 
 _COLS_CLIENTES = """cliente_id, tipo_documento, numero_documento, nombres, apellidos, email, telefono,
  fecha_registro, estado_cliente, ciudad, segmento, fecha_nacimiento, ingresos_mensuales"""
@@ -438,15 +515,28 @@ SQL: dict[str, str] = {
     "measures_by_city_active": _on_chain(f""", l as (select c.ciudad, f.producto, {_LOAN_MEASURES} from f_credito f
   join v_clientes c on f.cliente_sk = c.cliente_sk where canal = 'Web' group by c.ciudad, f.producto)
  select ciudad, producto, ticket_promedio, tasa_aprobacion_pct from l"""),
+    "measures_by_income_band": _measures_by(
+        ["rango_ingresos"], _with_band("f_credito"), _with_band("f_pago"), "rango_ingresos"),
+    "measures_by_state": _on_chain(f"""select estado as estado_credito, cast(sum(monto) filter (where es_activo) as double) as cartera_vigente,
+ nullif({_n('es_activo')}, 0) as num_creditos_activos,
+ (select {_mean('sum(monto)', 'count(*)')} from f_credito where {_APPROVED}) as ticket_promedio,
+ cast({_n('es_mora')} as double) * cast(100 as double) / count(*) as tasa_mora_pct,
+ {_mean("sum(dias_mora) filter (where es_mora)", _n('es_mora'))} as dias_mora_promedio,
+ cast((select count(*) from f_credito where {_APPROVED}) as double) * cast(100 as double) / count(*) as tasa_aprobacion_pct
+ from f_credito group by estado"""),
+    "measures_by_payment_state": _on_chain("""select estado as estado_pago,
+ (select cast(sum(monto) as double) from f_pago where estado = 'Exitoso') as recaudo_total,
+ cast((select count(*) from f_pago where estado = 'Fallido') as double) * cast(100 as double) / count(*) as tasa_fallo_pago_pct
+ from f_pago group by estado"""),
     "measures_time_rollup": _measures_by(
         ["anio", "trimestre", "mes", "dia"],
         "(select f.*, c.anio, c.trimestre, c.mes, c.dia from f_credito f join calendario c on f.fecha_solicitud = c.fecha)",
         "(select f.*, c.anio, c.trimestre, c.mes, c.dia from f_pago f join calendario c on f.fecha_pago = c.fecha)",
         "rollup (anio, trimestre, mes, dia)",
         ", cast(bit_count(grouping(anio, trimestre, mes, dia)) as integer) as nivel"),
-    "constraint_audit": _constraint_rows(_STAR_SOURCES),
+    "constraint_audit": _constraint_rows(_AUDITED),
     "constraint_audit_dirty": _constraint_rows(
-        {"stg_creditos": "t_creditos", "stg_pagos": "(select *, false as flag_referencia_duplicada from t_pagos)"}),
+        _DIRTY, ("stg_clientes", "stg_creditos", "stg_pagos", "fact_credito")),
     "pipeline_run": _on_chain("""select 'SUCCESS' as status, (select count(*) from raw_clientes) as filas_raw_clientes,
  (select count(*) from raw_creditos) as filas_raw_creditos, (select count(*) from raw_pagos) as filas_raw_pagos,
  (select count(*) from v_clientes) as filas_stg_clientes, (select count(*) from v_creditos) as filas_stg_creditos,
