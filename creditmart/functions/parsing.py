@@ -44,26 +44,13 @@ def fits(value: Column, sql_type: str) -> Column:
 
 def float_text(value: Column) -> Column:
     """A double as the error log prints it: shortest digits, plain from 1e-4 to below 1e16."""
-    text = F.abs(value).cast("string")
-    exponent = F.coalesce(F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0))
-    mantissa = F.regexp_replace(text, r"E.*$", "")
-    whole, fraction = F.substring_index(mantissa, ".", 1), F.substring_index(mantissa, ".", -1)
-    # Digits without zeros at either end, and the power of ten of the first of them.
-    digits = F.regexp_replace(F.concat(whole, fraction), "^0+|0+$", "")
-    leading = F.length(F.regexp_extract(F.concat(whole, fraction), "^0*", 0))
-    power = exponent + F.length(whole) - 1 - leading
-    zeros = lambda n: F.repeat(F.lit("0"), F.greatest(n, F.lit(0)))
-    large = F.concat(F.rpad(F.substr(digits, F.lit(1), power + 1), power + 1, F.lit("0")), F.lit("."),
-                     F.coalesce(F.nullif(F.substr(digits, power + 2), F.lit("")), F.lit("0")))
-    small = F.concat(F.lit("0."), zeros(-power - 1), digits)
-    rest = F.substr(digits, F.lit(2))
-    scientific = F.concat(
-        F.substr(digits, F.lit(1), F.lit(1)), F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""),
-        F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), F.greatest(
-            F.length(F.abs(power).cast("string")), F.lit(2)), F.lit("0")))
-    printed = (F.when(digits == "", "0.0").when(F.abs(value) == float("inf"), "inf")
-               .when((power < -4) | (power >= 16), scientific).when(power < 0, small).otherwise(large))
-    return F.concat(F.when(value < 0, "-").otherwise(""), printed)
+    digits = F.regexp_replace(value.cast("decimal(38,20)").cast("string"), "0+$", "")
+    plain = F.regexp_replace(digits, r"\.$", ".0")
+    text = F.regexp_replace(F.regexp_replace(value.cast("string"), r"\.0E", "E"), "Infinity", "inf")
+    signed = F.regexp_replace(F.regexp_replace(text, r"E(\d)", "e+$1"), "E-", "e-")
+    scientific = F.regexp_replace(signed, r"(e.)(\d)$", "$10$2")
+    return (F.when(value == 0, "0.0").when(F.abs(value).between(1e-4, 9999999999999998.0), plain)
+            .otherwise(scientific))
 
 
 def truncated(value: Column) -> Column:

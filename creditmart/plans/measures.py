@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditmart.plans.marts import cliente_safe
@@ -193,8 +193,12 @@ def measures(dw, names: list[str], by: list[str] = (), where: Column | None = No
         for part in sorted(p for p in parts if REPLACES.get(p) in by):
             if drill:
                 raise ValueError(f"totals by {REPLACES[part]} would count {part} more than once")
-            others = [c for c in by if c != REPLACES[part]]     # one row per combination from here
-            finest = finest.withColumn(part, F.sum(part).over(Window.partitionBy(*others)))
+            others = [c for c in by if c != REPLACES[part]]
+            rest = [c for c in finest.columns if c not in others and c != part]
+            # A row per value of the replaced column: states are few.
+            finest = finest.groupBy(*others).agg(
+                F.sum(part).alias(part), F.collect_list(F.struct(*rest)).alias("_filas")
+            ).select(*others, part, F.inline("_filas"))
         if drill:       # roll up the finest level, not the rows: each level would copy them
             depth = F.bit_count(F.grouping_id()).cast("int").alias("nivel")
             finest = finest.rollup(*by).agg(depth, *totals)

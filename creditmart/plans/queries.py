@@ -31,14 +31,14 @@ def cartera_segmento_producto(dw) -> DataFrame:
 
 def top_clientes(dw, limit: int = 10) -> DataFrame:
     """Q2: customers with the largest total. Ranked on keys; only the winners meet the dimension."""
-    total = F.col("monto_total_desembolsado")
     sums = (with_state(dw, dw.fact_credito).where(approved()).groupBy("cliente_sk")
             .agg(F.count(F.lit(1)).alias("num_creditos"),
                  F.sum(AMOUNT).alias("monto_total_desembolsado"),
                  rounded_mean(F.sum("tasa_interes_mensual"), F.count("tasa_interes_mensual"), 4, 2)
                  .alias("tasa_promedio")))
-    least = sums.orderBy(F.desc("monto_total_desembolsado")).limit(limit).agg(F.min(total).alias("_minimo"))
-    best = sums.join(F.broadcast(least), total >= F.col("_minimo"))      # one row; ties stay in
+    largest = sums.orderBy(F.desc("monto_total_desembolsado")).limit(limit).select(
+        "monto_total_desembolsado").distinct()
+    best = sums.join(F.broadcast(largest), "monto_total_desembolsado")   # ``limit`` rows; ties stay in
     return (dw.dim_cliente.join(best, "cliente_sk")
             .orderBy(F.desc("monto_total_desembolsado"), "cliente_id").limit(limit)
             .select("cliente_id", _full_name().alias("nombre_cliente"), "ciudad", "segmento",
