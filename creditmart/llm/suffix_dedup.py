@@ -20,11 +20,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from creditmart.llm.tables import Scratch, fits, ready_workers, text_of, with_size
+from creditmart.llm.tables import Scratch, Stored, fits, ready_workers, text_of, with_size
 
 LENGTH, GRAM = 200, 80
 CHUNK = 1 << 20             # bytes hashed together
@@ -226,29 +226,41 @@ def _strings(length: int):
     return work
 
 
-def _fetched(docs: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
-    """``wanted`` with ``bytes``, cut from the documents that hold each segment."""
-    lists = wanted.groupBy(F.col("rep.doc_id").alias("_id"), F.col("rep._hash").alias("_h")).agg(
-        F.collect_list(F.struct("anchor", "seg", "segs", "rep.start", "rep.len")).alias("list"))
-    lists = scratch.save(lists, "lists")
-    held = docs.join(with_size(lists, row_bytes=600), F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & (F.col("_hash") == F.col("_h")))
+def _fetched(docs: DataFrame, wanted: Stored, scratch: Scratch) -> DataFrame:
+    """``anchor, seg, bytes`` of ``wanted``, cut from the documents that hold each segment."""
+    place = F.shiftleft(F.col("rep.start").cast("long"), 32).bitwiseOR(F.col("rep.len").cast("long"))
+    lists = scratch.save(wanted.df.groupBy(F.col("rep.doc_id").alias("_id"), F.col("rep._hash").alias("_h")).agg(
+        F.flatten(F.collect_list(F.array("anchor", "seg", place))).alias("list")), "lists")
+    side = F.broadcast(lists.df) if fits(wanted, 32) else lists.df
+    held = docs.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(s["anchor"], s["seg"], s["segs"], data[s["start"]:s["start"] + s["len"]])
-                    for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for data in [text.encode("utf-8")] for s in wanted]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            columns = list(zip(*rows)) or [[]] * 4
+            rows = [(anchor, seg, data[place >> 32:(place >> 32) + (place & 0xFFFFFFFF)])
+                    for text, flat in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                    for data in [text.encode("utf-8")]
+                    for anchor, seg, place in zip(flat[::3], flat[1::3], flat[2::3])]
+            kinds = [pa.int64(), pa.int64(), pa.binary()]
+            columns = list(zip(*rows)) or [[]] * 3
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                  ["anchor", "seg", "segs", "bytes"])
+                                  ["anchor", "seg", "bytes"])
 
-    cuts = held.select("text", "list").mapInArrow(cut, "anchor long, seg long, segs long, bytes binary")
+    cuts = held.select("text", "list").mapInArrow(cut, "anchor long, seg long, bytes binary")
     # Rows that repeat an id and its text give a segment more than once.
     return cuts.dropDuplicates(["anchor", "seg"])
 
 
+def _islands(spans: DataFrame) -> DataFrame:
+    """``doc_id, _hash, spans``: the spans (a, b) of each document, those that touch made one."""
+    order = Window.partitionBy("doc_id", "_hash").orderBy("a", "b")
+    before = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce((F.col("a") > before).cast("int"), F.lit(1))
+    numbered = spans.withColumn("opens", opens).withColumn("island", F.sum("opens").over(order))
+    merged = numbered.groupBy("doc_id", "_hash", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return merged.groupBy("doc_id", "_hash").agg(
+        F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
                    crowded: int = CROWDED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, _hash, spans``: the byte spans to remove, for documents of ``doc_id, _hash, text``
@@ -271,18 +283,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         F.lit(0).alias("a"), F.col("rep.len").alias("b"))).alias("spans"))
     verdicts = [whole]
     if wanted.rows:
-        cuts = _fetched(docs, wanted.df, scratch)
+        cuts = _fetched(docs, wanted, scratch)
         if most > crowded:
             cuts = scratch.save(cuts, "cuts").df
+            split = F.broadcast(mixed.df.where(F.col("segs") > crowded).select("anchor"))   # few: each is large
+            crowds, cuts = cuts.join(split, "anchor", "left_semi"), cuts.join(split, "anchor", "left_anti")
         blocks = size // block_bytes + 1
         verdicts.append(
-            cuts.where(F.col("segs") <= crowded)
-            .groupBy(F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block"))
+            cuts.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(blocks)).alias("block"))
             .applyInArrow(_search(length), spans))
         if most > crowded:
             strings = scratch.save(
-                cuts.where(F.col("segs") > crowded).select("anchor", "seg", "bytes")
-                .mapInArrow(_strings(length), "anchor long, seg long, at int, h1 long, h2 long"),
+                crowds.select("anchor", "seg", "bytes").mapInArrow(_strings(length), "anchor long, seg long, at int, h1 long, h2 long"),
                 "strings").df
             equal = strings.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             verdicts.append(
@@ -292,22 +304,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     verdict = verdicts[0]
     for more in verdicts[1:]:
         verdict = verdict.unionByName(more)
-    verdict = scratch.save(verdict, "verdicts")
-    spread = found.join(with_size(verdict, row_bytes=64), ["anchor", "seg"]).select(
+    verdict = scratch.save(verdict, "verdicts").df
+    spread = found.join(verdict, ["anchor", "seg"]).select(
         "doc_id", "_hash", "start", F.explode("spans").alias("s"))
-    return spread.groupBy("doc_id", "_hash").agg(F.array_sort(F.collect_list(F.struct(
-        (F.col("start") + F.col("s.a")).alias("a"), (F.col("start") + F.col("s.b")).alias("b"))))
-        .alias("spans"))
-
-
-def _merged(spans) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for span in spans or ():
-        if out and span["a"] <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], span["b"])
-        else:
-            out.append([span["a"], span["b"]])
-    return out
+    return _islands(spread.select("doc_id", "_hash", (F.col("start") + F.col("s.a")).alias("a"),
+                                  (F.col("start") + F.col("s.b")).alias("b")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -330,14 +331,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rest = [c for c in docs.columns if c != text_col and c not in made]
     row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest])
     rows = docs.select(row.alias("_row"), F.col(id_col).alias("_doc"), text.alias("_text")).join(
-        with_size(spans, row_bytes=400), F.col("_doc").eqNullSafe(F.col("_id"))
+        with_size(spans, row_bytes=160), F.col("_doc").eqNullSafe(F.col("_id"))
         & (F.xxhash64("_text") == F.col("_h")), "left").select("_text", "spans", "_row")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, sizes, removed, counts = [], [], [], []
             for value, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data, gone = value.encode("utf-8"), _merged(spans)
+                data = value.encode("utf-8")
+                gone = [(s["a"], s["b"]) for s in spans or ()]
                 at = [0, *[x for span in gone for x in span], len(data)]
                 kept.append(b"".join(data[a:b] for a, b in zip(at[::2], at[1::2])))
                 sizes.append(len(data))
