@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from creditmart.llm.bpe import byte_characters
 from creditmart.llm.tables import Scratch, Stored, ready_workers, text_of
 
 WINDOW = 2048
@@ -31,64 +33,73 @@ SHARD_TOKENS = 16 << 20             # tokens of a shard, one task's work
 QUERY_TERMS = 16                    # terms of a seed that are looked up
 K1, B = 1.2, 0.75                   # the usual BM25 constants
 TERMS = 1 << 16                     # ids are stored in 16 bits
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 48
+REMEMBERED, LONGEST_REMEMBERED = 400_000, 40    # words and pieces of a worker, twice; only time depends on it
 
 # Words of Latin letters, digits and ASCII signs, and their pieces under the published pattern.
 LETTERS = "a-z\xc0-\xd6\xd8-\xf6\xf8-įı-ʯ"
-LATIN = re.compile(rf"[\x21-\x7e{LETTERS}]*")
-LATIN_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+")
+SIMPLE = re.compile(rf"([{LETTERS}]+)([.,:;!?]*)").fullmatch         # two pieces at most
+LATIN = re.compile(rf"[\x21-\x7e{LETTERS}]*").fullmatch
+LATIN_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+").findall
 
 
-class Words:
-    """Ids of texts as the tokenizers library gives them, words it has met being looked up."""
+class Words(dict):
+    """Ids by word, as the tokenizers library gives them: words not met before are worked out."""
 
     def __init__(self, path: str):
+        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         if self.tokenizer.get_vocab_size() > TERMS:
             raise ValueError("ids must fit in 16 bits")
-        self.spelled = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {b: c for c, b in byte_characters().items()}
+        self.tokens = self.tokenizer.model.tokenize
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {"": b""}
-        self.known_pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}           # what was known before it grew too large
+        self.older_pieces: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
-        ids = np.array([t.id for t in self.tokenizer.model.tokenize(self.spelled(piece)[0][0])],
-                       "<u2").tobytes()
+        ids = self.older_pieces.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() else \
+                piece.encode("utf-8").decode("latin-1").translate(self.spelling)
+            ids = array("H", [t.id for t in self.tokens(spelled)]).tobytes()
         if len(piece) <= LONGEST_REMEMBERED:
-            if len(self.known_pieces) >= REMEMBERED:
-                self.known_pieces.clear()
-            self.known_pieces[piece] = ids
+            if len(self.pieces) >= REMEMBERED:
+                self.older_pieces, self.pieces = self.pieces, {}
+            self.pieces[piece] = ids
         return ids
 
     def _word(self, word: str) -> bytes:
         lower = word.lower()
-        if LATIN.fullmatch(lower) and not any(s in word for s in self.special):
-            known = self.known_pieces.get
-            ids = b"".join([known(p) or self._piece(p) for p in LATIN_PIECES.findall(lower)])
-        else:
-            encoded = self.tokenizer.encode(word, add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u2").tobytes()
+        if simple := SIMPLE(lower):
+            letters, rest = simple.groups()
+            ids = self.pieces.get(letters) or self._piece(letters)
+            return ids + (self.pieces.get(rest) or self._piece(rest)) if rest else ids
+        if LATIN(lower) and not ("<|" in word and any(s in word for s in self.special)):
+            known, piece = self.pieces.get, self._piece
+            return b"".join([known(p) or piece(p) for p in LATIN_PIECES(lower)])
+        return array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._word(word)
         if len(word) <= LONGEST_REMEMBERED:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-                self.known[""] = b""
-            self.known[word] = ids
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+                self[""] = b""
+            self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids in 16 bits each. Spaces and line feeds separate pieces under any pattern."""
-        known, word = self.known.get, self._word
-        out = []
-        for w in text.replace("\n", " ").split(" "):
-            ids = known(w)
-            out.append(word(w) if ids is None else ids)
-        return b"".join(out)
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @lru_cache(maxsize=2)
@@ -115,16 +126,26 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
 
 
+def _by_document(ids: list[np.ndarray]) -> np.ndarray:
+    """The ids of some documents, each with its document's number above it, in order."""
+    kind = np.uint32 if len(ids) < TERMS else np.uint64
+    number = np.repeat(np.arange(len(ids), dtype=kind), [len(i) for i in ids])
+    return np.sort((number << kind(16)) | np.concatenate(ids))
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][:len(ordered)])
+
+
 def document_frequencies(stored: Stored) -> tuple[np.ndarray, int]:
     """In how many documents each id occurs, and the tokens of all documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, tokens = np.zeros(TERMS, np.int64), 0
         for batch in batches:
-            for ids in batch.column(0):
-                ids = np.frombuffer(ids.as_py(), "<u2")
-                ordered = np.sort(ids, kind="stable")
-                found[ordered[np.r_[True, ordered[1:] != ordered[:-1]]]] += 1
-                tokens += len(ids)
+            packed = [np.frombuffer(ids.as_py(), "<u2") for ids in batch.column(0)]
+            terms = _by_document(packed)
+            found += np.bincount(terms[_starts(terms)] & (TERMS - 1), minlength=TERMS)
+            tokens += len(terms)
         terms = np.flatnonzero(found)
         yield pa.record_batch([np.r_[terms, -1], np.r_[found[terms], tokens]], ["term", "n"])
 
@@ -140,9 +161,9 @@ class Block:
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float):
         lengths = np.array([len(i) for i in ids])
-        order = np.sort((np.repeat(np.arange(len(ids)), lengths) << 16) | np.concatenate(ids))
-        at = np.flatnonzero(np.r_[True, order[1:] != order[:-1]])
-        doc, term = order[at] >> 16, order[at] & (TERMS - 1)
+        order = _by_document(ids)
+        at = _starts(order)
+        doc, term = (order[at] >> 16).astype(np.int32), order[at].astype(np.uint16)
         tf = np.diff(np.r_[at, len(order)])
         impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[doc] / mean))
         self.begins = np.searchsorted(doc, np.arange(len(ids) + 1))
@@ -169,15 +190,12 @@ class Block:
         impact, terms = self.impact[a:b], self.term[a:b]
         if len(terms) > QUERY_TERMS:
             terms = terms[np.argpartition(impact, -QUERY_TERMS)[-QUERY_TERMS:]]
-        spans = [slice(self.opens[t], self.opens[t + 1]) for t in terms]
+        spans = [slice(*self.opens[int(t):int(t) + 2]) for t in terms]
         docs = np.concatenate([self.posted_doc[s] for s in spans])
         scores = np.concatenate([self.posted_impact[s] for s in spans])
-        free = self.free[docs]
-        docs = docs[free]
-        if not len(docs):
-            return self.first()
-        found, place = np.unique(docs, return_inverse=True)
-        return self.take(int(found[np.argmax(np.bincount(place, scores[free]))]))
+        total = np.bincount(docs, scores, minlength=len(self.free)) * self.free
+        best = int(np.argmax(total))
+        return self.take(best) if total[best] > 0 else self.first()
 
 
 class Sequences:
