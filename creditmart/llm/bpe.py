@@ -23,8 +23,8 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from creditmart.llm.tables import ready_workers, text_of
 
-REMEMBERED = 600_000        # words, and pieces, that a worker remembers; only time depends on it
-LONGEST_REMEMBERED = 48
+REMEMBERED = 250_000        # words and pieces that a worker remembers, twice; only time depends on it
+LONGEST_REMEMBERED = 40
 
 # A space that begins a word is where a piece begins, unless white space follows it.
 LOOSE_SPACE = re.compile(r" (?:\s|$)")
@@ -42,10 +42,14 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class BytePairs:
-    """A vocabulary with its automaton; ``encode`` and ``decode`` are exact inverses."""
+class BytePairs(dict):
+    """A vocabulary with its automaton; ``encode`` and ``decode`` are exact inverses.
+
+    As a dictionary it holds the ids of words it has met, with the space before them.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         byte_of = byte_characters()
@@ -80,8 +84,9 @@ class BytePairs:
         self.begin = np.cumsum(self.width) - self.width
         self.split = ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
         self.compatible: dict[int, bool] = {}
-        self.known: dict[str, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}           # what was known before it grew too large
+        self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def stays_apart(self, left: int, right: int) -> bool:
         """Whether merging leaves ``left`` and ``right`` as neighbours, alone in a piece.
@@ -132,32 +137,35 @@ class BytePairs:
         return np.array(ids[::-1], "<u4").tobytes()
 
     def _ids(self, text: str, latin: bool) -> bytes:
-        out, known = [], self.known_pieces
+        out, known, old = [], self.pieces, self.older_pieces
         pieces = LATIN_PIECES.findall(text) if latin else \
             [text[a:b] for _, (a, b) in self.split(text)]
         for piece in pieces:
             ids = known.get(piece)
             if ids is None:
-                ids = self._piece(piece.encode("utf-8").decode("latin-1"))
+                ids = old.get(piece) or self._piece(piece.encode("utf-8").decode("latin-1"))
                 if len(piece) <= LONGEST_REMEMBERED:
                     if len(known) >= REMEMBERED:
-                        known.clear()
+                        known, old = {}, known
+                        self.pieces, self.older_pieces = known, old
                     known[piece] = ids
             out.append(ids)
         return b"".join(out)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word and the space before it."""
-        ids = self._ids(" " + word, LATIN.fullmatch(word) is not None)
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._ids(" " + word, LATIN.fullmatch(word) is not None)
         if len(word) <= LONGEST_REMEMBERED:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = ids
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        out, known, word = [], self.known.get, self._word
+        out = []
         for i, part in enumerate(self.specials.split(text) if self.special else [text]):
             if i % 2:
                 out.append(self.special[part].to_bytes(4, "little"))
@@ -167,7 +175,7 @@ class BytePairs:
                 first, *words = part.split(" ")
                 if first:
                     out.append(self._ids(first, False))
-                out += [known(w) or word(w) for w in words]
+                out.extend(map(self.__getitem__, words))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
