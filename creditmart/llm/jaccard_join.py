@@ -7,10 +7,11 @@ all of it for the few classes left. Every task first combines what it holds, so
 comes to a fragment once per task.
 
 For the remaining candidates the order becomes rarest first, and each set keeps the prefix in which
-any partner must share an n-gram. Pairs are not listed within the groups that share one. Members
-meet the group's most typical member first, then that of the members not yet joined to the largest
-component; the pairs between components that are then left are compared one by one. Overlaps are
-counted per fragment and summed per pair.
+any partner must share an n-gram. Pairs are not listed within the groups that share one. For some
+turns each candidate meets one other, first the most typical of all its groups, then the one that
+most of its groups offer, always from another component. The pairs between components that are then left are
+compared one by one, if the n-grams they share in their prefixes leave room for the threshold.
+Overlaps are counted per fragment and summed per pair.
 """
 
 from __future__ import annotations
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 from creditmart.llm.tables import Scratch, Stored, ready_workers, text_of, with_size
 
 WORDS, THRESHOLD = 5, 80            # words of an n-gram; per cent
-FIRST_CUT = 0.4                     # part of the order that all classes are counted over
+FIRST_CUT = 0.3                     # part of the order that all classes are counted over
 RANGE_GRAMS = 2 << 20               # n-grams of a fragment that one task compares
 FLUSH_DOCS, FLUSH_GRAMS = 4096, 1 << 20
-FRAGMENTS = 4                       # in which overlaps of pairs are counted
+FRAGMENTS = 4                       # in which overlaps of pairs are counted; a power of two
+TURNS = 3
 CHUNK = 1 << 20
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SPACE = np.zeros(256, bool)
@@ -116,76 +118,99 @@ def set_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def _packed(held: list[tuple[bytes, np.ndarray]], ranges: int, part: float) -> pa.RecordBatch:
-    """What a task holds, as a row per range of hashes and a row of the classes themselves.
-
-    A row has the n-grams found in one class only with that class's number, and those found in
-    several with no class.
-    """
+    """What a task holds, as a row per range of hashes: its n-grams, each once, how many classes
+    have each, and those classes' numbers. The first row also names the classes."""
     sizes = np.array([len(s) for _, s in held])
     grams = np.concatenate([s for _, s in held])
     owner = np.repeat(np.arange(len(held), dtype=np.uint16), sizes)
-    limit = np.uint64(int(part * (1 << 64)) - 1)
-    grams, owner = grams[grams <= limit], owner[grams <= limit]
+    span = int(part * (1 << 64))
+    inside = grams <= np.uint64(span - 1)
+    grams, owner = grams[inside], owner[inside]
     by = np.argsort(grams, kind="stable")
     grams, owner = grams[by], owner[by]
-    new = np.r_[True, grams[1:] != grams[:-1]][:len(grams)]
-    at = np.flatnonzero(new)
-    shared = np.diff(np.r_[at, len(grams)]) > 1
-    grams, owner = grams[at], np.where(shared, np.uint16(0xFFFF), owner[at])
-    cuts = np.searchsorted(grams, [np.uint64(int(part * (1 << 64)) * r // ranges)
-                                   for r in range(ranges)] + [limit], side="left")
-    cuts[-1] = len(grams)
+    at = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]][:len(grams)])
+    count = np.diff(np.r_[at, len(grams)]).astype(np.uint16)
+    unique = grams[at]
+    cuts = [*np.searchsorted(unique, np.array([span * r // ranges for r in range(ranges)], np.uint64)),
+            len(unique)]
+    owned = np.r_[at, len(grams)]
     classes = b"".join(c for c, _ in held)
     blob = xxhash.xxh3_128_digest(classes)
-    rows = [(r, blob, grams[a:b].tobytes(), owner[a:b].tobytes())
-            for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-    rows.append((-1, blob, classes, sizes.astype("<i8").tobytes()))
+    rows = [(r, blob, unique[a:b].tobytes(), count[a:b].tobytes(), owner[owned[a]:owned[b]].tobytes(),
+             None if r else classes, None if r else sizes.astype("<i8").tobytes())
+            for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a or not r]
     return pa.record_batch([pa.array(c, k) for c, k in zip(
-        zip(*rows), [pa.int32(), *[pa.binary()] * 3])], ["range", "blob", "grams", "owner"])
+        zip(*rows), [pa.int32(), *[pa.binary()] * 6])], PACKED)
+
+
+PACKED = ["range", "blob", "grams", "count", "owner", "classes", "sizes"]
+
+
+def _range_frequencies(table: pa.Table):
+    """Each row's arrays, and in how many classes its n-grams occur."""
+    read = lambda c, kind: [np.frombuffer(x, kind) for x in table.column(c).to_pylist()]
+    grams, count, owner = read("grams", np.uint64), read("count", np.uint16), read("owner", np.uint16)
+    every = np.concatenate(grams)
+    by = np.argsort(every, kind="stable")
+    at = np.flatnonzero(np.r_[True, every[by][1:] != every[by][:-1]][:len(every)])
+    total = np.add.reduceat(np.concatenate(count)[by].astype(np.int64), at) if len(at) else at
+    frequency = np.empty(len(every), np.int32)
+    frequency[by] = np.repeat(total, np.diff(np.r_[at, len(every)]))
+    return grams, count, owner, np.split(frequency, np.cumsum([len(g) for g in grams])[:-1])
 
 
 def _own_in_range(table: pa.Table) -> pa.Table:
     """Per blob, how many n-grams of this range each of its classes has for itself."""
-    blobs = table.column("blob").to_pylist()
-    grams = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
-    owner = [np.frombuffer(o, np.uint16) for o in table.column("owner").to_pylist()]
-    every = np.sort(np.concatenate(grams))
-    several = np.unique(every[1:][every[1:] == every[:-1]])
-    counts = []
-    for g, o in zip(grams, owner):
-        own = o != 0xFFFF
-        if len(several):
-            at = np.minimum(np.searchsorted(several, g), len(several) - 1)
-            own &= several[at] != g
-        counts.append(np.bincount(o[own], minlength=1).astype("<i8").tobytes())
-    return pa.table({"blob": pa.array(blobs, pa.binary()), "counts": pa.array(counts, pa.binary()),
-                     "classes": pa.nulls(len(blobs), pa.binary())})
+    _, count, owner, frequency = _range_frequencies(table)
+    own = [np.bincount(o[np.repeat(f == 1, c)], minlength=1).astype("<i8").tobytes()
+           for c, o, f in zip(count, owner, frequency)]
+    return table.select(["blob", "classes", "sizes"]).append_column("own", pa.array(own, pa.binary()))
+
+
+def _blob_classes(table: pa.Table) -> tuple[list[bytes], np.ndarray]:
+    classes = b"".join(c for c in table.column("classes").to_pylist() if c)
+    sizes = np.frombuffer(b"".join(s for s in table.column("sizes").to_pylist() if s), "<i8")
+    return [classes[i:i + 16] for i in range(0, len(classes), 16)], sizes
 
 
 def _few_own(threshold: int):
     def work(table: pa.Table) -> pa.Table:
         """Classes of a blob whose own n-grams leave room for a partner."""
-        classes, own, sizes = b"", np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for c, k in zip(table.column("counts").to_pylist(), table.column("classes").to_pylist()):
-            c = np.frombuffer(c, "<i8")
-            if k is not None:
-                classes, sizes = k, c
-            else:
-                total = np.zeros(max(len(own), len(c)), np.int64)
-                total[:len(own)] += own
-                total[:len(c)] += c
-                own = total
-        own = np.r_[own, np.zeros(max(len(sizes) - len(own), 0), np.int64)][:len(sizes)]
+        classes, sizes = _blob_classes(table)
+        own = np.zeros(len(classes), np.int64)
+        for counts in table.column("own").to_pylist():
+            counts = np.frombuffer(counts, "<i8")
+            own[:len(counts)] += counts
         fit = np.flatnonzero(100 * own <= (100 - threshold) * sizes)
-        return pa.table({"cls": pa.array([classes[16 * i:16 * i + 16] for i in fit.tolist()],
-                                         pa.binary())})
+        return pa.table({"cls": pa.array([classes[i] for i in fit.tolist()], pa.binary())})
     return work
 
 
-def with_company(docs: DataFrame, grams: int, part: float, words: int = WORDS,
-                 threshold: int = THRESHOLD) -> DataFrame:
-    """``cls`` of ``cls, text`` whose n-grams in the first ``part`` of the order are, but for few,
-    also found in other classes. ``grams`` is how many all of them have."""
+def _with_frequency(table: pa.Table) -> pa.Table:
+    *_, frequency = _range_frequencies(table)
+    return table.select(PACKED[1:]).append_column(
+        "df", pa.array([f.astype("<i4").tobytes() for f in frequency], pa.binary()))
+
+
+def _orders(table: pa.Table) -> pa.Table:
+    """Per class its shared n-grams, rarest first, and how typical it is: their frequencies' sum by
+    its size, so that own n-grams count against it."""
+    classes, sizes = _blob_classes(table)
+    read = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
+    count, owner = read("count", np.uint16), read("owner", np.uint16)
+    grams, df = (np.repeat(read(c, k), count) for c, k in (("grams", np.int64), ("df", "<i4")))
+    by = np.lexsort((grams, df, owner))
+    by = by[df[by] > 1]
+    grams, df, owner = grams[by], df[by], owner[by]
+    cuts = np.searchsorted(owner, np.arange(len(classes) + 1))
+    sums = np.r_[0.0, np.cumsum(df)]
+    order = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(grams))
+    return pa.table({"cls": pa.array(classes, pa.binary()), "n": pa.array(sizes), "order": order,
+                     "typical": (sums[cuts[1:]] - sums[cuts[:-1]]) / sizes})
+
+
+def _in_fragments(docs: DataFrame, grams: int, part: float, words: int) -> DataFrame:
+    """The n-grams of ``cls, text``, packed by task, in groups by range of the order."""
     ranges = int(grams * part) // RANGE_GRAMS + 1
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,14 +225,25 @@ def with_company(docs: DataFrame, grams: int, part: float, words: int = WORDS,
         if held:
             yield _packed(held, ranges, part)
 
-    scratch = Scratch(docs.sparkSession)
-    packed = scratch.save(docs.select("cls", "text").mapInArrow(
-        pack, "range int, blob binary, grams binary, owner binary"), "packed").df
-    counted = packed.where("range >= 0").groupBy("range").applyInArrow(
-        _own_in_range, "blob binary, counts binary, classes binary")
-    names = packed.where("range < 0").select("blob", F.col("owner").alias("counts"),
-                                             F.col("grams").alias("classes"))
-    return counted.unionByName(names).groupBy("blob").applyInArrow(_few_own(threshold), "cls binary")
+    return docs.select("cls", "text").mapInArrow(
+        pack, "range int, " + ", ".join(f"{c} binary" for c in PACKED[1:])).groupBy("range")
+
+
+def with_company(docs: DataFrame, grams: int, part: float, words: int = WORDS,
+                 threshold: int = THRESHOLD) -> DataFrame:
+    """``cls`` of ``cls, text`` whose n-grams in the first ``part`` of the order are, but for few,
+    also found in other classes. ``grams`` is how many all of them have."""
+    counted = _in_fragments(docs, grams, part, words).applyInArrow(
+        _own_in_range, "blob binary, classes binary, sizes binary, own binary")
+    return counted.groupBy("blob").applyInArrow(_few_own(threshold), "cls binary")
+
+
+def rarest_first(docs: DataFrame, grams: int, words: int = WORDS) -> DataFrame:
+    """``cls, n, order, typical``: the n-grams that each class shares with others, rarest first."""
+    counted = _in_fragments(docs, grams, 1.0, words).applyInArrow(
+        _with_frequency, ", ".join(f"{c} binary" for c in [*PACKED[1:], "df"]))
+    return counted.groupBy("blob").applyInArrow(
+        _orders, "cls binary, n long, order array<long>, typical double")
 
 
 def components(nodes: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -240,82 +276,101 @@ def components(nodes: DataFrame, links: DataFrame, scratch: Scratch, name: str)
     return scratch.save(found.select("cls", F.coalesce("to", "comp").alias("comp")), f"{name}-nodes").df
 
 
-def linked(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def linked(pairs: Stored, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The ``pairs`` (a, b) that reach the threshold; ``sets`` has cls, n, fragment, grams."""
     side = lambda c: sets.select(F.col("cls").alias(c), "fragment", F.col("n").alias(f"n_{c}"),
                                  F.col("grams").alias(f"grams_{c}"))
-    partial = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"]).select(
+    partial = side("a").join(with_size(pairs), "a").join(side("b"), ["b", "fragment"]).select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("both"))
     total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("both").alias("both"))
     return total.where(100 * F.col("both") >= threshold * (
         F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
 
 
-def similar_classes(texts: DataFrame, scratch: Scratch, words: int = WORDS,
-                    threshold: int = THRESHOLD) -> DataFrame:
-    """``cls, comp`` of candidate classes, given their ``cls, n, text``."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = _sets(batch, 2, words)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(
-                [s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["cls", "n", "grams"])
-
-    grams = scratch.save(texts.select("cls", "n", "text").mapInArrow(
-        work, "cls binary, n long, grams array<long>").select("cls", "n", F.explode("grams").alias("gram")),
-        "grams").df
-    shared = scratch.save(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1"),
-                          "shared")
-    # Own n-grams come first in the order and meet nobody; they only use up the prefix.
-    rows = grams.join(with_size(shared, row_bytes=40), "gram")
-    ordered = rows.groupBy("cls", "n").agg(
-        F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("order"), F.avg("df").alias("typical"))
-    ordered = scratch.save(ordered, "ordered").df
-    own = F.col("n") - F.size("order")
-    prefix = F.floor(F.col("n") * (100 - threshold) / 100).cast("int") + 1 - own
-    places = scratch.save(ordered.where(prefix > 0).select(
-        "cls", "n", "typical", own.alias("own"),
-        F.posexplode(F.slice("order", 1, F.greatest(prefix, F.lit(0)).cast("int"))).alias("pos", "g"))
-        .select(F.col("g.gram").alias("gram"), "cls", "n", "typical", (F.col("pos") + F.col("own")).alias("pos")),
-        "places").df
-    bits = FRAGMENTS.bit_length() - 1
-    fragment = F.shiftrightunsigned(F.col("g.gram"), 64 - bits)
-    sets = scratch.save(ordered.select("cls", "n", F.explode("order").alias("g")).groupBy(
-        "cls", "n", fragment.cast("int").alias("fragment")).agg(F.collect_list("g.gram").alias("grams")),
-        "sets").df
-    nodes = scratch.save(ordered.select("cls", F.col("cls").alias("comp")), "nodes").df
+def _near_in_size(a: str, b: str, threshold: int):
+    return 100 * F.least(a, b) >= threshold * F.greatest(a, b)
+
+
+def _one_each(places: DataFrame, nodes: DataFrame, turn: int, threshold: int) -> DataFrame:
+    """A pair (a, b) for each candidate that shares an n-gram with another component."""
+    placed = places.join(nodes, "cls")
     best = F.struct("typical", "cls", "n", "comp")
-    for turn in range(2):
-        placed = places.join(nodes, "cls")
-        groups = placed.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("size"), F.max(best).alias("best"))
-        tops = groups.groupBy("gram").agg(
-            F.max_by("comp", F.struct("size", "comp")).alias("main"), F.max("best").alias("best"),
-            F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        if turn:        # the most typical of those outside the largest component
-            tops = groups.join(tops.select("gram", "main"), "gram").where("comp != main").groupBy(
-                "gram").agg(F.max("best").alias("best"))
-        stars = placed.join(tops.select("gram", "best"), "gram").where(
-            (F.col("comp") != F.col("best.comp"))
-            & (100 * F.least("n", "best.n") >= threshold * F.greatest("n", "best.n")))
-        pairs = stars.select(F.least("cls", "best.cls").alias("a"), F.greatest("cls", "best.cls").alias("b"))
-        found = scratch.save(linked(pairs.distinct(), sets, threshold), f"stars{turn}").df
-        nodes = components(nodes, found, scratch, f"turn{turn}")
-    placed = scratch.save(places.join(nodes, "cls"), "placed").df
+    groups = placed.groupBy("gram", "comp").agg(F.max(best).alias("best"))
+    tops = groups.groupBy("gram").agg(F.max("best").alias("top"), F.count(F.lit(1)).alias("comps"))
+    tops = tops.where("comps > 1").select("gram", "top")
+    seconds = groups.join(tops, "gram").where(F.col("comp") != F.col("top.comp")).groupBy("gram", "top").agg(
+        F.max("best").alias("second"))
+    other = F.when(F.col("comp") != F.col("top.comp"), F.col("top")).otherwise(F.col("second"))
+    met = placed.join(seconds, "gram").select("cls", "n", "pos", other.alias("o")).where(
+        _near_in_size("n", "o.n", threshold))
+    offers = met.groupBy("cls", "o.cls", "o.typical").agg(
+        F.count(F.lit(1)).alias("shared"), F.min("pos").alias("pos")).toDF("cls", "o", "typical", "shared", "pos")
+    rank = F.struct("typical", "o") if turn == 0 else F.struct("shared", (-F.col("pos")).alias("p"), "typical", "o")
+    chosen = offers.groupBy("cls").agg(F.max_by("o", rank).alias("o"))
+    return chosen.select(F.least("cls", "o").alias("a"), F.greatest("cls", "o").alias("b")).distinct()
+
+
+def _all_left(places: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """Every pair (a, b) of different components that may reach the threshold.
+
+    The smaller set of a pair needs a shorter prefix than the larger. All n-grams that the two share
+    up to the last one found are among those found; after it either set has only so many.
+    """
+    placed = places.join(nodes, "cls")
     sizes = placed.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("size"))
     mains = sizes.groupBy("gram").agg(F.max_by("comp", F.struct("size", "comp")).alias("main"),
                                       F.count(F.lit(1)).alias("comps")).where("comps > 1")
     members = placed.join(mains.select("gram", "main"), "gram")
     other = members.select("gram", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "pos", "comp", "main")])
-    # One side is outside the largest component; of two outside, the smaller class leads.
-    most = F.least(F.col("n") - F.col("pos"), F.col("o_n") - F.col("o_pos"))
-    least_overlap = threshold * (F.col("n") + F.col("o_n")) / (100 + threshold)
-    rest = members.where("comp != main").join(other, "gram").where(
+    first = (F.col("n") < F.col("o_n")) | ((F.col("n") == F.col("o_n")) & (F.col("cls") < F.col("o_cls")))
+    small = F.when(first, F.struct("n", "pos")).otherwise(F.struct(F.col("o_n").alias("n"), F.col("o_pos").alias("pos")))
+    shorter = small["n"] - F.ceil(2 * threshold * small["n"] / (100 + threshold)) + 1
+    needed = F.ceil(threshold * (F.col("n") + F.col("o_n")) / (100 + threshold))
+    reach = F.least("pos", "o_pos") + F.least(F.col("n") - F.col("pos"), F.col("o_n") - F.col("o_pos"))
+    # One side is outside the largest component; of two outside, one leads.
+    met = members.where("comp != main").join(other, "gram").where(
         (F.col("comp") != F.col("o_comp"))
         & ((F.col("o_comp") == F.col("o_main")) | (F.col("cls") < F.col("o_cls")))
-        & (100 * F.least("n", "o_n") >= threshold * F.greatest("n", "o_n"))
-        & (most + F.least("pos", "o_pos") >= least_overlap))
-    pairs = rest.select(F.least("cls", "o_cls").alias("a"), F.greatest("cls", "o_cls").alias("b"))
-    found = scratch.save(linked(pairs.distinct(), sets, threshold), "rest").df
-    return components(nodes, found, scratch, "last")
+        & _near_in_size("n", "o_n", threshold) & (small["pos"] < shorter) & (reach >= needed))
+    turned = F.col("cls") > F.col("o_cls")
+    ends = [F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name) for name, x, y in (
+        ("a", "cls", "o_cls"), ("b", "o_cls", "cls"), ("n_a", "n", "o_n"), ("n_b", "o_n", "n"),
+        ("pos_a", "pos", "o_pos"), ("pos_b", "o_pos", "pos"))]
+    pairs = met.select(*ends).groupBy("a", "b", "n_a", "n_b").agg(
+        F.count(F.lit(1)).alias("found"), F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b"))
+    after = F.least(F.col("n_a") - 1 - F.col("last_a"), F.col("n_b") - 1 - F.col("last_b"))
+    needed = F.ceil(threshold * (F.col("n_a") + F.col("n_b")) / (100 + threshold))
+    return pairs.where(F.col("found") + after >= needed).select("a", "b")
+
+
+def similar_classes(texts: DataFrame, grams: int, scratch: Scratch, words: int = WORDS,
+                    threshold: int = THRESHOLD) -> DataFrame:
+    """``cls, comp`` of candidate classes, given their ``cls, text`` and how many n-grams they have."""
+    ordered = scratch.save(rarest_first(texts, grams, words)
+                           .withColumn("id", F.monotonically_increasing_id()), "ordered").df
+    named = ordered.select("cls", "id")
+    ordered = ordered.select(F.col("id").alias("cls"), "n", "order", "typical")
+    # Own n-grams come first in the order and meet nobody; they only use up the prefix.
+    own = F.col("n") - F.size("order")
+    prefix = F.floor(F.col("n") * (100 - threshold) / 100).cast("int") + 1 - own
+    places = scratch.save(ordered.where(prefix > 0).select(
+        "cls", "n", "typical", own.alias("own"),
+        F.posexplode(F.slice("order", 1, F.greatest(prefix, F.lit(0)).cast("int"))).alias("pos", "gram"))
+        .select("gram", "cls", "n", "typical", (F.col("pos") + F.col("own")).alias("pos")), "places").df
+    bits = FRAGMENTS.bit_length() - 1
+    cut = lambda f: F.filter("order", lambda g: F.shiftrightunsigned(g, 64 - bits) == f)
+    sets = ordered.select("cls", "n", F.posexplode(F.array(*[cut(f) for f in range(FRAGMENTS)]))
+                          .alias("fragment", "grams")).where(F.size("grams") > 0)
+    nodes = scratch.save(ordered.select("cls", F.col("cls").alias("comp")), "nodes").df
+    for turn in range(TURNS + 1):
+        pairs = _one_each(places, nodes, turn, threshold) if turn < TURNS else \
+            _all_left(places, nodes, threshold)
+        pairs = scratch.save(pairs, f"pairs{turn}")
+        if pairs.rows:
+            found = scratch.save(linked(pairs, sets, threshold), f"links{turn}").df
+            nodes = components(nodes, found, scratch, f"turn{turn}")
+    least = named.join(nodes.withColumnRenamed("cls", "id"), "id")
+    return least.select("cls", F.col("comp").cast("string").alias("comp"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -333,26 +388,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = text_of(text_col)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("_hash"), text.alias("text"))
     rows = scratch.save(set_classes(docs, words), "classes").df
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash")
-    classes = scratch.save(rows.where("n > 0").groupBy("cls", "n").agg(F.min(first).alias("first")),
-                           "first")
+    own = rows.where("n > 0").groupBy("cls", "n", "doc_id", "_hash").agg(F.count(F.lit(1)).alias("rows"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash", "rows")
+    classes = scratch.save(own.groupBy("cls", "n").agg(F.min(first).alias("first")), "first")
+    several = classes.df.where("first.rows > 1").limit(1).count() > 0
 
     def texts(kept: Stored) -> DataFrame:
+        """One text of each class, also where rows repeat an id and its text."""
         held = docs.join(with_size(kept, row_bytes=96), F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
                          & (F.col("_hash") == F.col("first._hash")))
-        return held.select("cls", "n", "text")
+        once = held.where("first.rows = 1" if several else "true").select("cls", "text")
+        if not several:
+            return once
+        return once.unionByName(held.where("first.rows > 1").select("cls", "text").dropDuplicates(["cls"]))
 
     kept = classes
+    grams = lambda: kept.df.agg(F.sum("n")).first()[0] or 0
     for part in (FIRST_CUT, 1.0):
-        if kept.rows:
-            grams = kept.df.agg(F.sum("n")).first()[0]
-            few = with_company(texts(kept), grams, part, words, threshold).distinct()
-            kept = scratch.save(kept.df.join(few, "cls"), f"kept-{part}")
-    comps = similar_classes(texts(kept).dropDuplicates(["cls"]), scratch, words, threshold)
+        few = with_company(texts(kept), grams(), part, words, threshold)
+        kept = scratch.save(kept.df.join(few, "cls"), f"kept-{part}")
+    comps = similar_classes(texts(kept), grams(), scratch, words, threshold)
     ids = classes.df.select("cls", F.col("first.doc_id").alias("doc_id")).join(comps, "cls", "left")
-    least = ids.groupBy(F.coalesce("comp", "cls").alias("_comp")).agg(F.min("doc_id").alias("_least"))
-    named = scratch.save(ids.withColumn("_comp", F.coalesce("comp", "cls")).join(least, "_comp").select(
-        F.col("cls").alias("_cls"), "_least"), "named")
+    ids = ids.withColumn("_comp", F.coalesce("comp", F.hex("cls")))
+    least = ids.groupBy("_comp").agg(F.min("doc_id").alias("_least"))
+    named = scratch.save(ids.join(least, "_comp").select(F.col("cls").alias("_cls"), "_least"), "named")
     joined = rows.join(with_size(named), F.col("cls") == F.col("_cls"), "left")
     return joined.select("doc_id", "_hash", F.col("n").alias("n_shingles"), F.when(
         F.col("n") == 0, F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"))
