@@ -73,7 +73,7 @@ def _raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in csv_source.extract(spark, write_sources(spark, sf_dir)).items():
         landed = csv_source.land(df, f"{scratch.path}/raw_{name}", scratch).df
         frames.append(landed.select(
-            F.lit(name).alias("entidad"),
+            F.lit(name).alias("entidad"), F.col("_raw_id").alias("fila"),
             F.md5(F.concat_ws("|", *ENTITIES[name].columns)).alias("huella")))
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 

@@ -159,6 +159,7 @@ class Warehouse:
     def build(self) -> Warehouse:
         """Build all stored tables now rather than on demand."""
         self.judged_pagos
+        self.dim_tiempo
         return self
 
     def judged(self, name: str) -> DataFrame:

@@ -354,9 +354,10 @@ _EXTREME_LOAN = fixtures.EXTREME_AMOUNT.format("credito_id", 3)
 _EXTREME_RATE = fixtures.EXTREME_RATE.format("credito_id", 3)
 
 SQL: dict[str, str] = {
-    "raw_roundtrip": _on_chain(f"""select 'clientes' as entidad, md5(concat_ws('|', {_RAW_CLIENTES})) as huella from raw_clientes
- union all select 'creditos', md5(concat_ws('|', {_COLS_CREDITOS})) from raw_creditos
- union all select 'pagos', md5(concat_ws('|', {_COLS_PAGOS})) from raw_pagos"""),
+    "raw_roundtrip": _on_chain(f"""select 'clientes' as entidad,
+  row_number() over (order by cast(substr(cliente_id, 2) as bigint)) as fila, md5(concat_ws('|', {_RAW_CLIENTES})) as huella from raw_clientes
+ union all select 'creditos', row_number() over (order by _raw_id), md5(concat_ws('|', {_COLS_CREDITOS})) from raw_creditos
+ union all select 'pagos', row_number() over (order by _o1, _o2, _o3, _o4), md5(concat_ws('|', {_COLS_PAGOS})) from raw_pagos"""),
     "cleanse_clientes": _on_chain(f"select {_COLS_CLIENTES}, _tipo_doc_valido, _estado_cliente_valido from t_clientes"),
     "cleanse_creditos": _on_chain(f"select {_COLS_CREDITOS}, _estado_credito_valido from t_creditos"),
     "cleanse_pagos": _on_chain(f"select {_COLS_PAGOS}, _estado_pago_valido from t_pagos"),

@@ -92,11 +92,22 @@ def test_raw_id_is_gap_free_and_follows_file_order(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert landed.rows == 9000
+    assert set(spark.read.parquet(str(tmp_path / "raw")).columns) == {
+        "_raw_id", "k", "v", "_ingested_at", "_source_file"}
     assert [r._raw_id for r in rows] == list(range(1, 9001))
     assert [r.k for r in rows] == expected
     assert all(r._orden == r._raw_id for r in rows)
 
 
+def test_quoted_line_breaks_are_read_on_request(spark, tmp_path):
+    path = write(tmp_path / "m.csv", 'a,b\n1,"x\ny"\n2,z\n')
+    with pytest.raises(CorruptRows):
+        land(read_csv(spark, path), str(tmp_path / "raw"), Scratch(spark))
+    landed = land(read_csv(spark, path, multi_line=True), str(tmp_path / "lines"), Scratch(spark))
+    assert [tuple(r) for r in landed.df.orderBy("_raw_id").select("_raw_id", "a", "b").collect()] == [
+        (1, "1", "x\ny"), (2, "2", "z")]
+
+
 def test_extract_checks_all_files_first(spark, tmp_path):
     paths = {n: write(tmp_path / f"{n}.csv", csv_text(n, entity_rows(n, {}))) for n in BASE}
     assert set(extract(spark, paths)) == set(BASE)
