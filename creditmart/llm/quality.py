@@ -27,29 +27,45 @@ ORDER = 5
 SYMBOLS = 256
 FOLDS = 5                       # one of them sets the limits
 HELD_TOGETHER = 2 << 20         # n-grams a counting task keeps before it hands them on
+CHUNK_BYTES = 1 << 20           # bytes of text worked on at once
 SHARD_ROWS = 4 << 20            # rows of the table sent to workers at once, 16 bytes each
 OUTER, MARGIN, SHORT = 0.95, 4.0, 8.0
 FEWEST = 20                     # held-out documents a language needs for a limit of its own
 
 
-def _grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each byte, as an integer, and each text's length.
+def _chunks(texts: list[bytes], order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The n-gram that ends at each byte, as an integer, some bytes at a time.
 
-    Before a text stand zero bytes.
+    With it come the rows of the chunk's parts and their lengths. Before a text stand zero bytes,
+    and before a later part of a long text the bytes that precede it.
     """
-    lengths = np.array([len(t) for t in texts], np.int64)
-    pad = bytes(order - 1)
-    joined = np.frombuffer(pad + pad.join(texts), np.uint8).astype(np.int64)
+    rows, parts, size = [], [], 0
+    for row, text in enumerate(texts):
+        for at in range(0, len(text), CHUNK_BYTES):
+            before = text[max(at - order + 1, 0):at]
+            rows.append(row)
+            parts.append(bytes(order - 1 - len(before)) + before + text[at:at + CHUNK_BYTES])
+            size += len(parts[-1])
+            if size >= CHUNK_BYTES:
+                yield (*_grams(parts, order), np.array(rows))
+                rows, parts, size = [], [], 0
+    if parts:
+        yield (*_grams(parts, order), np.array(rows))
+
+
+def _grams(parts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of parts that begin with ``order`` - 1 bytes of context, and their lengths."""
+    lengths = np.array([len(p) for p in parts], np.int64)
+    joined = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
     n = len(joined) - order + 1
     grams = np.zeros(n, np.int64)
     for i in range(order):
         grams <<= 8
         grams |= joined[i:i + n]
-    ends = np.cumsum(lengths + order - 1)
     own = np.ones(n, bool)
-    for end in ends[:-1]:                       # those that would end in the next text's padding
+    for end in np.cumsum(lengths)[:-1].tolist():        # those that would reach into the next part
         own[end - order + 1:end] = False
-    return grams[own], lengths
+    return grams[own], lengths - order + 1
 
 
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -59,20 +75,20 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
         for batch in batches:
             texts = [t.encode("utf-8") for t in batch.column(0).to_pylist()]
             fits = np.array(batch.column(1).to_pylist(), bool)
-            grams, lengths = _grams(texts, order)
-            grams = np.sort((grams << 1) | np.repeat(fits, lengths))
-            at = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]][:len(grams)])
-            n = np.diff(np.r_[at, len(grams)])
-            grams = grams[at]
-            n[grams & 1 == 0] = 0
-            both = np.r_[kept, grams >> 1]
-            by = np.argsort(both, kind="stable")
-            both, n = both[by], np.r_[total, n][by]
-            at = np.flatnonzero(np.r_[True, both[1:] != both[:-1]][:len(both)])
-            kept, total = both[at], np.add.reduceat(n, at) if len(at) else n
-            if len(kept) > HELD_TOGETHER:
-                yield pa.record_batch([kept, total], ["gram", "n"])
-                kept, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for grams, lengths, rows in _chunks(texts, order):
+                grams = np.sort((grams << 1) | np.repeat(fits[rows], lengths))
+                at = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+                n = np.diff(np.r_[at, len(grams)])
+                grams = grams[at]
+                n[grams & 1 == 0] = 0
+                both = np.r_[kept, grams >> 1]
+                by = np.argsort(both, kind="stable")
+                both, n = both[by], np.r_[total, n][by]
+                at = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
+                kept, total = both[at], np.add.reduceat(n, at)
+                if len(kept) > HELD_TOGETHER:
+                    yield pa.record_batch([kept, total], ["gram", "n"])
+                    kept, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(kept):
             yield pa.record_batch([kept, total], ["gram", "n"])
 
@@ -157,16 +173,17 @@ def score(docs: DataFrame, table: DataFrame, rows: int, order: int = ORDER) -> D
             known, cost = sent.value
             for batch in batches:
                 texts = [t.encode("utf-8") for t in batch.column(0).to_pylist()]
-                grams, lengths = _grams(texts, order)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                    each = np.where(known[at] == grams, cost[at], 0.0)
-                else:
+                bits = np.zeros(len(texts))
+                for grams, lengths, rows in _chunks(texts, order):
                     each = np.zeros(len(grams))
-                sums = np.r_[0.0, np.cumsum(each, dtype=np.float64)]
-                ends = np.cumsum(lengths)
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+                        each = np.where(known[at] == grams, cost[at], 0.0)
+                    sums = np.r_[0.0, np.cumsum(each, dtype=np.float64)]
+                    ends = np.cumsum(lengths)
+                    np.add.at(bits, rows, sums[ends] - sums[ends - lengths])
                 yield pa.record_batch(
-                    [*batch.columns[1:], pa.array(lengths), pa.array(sums[ends] - sums[ends - lengths])],
+                    [*batch.columns[1:], pa.array([len(t) for t in texts], pa.int64()), pa.array(bits)],
                     [*rest, "n_bytes", "bits"])
 
         part = docs.mapInArrow(work, f"{schema}, n_bytes long, bits double")

@@ -217,12 +217,16 @@ def test_model_by_definition(spark):
 
 
 def test_model_in_shards(spark, monkeypatch):
+    monkeypatch.setattr(quality, "CHUNK_BYTES", quality.CHUNK_BYTES)
     docs = spark.createDataFrame([(i, t or "", True) for i, t in MESSY if i], "doc_id long, text string, fits boolean")
     scratch = Scratch(spark)
     counts = scratch.save(quality.count_grams(docs), "counts")
     scores = scratch.save(quality.gram_scores(counts.df, scratch), "scores").df
     whole = quality.score(docs, scores, counts.rows)
     monkeypatch.setattr(quality, "SHARD_ROWS", 300)
+    first, second = ([g for chunk in quality._chunks([b"", PROSE.encode() * 9, b"a"], 5) for g in chunk[0]]
+                     for quality.CHUNK_BYTES in (1 << 20, 100))
+    assert first == second and len(first) == 9 * len(PROSE) + 1
     parts = quality.score(docs.distinct(), scores, counts.rows)
     bits = lambda df: {(r.doc_id, r.n_bytes): round(r.bits, 6) for r in df.collect()}
     assert bits(parts) == bits(whole)
