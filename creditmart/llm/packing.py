@@ -33,7 +33,7 @@ SHARD_TOKENS = 16 << 20             # tokens of a shard, one task's work
 QUERY_TERMS = 16                    # terms of a seed that are looked up
 K1, B = 1.2, 0.75                   # the usual BM25 constants
 TERMS = 1 << 16                     # ids are stored in 16 bits
-REMEMBERED, LONGEST_REMEMBERED = 400_000, 40    # words and pieces of a worker, twice; only time depends on it
+REMEMBERED, LONGEST_REMEMBERED = 250_000, 40    # words and pieces of a worker, twice; only time depends on it
 
 # Words of Latin letters, digits and ASCII signs, and their pieces under the published pattern.
 LETTERS = "a-z\xc0-\xd6\xd8-\xf6\xf8-įı-ʯ"
