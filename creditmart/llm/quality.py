@@ -7,9 +7,9 @@ seen in trusted text or not. Documents are scored against that table shard by sh
 worker holds more than one shard of it, and a document's partial sums are added up.
 
 A fifth of the trusted documents is left out of the counts. Their bits per byte set the limit of
-their language: the median plus MARGIN times the distance from it to the OUTER quantile, and for a
-text of n bytes SHORT / sqrt(n) more, as the mean over few bytes varies. Text that costs more is
-rejected.
+their language. As the mean over few bytes varies, a text of n bytes has SHORT / sqrt(n) taken off
+first; the limit is the QUANTILE of what is left, and for each text its own SHORT / sqrt(n) more.
+Text that costs more is rejected, and so is 1 - QUANTILE of held-out text.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ FOLDS = 5                       # one of them sets the limits
 HELD_TOGETHER = 2 << 20         # n-grams a counting task keeps before it hands them on
 CHUNK_BYTES = 1 << 20           # bytes of text worked on at once
 SHARD_ROWS = 4 << 20            # rows of the table sent to workers at once, 16 bytes each
-OUTER, MARGIN, SHORT = 0.95, 4.0, 8.0
+QUANTILE, SHORT = 0.99, 4.0
 FEWEST = 20                     # held-out documents a language needs for a limit of its own
 
 
@@ -217,16 +217,15 @@ def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None)
     counts = scratch.save(count_grams(rows), "counts")
     scores = scratch.save(score(rows, gram_scores(counts.df, scratch), counts.rows), "scores").df
     scores = scores.withColumn("x", F.col("bits") / F.when(F.col("n_bytes") > 0, F.col("n_bytes")))
-    limits = F.struct(F.percentile("x", F.lit([0.5, OUTER])).alias("q"), F.count("x").alias("n"))
+    short = SHORT / F.sqrt(F.greatest("n_bytes", F.lit(1)))
+    limits = F.struct(F.percentile(F.col("x") - short, F.lit(QUANTILE)).alias("q"), F.count("x").alias("n"))
     held_out = scores.where("held")
     every = held_out.agg(limits.alias("every"))
     own = held_out.groupBy(F.col("lang").alias("_lang")).agg(limits.alias("own"))
     judged = (scores.join(F.broadcast(own), F.col("lang").eqNullSafe(F.col("_lang")), "left")
               .join(F.broadcast(every)))
     q = F.when(F.col("own.n") >= FEWEST, F.col("own.q")).otherwise(F.col("every.q"))
-    judged = judged.withColumn("q", q).withColumn(
-        "limit", F.col("q")[0] + MARGIN * (F.col("q")[1] - F.col("q")[0])
-        + SHORT / F.sqrt(F.greatest("n_bytes", F.lit(1))))
+    judged = judged.withColumn("limit", q + short)
     return judged.select("doc_id", "_hash", "lang", F.col("x").alias("bits_per_byte"),
                          F.pow(F.lit(2.0), F.col("x")).alias("perplexity"), "limit",
                          F.coalesce(F.col("x") <= F.col("limit"), F.lit(True)).alias("kept"))

@@ -127,6 +127,16 @@ def test_quality(spark):
     assert sum(bad) <= 0.2 * len(bad) and sum(good) >= 0.95 * len(good)
 
 
+def test_quality_rejects_bad_text(spark):
+    """Nearly all bad text goes, and of clean text no more than the quantile says, with some room."""
+    larger = SF.parent / "sf0.01"
+    labels = {r.doc_id: (r.quality, r.toxic) for r in spark.read.parquet(f"{larger}/labels.parquet").collect()}
+    kept = {r.doc_id: r.kept for r in queries.QUERIES["op10_quality"](spark, str(larger)).collect()}
+    bad = [kept[i] for i, (q, _) in labels.items() if q == 0]
+    good = [kept[i] for i, (q, t) in labels.items() if q == 1 and t == 0]
+    assert sum(bad) <= 0.02 * len(bad) and sum(good) >= 0.98 * len(good)
+
+
 def test_pipeline(spark, duck):
     """Stage by stage against plain versions, each on the rows the stage was given."""
     import corpus_pipeline
