@@ -184,18 +184,22 @@ class Block:
             self.next += 1
         return self.take(self.next) if self.next < len(self.free) else None
 
-    def neighbour(self, seed: int) -> int | None:
-        """The unused document that scores best for the seed's weightiest terms."""
+    def scores(self, seed: int) -> np.ndarray:
+        """What each document scores for the seed's weightiest terms."""
         a, b = self.begins[seed], self.begins[seed + 1]
         impact, terms = self.impact[a:b], self.term[a:b]
         if len(terms) > QUERY_TERMS:
             terms = terms[np.argpartition(impact, -QUERY_TERMS)[-QUERY_TERMS:]]
         spans = [slice(*self.opens[int(t):int(t) + 2]) for t in terms]
         docs = np.concatenate([self.posted_doc[s] for s in spans])
-        scores = np.concatenate([self.posted_impact[s] for s in spans])
-        total = np.bincount(docs, scores, minlength=len(self.free)) * self.free
-        best = int(np.argmax(total))
-        return self.take(best) if total[best] > 0 else self.first()
+        found = np.concatenate([self.posted_impact[s] for s in spans])
+        return np.bincount(docs, found, minlength=len(self.free))
+
+    def neighbour(self, scores: np.ndarray) -> int | None:
+        """The unused document that scores best, if any scores."""
+        left = scores * self.free
+        best = int(np.argmax(left))
+        return self.take(best) if left[best] > 0 else None
 
 
 class Sequences:
@@ -226,10 +230,19 @@ class Sequences:
 
 
 def _fill(block: Block, ids: list[np.ndarray], doc_ids: list, out: Sequences) -> None:
-    doc = block.first()
+    """Fills each window with the neighbours of the document that opens it, best first.
+
+    Where the seed has none left, the first unused document is taken and is the seed of the rest.
+    """
+    doc, scores = block.first(), None
     while doc is not None:
+        window = out.sequence if out.used else None
         out.add(doc_ids[doc], ids[doc])
-        doc = block.neighbour(doc)
+        if scores is None or window != out.sequence:
+            scores = block.scores(doc)
+        doc = block.neighbour(scores)
+        if doc is None:
+            doc, scores = block.first(), None
 
 
 def pack(stored: Stored, window: int = WINDOW) -> DataFrame:

@@ -183,6 +183,16 @@ def test_packing_brings_neighbours_together():
     assert sum(a % 5 != b % 5 for a, b in zip(order, order[1:])) == 4
 
 
+def test_packing_ranks_a_window_by_its_seed():
+    """The third document shares most with the second, but nothing with the seed."""
+    seed, near = [*range(10, 20)] * 2, [*range(10, 16), *range(100, 114)]
+    drift, other = [*range(100, 114), *range(300, 306)], [*range(10, 14), *range(200, 216)]
+    ids = [np.array(d, "<u2") for d in (seed, near, drift, other)]
+    out = packing.Sequences(0, 100)
+    packing._fill(packing.Block(ids, np.full(packing.TERMS, 1.0), 20.0), ids, ["seed", "near", "drift", "other"], out)
+    assert [p[0] for p in out.pieces] == ["seed", "near", "other", "drift"]
+
+
 def test_fingerprints(spark):
     rows = fingerprints.edited_fingerprints(frame(spark)).collect()
     assert len(rows) == len(MESSY)
