@@ -12,13 +12,16 @@ from creditmart.llm import bpe, warc
 from creditmart.llm.chat_format import conversation_digests, format_conversations
 from creditmart.llm.exact_dedup import exact_dedup
 from creditmart.llm.fingerprints import edited_fingerprints
+from creditmart.llm.hard_negatives import hard_negatives
 from creditmart.llm.jaccard_join import jaccard_components
+from creditmart.llm.lexical_search import search
 from creditmart.llm.line_dedup import line_dedup
 from creditmart.llm.packing import pack_documents
 from creditmart.llm.quality import classify
 from creditmart.llm.sql import SQL
 from creditmart.llm.suffix_dedup import remove_repeats
 from creditmart.llm.tables import Scratch, table, text_of
+from creditmart.llm.topk_search import top_k
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str,
@@ -89,6 +92,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("_hash")
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all vectors for every hundredth one."""
+    rows = table(spark, sf_dir, "embeddings")
+    return top_k(rows.where(F.col("vec_id") % 100 == 0), rows)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty documents that rank highest for each benchmark item."""
+    return search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the positives of every hundredth vector."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -100,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_topk_search": op11_topk_search,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = dict(SQL)

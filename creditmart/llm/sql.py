@@ -133,10 +133,82 @@ SELECT s.doc_id, len(s.grams) AS n_shingles, min(r.b) AS component_id
 FROM s JOIN r ON r.a = s.doc_id GROUP BY s.doc_id, len(s.grams)
 """
 
+TOPK_SEARCH = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND coalesce(len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))), 0) = 0),
+q AS (
+  SELECT row_number() OVER () AS qn, vec_id AS query_id, x AS y FROM v WHERE vec_id % 100 = 0),
+s AS (
+  SELECT qn, query_id, vec_id, list_inner_product(x, y)::BIGINT AS score
+  FROM q JOIN v ON vec_id IS DISTINCT FROM query_id)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY qn ORDER BY score DESC, vec_id NULLS LAST)
+QUALIFY rank <= 10
+"""
+
+LEXICAL_SEARCH = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS dn, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+c AS (
+  SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM t WHERE len(terms) > 0),
+p AS (
+  SELECT dn, doc_id, len(terms) AS n, unnest(terms) AS term FROM t),
+f AS (
+  SELECT dn, doc_id, n, term, count(*) AS tf FROM p GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM f, c GROUP BY term, n_docs),
+i AS (
+  SELECT item, item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS item, * FROM benchmark)),
+s AS (
+  SELECT item, item_id, dn, doc_id, sum(w * ((1000000000 * tf)
+           // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN w USING (term), c GROUP BY item, item_id, dn, doc_id)
+SELECT item_id, (row_number() OVER r)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0
+WINDOW r AS (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)
+QUALIFY rank <= 20
+"""
+
+HARD_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND coalesce(len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))), 0) = 0),
+a AS (
+  SELECT row_number() OVER () AS an, vec_id AS anchor_id, label AS anchor_label, x AS y
+  FROM v WHERE vec_id % 100 = 0),
+s AS (
+  SELECT an, anchor_id, vec_id, label = anchor_label AS same, list_inner_product(x, y)::BIGINT AS score
+  FROM a JOIN v ON vec_id IS DISTINCT FROM anchor_id),
+p AS (
+  SELECT an, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER w AS place
+  FROM s WHERE same WINDOW w AS (PARTITION BY an ORDER BY score DESC, vec_id NULLS LAST)
+  QUALIFY place <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, vec_id AS negative_id,
+       positive_score, score AS negative_score
+FROM p JOIN s USING (an, anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY an, place ORDER BY score DESC, vec_id NULLS LAST)
+QUALIFY rank <= 10
+"""
+
 SQL = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op3_warc": WARC,
     "op5_line_dedup": LINE_DEDUP,
     "op7_chat_format": CHAT_FORMAT,
     "op8_jaccard_join": JACCARD_JOIN,
+    "op11_topk_search": TOPK_SEARCH,
+    "op12_lexical_search": LEXICAL_SEARCH,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

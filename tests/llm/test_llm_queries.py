@@ -15,7 +15,7 @@ import brute
 from creditmart.llm import queries
 
 SF = Path("/root/testdata/sf0.001")
-TABLES = ["documents", "pages", "labels", "conversations"]
+TABLES = ["documents", "pages", "labels", "conversations", "embeddings", "benchmark"]
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="test tables are not mounted")
 
 
