@@ -95,6 +95,7 @@ def _stored_marts(spark: SparkSession, sf_dir: str) -> TableStore:
     store = TableStore(spark, f"{scratch_root(spark)}/layers-{uuid.uuid4().hex}")
     dw = warehouse(spark, sf_dir)
     pipeline.load_star(store, dw)
+    store.publish(dw.run_id, "dwh", "dq")
     pipeline.refresh_marts(store)
     return store
 
@@ -175,7 +176,8 @@ def _fact_credito(dw: Warehouse) -> DataFrame:
 
 
 def _fact_pago(dw: Warehouse) -> DataFrame:
-    return marts.with_method(dw, dw.fact_pago).drop("fact_pago_sk", "metodo_pago_sk", "tipo")
+    return marts.with_method(dw, dw.fact_pago).drop(
+        "fact_pago_sk", "metodo_pago_sk", "tipo", *star.PERIODS["fact_pago"])
 
 
 def _key_sequences(dw: Warehouse) -> DataFrame:
@@ -200,9 +202,10 @@ def _key_order(dw: Warehouse) -> DataFrame:
 
 
 def _extreme_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """DQ-4 on the mapped loans and payments with amounts and rates far out."""
+    """DQ-4 on the mapped loans and payments with amounts, terms and rates far out."""
     raw = fixtures.raw_entities(spark, sf_dir)
     loans = raw["creditos"].withColumns({"monto_aprobado": F.expr(fixtures.EXTREME_AMOUNT.format("credito_id", 3)),
+                                         "plazo_meses": F.expr(fixtures.EXTREME_TERM.format("credito_id", 3)),
                                          "tasa_interes_mensual": F.expr(fixtures.EXTREME_RATE.format("credito_id", 3))})
     paid = raw["pagos"].withColumn("monto_pago", F.expr(fixtures.EXTREME_AMOUNT.format("credito_id", 3)))
     frames = [quality.judge(cleanse(e, df), quality.row_checks(e)).where(F.col(quality.RULE) == "DQ-4").select(
@@ -241,6 +244,7 @@ def _published(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         ledger = audit.Ledger(store)
         ledger.start(dw.run_id, now)
         counts = pipeline.load_errors(store, dw) | pipeline.load_staging(store, dw) | pipeline.load_star(store, dw)
+        store.publish(dw.run_id, "stg", "dwh", "dq")
         ledger.succeed(dw.run_id, now, now, counts)
         _PUBLISHED[key] = store
     store = _PUBLISHED[key]

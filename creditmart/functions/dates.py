@@ -11,6 +11,15 @@ def date_key(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
+def year_of(key: Column) -> Column:
+    return F.call_function("div", key, F.lit(10000)).cast("int")
+
+
+def month_of(key: Column) -> Column:
+    """Month of a smart key, as YYYYMM."""
+    return F.call_function("div", key, F.lit(100)).cast("int")
+
+
 def monday_on_or_after(day: Column) -> Column:
     return F.date_add(day, (7 - F.weekday(day)) % 7)
 

@@ -54,5 +54,5 @@ def float_text(value: Column) -> Column:
 
 
 def truncated(value: Column) -> Column:
-    """Integer part, so ``12.0`` is 12 and ``-12.9`` is -12; null beyond the integer range."""
-    return value.try_cast("int")
+    """Integer part, so ``12.0`` is 12 and ``-12.9`` is -12; null beyond 64 bits."""
+    return value.try_cast("long")

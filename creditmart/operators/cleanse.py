@@ -78,14 +78,31 @@ def cleanse_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: cleanse(ENTITIES[name], df) for name, df in raw.items()}
 
 
-def staging_columns(entity: Entity, df: DataFrame) -> list[Column]:
+def overflows(entity: Entity) -> dict[str, Column]:
+    """By number column, whether a value does not fit its staging type."""
+    return {f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.sql_type).isNull()
+            for f in entity.fields if f.kind in ("number", "integer")}
+
+
+def staged_fields(entity: Entity, counted: bool = False) -> list[Column]:
+    """The fields under their staging types.
+
+    A value that does not fit fails its row, whatever the session makes of such casts; or becomes
+    null where the caller has them ``counted``.
+    """
+    def typed(field: Field) -> Column:
+        value = F.col(field.name).try_cast(field.sql_type)
+        if counted or field.name not in lost:
+            return value.alias(field.name)
+        error = F.raise_error(F.lit(f"NUMERIC_VALUE_OUT_OF_RANGE: {field.name}")).cast(field.sql_type)
+        return F.when(lost[field.name], error).otherwise(value).alias(field.name)
+
+    lost = overflows(entity)
+    return [typed(f) for f in entity.fields]
+
+
+def to_staging(entity: Entity, df: DataFrame, counted: bool = False) -> DataFrame:
     """Declared staging columns in declared order and type; absent flags default to false."""
     flags = [(F.coalesce(F.col(f), F.lit(False)) if f in df.columns else F.lit(False)).alias(f)
              for f in entity.flags]
-    lineage = [F.col(c) for c in LINEAGE if c in df.columns]
-    return [*[F.col(f.name).cast(f.sql_type).alias(f.name) for f in entity.fields],
-            *flags, *lineage]
-
-
-def to_staging(entity: Entity, df: DataFrame) -> DataFrame:
-    return df.select(*staging_columns(entity, df))
+    return df.select(*staged_fields(entity, counted), *flags, *[c for c in LINEAGE if c in df.columns])

@@ -83,6 +83,9 @@ def _joined(rule: str, prefix: str, parts: list[tuple[Column, Column]]) -> Check
     return _one(rule, "ERROR", any_fails, text)
 
 
+MOST_INT = (1 << 31) - 1        # what staging holds in a whole number
+
+
 def _not_positive(column: str) -> Column:
     return F.col(column).isNull() | (F.col(column) <= 0)
 
@@ -119,7 +122,7 @@ def row_checks(entity: Entity) -> list[Check]:
         _joined("DQ-4", "Valor fuera de dominio: ", [
             (_no_amount("monto_aprobado"),
              F.concat(F.lit("monto_aprobado="), _amount_text("monto_aprobado"))),
-            (_not_positive("plazo_meses"), _says("plazo_meses=", "plazo_meses")),
+            (_not_positive("plazo_meses") | (F.col("plazo_meses") > MOST_INT), _says("plazo_meses=", "plazo_meses")),
             (~rate.between(0, 10), F.concat(F.lit("tasa="), float_text(rate))),
         ]),
         _joined("DQ-5", "", [

@@ -7,11 +7,18 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditmart.functions.dates import date_key
+from creditmart.functions.dates import date_key, month_of, year_of
 from creditmart.model import CANALES, ESTADOS_CREDITO_DIM, METODOS_PAGO, PRODUCTOS
 from creditmart.sources.local import local_frame
 
 DISCARD = "_descarte"
+
+# Periods that facts are stored by: the column, the date key it follows from, and how.
+PERIODS = {
+    "fact_credito": {"_anio_solicitud": ("tiempo_solicitud_sk", year_of),
+                     "_mes_desembolso": ("tiempo_desembolso_sk", month_of)},
+    "fact_pago": {"_mes_pago": ("tiempo_pago_sk", month_of)},
+}
 OUT_OF_CALENDAR, NO_KEY = "fecha fuera de calendario", "llave subrogada nula"
 
 
@@ -93,7 +100,7 @@ def fact_credito(loans: DataFrame, cutoff: date, start: str, end: str) -> DataFr
         calendar_key(F.col("fecha_desembolso"), start, end).alias("tiempo_desembolso_sk"),
         calendar_key(F.col("fecha_vencimiento"), start, end).alias("tiempo_vencimiento_sk"),
         F.col("monto_aprobado").cast("decimal(18,2)").alias("monto_aprobado"),
-        "plazo_meses",
+        F.col("plazo_meses").cast("int").alias("plazo_meses"),
         F.col("tasa_interes_mensual").cast("decimal(8,4)").alias("tasa_interes_mensual"),
         days_in_arrears(F.col("estado_credito"), F.col("fecha_vencimiento"),
                         F.lit(cutoff)).alias("dias_mora"))
@@ -105,3 +112,19 @@ def fact_pago(payments: DataFrame) -> DataFrame:
         date_key(F.col("fecha_pago")).alias("tiempo_pago_sk"),
         F.col("monto_pago").cast("decimal(18,2)").alias("monto_pago"),
         "estado_pago", "referencia_transaccion", "flag_referencia_duplicada")
+
+
+def by_period(name: str, facts: DataFrame) -> DataFrame:
+    """A fact with the periods it is stored by as last columns, its rows dealt by them.
+
+    Rows are dealt when their sizes are known: periods with many rows to several tasks, small ones
+    together.
+    """
+    periods = {p: of(F.col(key)) for p, (key, of) in PERIODS[name].items()}
+    return facts.withColumns(periods).hint("rebalance", *periods)
+
+
+def date_periods(key: str, columns: list[str]) -> dict[str, Column]:
+    """Periods among a fact's ``columns`` that follow from its date key, as columns of the calendar."""
+    return {p: of(F.col("tiempo_sk")) for fact in PERIODS.values()
+            for p, (of_key, of) in fact.items() if of_key == key and p in columns}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from creditmart.functions import masking
 from creditmart.functions.numeric import count_when, mean, percentage, rounded_mean, sum_when
+from creditmart.operators.star import date_periods
 
 AMOUNT = "monto_aprobado"
 
@@ -60,8 +61,15 @@ def with_method(dw, facts: DataFrame) -> DataFrame:
 
 
 def with_calendar(dw, facts: DataFrame, key: str, *columns: str) -> DataFrame:
-    days = dw.dim_tiempo.select(F.col("tiempo_sk").alias(key), *columns)
-    return facts.join(F.broadcast(days), key)              # one row per day of the calendar
+    """Facts with columns of the day under ``key``.
+
+    The periods that a fact is stored by are joined too, so that a filter on the calendar reaches
+    its folders.
+    """
+    periods = date_periods(key, facts.columns)
+    days = dw.dim_tiempo.select(F.col("tiempo_sk").alias(key), *columns,
+                                *[value.alias(p) for p, value in periods.items()])
+    return facts.join(F.broadcast(days), [key, *periods])  # one row per day of the calendar
 
 
 def by_segment_and_product(dw, loans: DataFrame) -> DataFrame:

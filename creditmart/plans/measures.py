@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from creditmart.operators.star import date_periods
 from creditmart.plans.marts import cliente_safe
 
 LOANS, PAYMENTS = "fact_credito", "fact_pago"
@@ -136,11 +137,13 @@ def _needed(fact: str, columns: set[str]) -> list[Relation]:
     return [r for r in RELATIONS[fact] if columns & r.columns.keys()]
 
 
-def _attributes(dw, relation: Relation, columns: set[str]) -> DataFrame:
+def _attributes(dw, relation: Relation, columns: set[str],
+                periods: dict[str, Column] | None = None) -> DataFrame:
     picked = [F.col(src).alias(name) for name, src in relation.columns.items() if name in columns]
     table = cliente_safe(dw) if relation.dimension == "dim_cliente" else getattr(dw, relation.dimension)
     dim = table.select(
-        F.col(relation.dim_key).alias(relation.fact_key), *picked)
+        F.col(relation.dim_key).alias(relation.fact_key), *picked,
+        *[value.alias(p) for p, value in (periods or {}).items()])
     return F.broadcast(dim) if relation.small else dim
 
 
@@ -154,7 +157,8 @@ def _additive(dw, fact: str, parts: set[str], columns: set[str], where: Column |
         rows = rows.join(F.broadcast(states), "estado_credito_sk")
     relations = _needed(fact, columns)
     for relation in (r for r in relations if r.small):
-        rows = rows.join(_attributes(dw, relation, columns), relation.fact_key)
+        periods = date_periods(relation.fact_key, rows.columns)
+        rows = rows.join(_attributes(dw, relation, columns, periods), [relation.fact_key, *periods])
     rows = rows.withColumns({p: F.expr(PARTS[fact][p]) for p in parts})
     large = [r for r in relations if not r.small]
     keys = [c for r in relations if r.small for c in r.columns if c in columns]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from creditmart.model import (CALENDARIO_DESDE, CALENDARIO_HASTA, CLIENTES, CREDITOS, ENTITIES,
                               ORDER, PAGOS)
 from creditmart.operators import calendar, quality, star
-from creditmart.operators.cleanse import cleanse, to_staging
+from creditmart.operators.cleanse import cleanse, staged_fields, to_staging
 from creditmart.operators.lookup import DEFAULT_LIMITS, JoinLimits
 from creditmart.operators.sequence import arrange, number
 from creditmart.operators.star import DISCARD, OUT_OF_CALENDAR
@@ -217,8 +217,7 @@ class Warehouse:
     @cached_property
     def dim_cliente(self) -> DataFrame:
         rows = number(self.judged_clientes.df, F.col(quality.RULE).isNull(), "cliente_sk")
-        typed = [F.col(f.name).cast(f.sql_type).alias(f.name) for f in CLIENTES.fields]
-        return rows.select("cliente_sk", *typed, *CLIENTES.flags)
+        return rows.select("cliente_sk", *staged_fields(CLIENTES), *CLIENTES.flags)
 
     @cached_property
     def cutoff(self) -> date:
@@ -231,17 +230,28 @@ class Warehouse:
         entering = F.col(quality.RULE).isNull() & F.col(DISCARD).isNull()
         return number(self.judged(name), entering, key)
 
+    def fact(self, name: str) -> DataFrame:
+        """A fact from the judged rows, dealt by the periods it is to be stored by."""
+        rows = star.fact_pago(self._entering("pagos", "fact_pago_sk")) if name == "fact_pago" else \
+            star.fact_credito(self._entering("creditos", "fact_credito_sk"), self.cutoff,
+                              self.start, self.end)
+        return star.by_period(name, rows)
+
+    def _stored_fact(self, name: str) -> DataFrame:
+        return self.scratch.save(self.fact(name), name, partition_by=list(star.PERIODS[name])).df
+
     @cached_property
     def fact_credito(self) -> DataFrame:
-        return star.fact_credito(self._entering("creditos", "fact_credito_sk"), self.cutoff,
-                                 self.start, self.end)
+        return self._stored_fact("fact_credito")
 
     @cached_property
     def fact_pago(self) -> DataFrame:
-        return star.fact_pago(self._entering("pagos", "fact_pago_sk"))
+        return self._stored_fact("fact_pago")
 
     STAR = ("dim_tiempo", "dim_producto", "dim_canal", "dim_estado_credito", "dim_metodo_pago",
             "dim_cliente", "fact_credito", "fact_pago")
 
     def star(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in self.STAR}
+        """The tables to be published; facts are stored by whoever publishes them."""
+        return {name: self.fact(name) if name in star.PERIODS else getattr(self, name)
+                for name in self.STAR}

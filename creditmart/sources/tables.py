@@ -3,8 +3,8 @@
 Everything is Parquet under one root. ``Scratch`` holds the intermediate tables of a build;
 they cut lineage, survive the loss of executors, and carry the size that later joins use to
 decide whether a side may be broadcast. ``TableStore`` holds the layers readers see: each
-run writes to its own ``run_id=`` folder and a publication row appended last makes it current,
-so no reader meets a half-written load.
+run writes to its own ``run_id=`` folder, and what is appended to the publication log last makes
+all its layers current at once, so no reader meets a half-written load.
 """
 
 from __future__ import annotations
@@ -94,11 +94,12 @@ class Scratch:
         self.spark = spark
         self.path = f"{root or scratch_root(spark)}/build-{uuid.uuid4().hex}"
 
-    def save(self, df: DataFrame, name: str, key: str | None = None) -> Stored:
+    def save(self, df: DataFrame, name: str, key: str | None = None,
+             partition_by: list[str] | None = None) -> Stored:
         path = f"{self.path}/{name}"
         schema = df.schema
         size = F.coalesce(F.sum(F.octet_length(key)), F.lit(0)) if key else F.lit(0)
-        seen = write_counted(df, path, key_bytes=size)
+        seen = write_counted(df, path, partition_by=partition_by, key_bytes=size)
         return Stored(self.spark.read.schema(schema).parquet(path), seen["rows"], path,
                       seen["key_bytes"])
 
@@ -107,10 +108,41 @@ class Scratch:
         delete_folder(self.spark, self.path)
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """What one entry of the publication log says: run and version of every layer; and which runs
+    tables with history had then."""
+
+    store: "TableStore"
+    layers: dict[str, tuple[str, str]]
+    runs: dict[str, list[tuple[str, str]]]
+
+    def load(self, layer: str) -> tuple[str, str]:
+        if layer not in self.layers:
+            raise ValueError(f"layer {layer} has not been published")
+        return self.layers[layer]
+
+    def read(self, layer: str, table: str) -> DataFrame:
+        return self.store.read(layer, table, self.load(layer))
+
+    def history(self, layer: str, table: str, schema: str) -> DataFrame:
+        """The runs of an append table that were listed when the snapshot was taken."""
+        listed = self.runs.get(f"{layer}/{table}", [])
+        return self.store.read_runs(layer, table, schema, listed)
+
+
 class TableStore:
-    """Published layers under ``root``: raw, stg, dq, dwh, bi."""
+    """Published layers under ``root``: raw, stg, dq, dwh, bi.
+
+    Tables are written to folders of a run and version that nobody reads yet. One entry of the
+    publication log names the folders of all layers, so that layers switch together; each entry
+    repeats what it does not replace, and the latest one is all that a reader needs. Tables that keep history
+    list the version of each run in the same way: a rerun lists a new one, and the folder before it
+    stays as it is. Loads are published by one process at a time.
+    """
 
-    LOG_SCHEMA = "capa string, run_id string, version string, publicado_en timestamp"
+    LOG_SCHEMA = "publicado_en timestamp, capa string, run_id string, version string"
+    RUN_SCHEMA = "tabla string, run_id string, version string, agregado_en timestamp"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -129,38 +161,51 @@ class TableStore:
     def table_path(self, layer: str, run_id: str, table: str, version: str | None = None) -> str:
         return f"{self.root}/{layer}/run_id={run_id}/{version or self.version}/{table}"
 
-    def write(self, layer: str, run_id: str, table: str, df: DataFrame, **metrics) -> dict[str, int]:
+    def write(self, layer: str, run_id: str, table: str, df: DataFrame,
+              partition_by: list[str] | None = None, **metrics) -> dict[str, int]:
         """Stage one table of a layer. It stays invisible until ``publish``."""
-        return write_counted(df, self.table_path(layer, run_id, table), "overwrite", **metrics)
-
-    def publish(self, layer: str, run_id: str) -> None:
-        """Switch readers of ``layer`` to this run: one appended row, written after all tables."""
-        row = [(layer, run_id, self.version, datetime.now(timezone.utc))]
-        (local_frame(self.spark, row, self.LOG_SCHEMA).coalesce(1)
+        return write_counted(df, self.table_path(layer, run_id, table), "overwrite", partition_by, **metrics)
+
+    def publish(self, run_id: str, *layers: str) -> None:
+        """Switch readers of all ``layers`` to this run at once, written after all tables."""
+        moment = datetime.now(timezone.utc)
+        now = {**self._layers(), **{layer: (run_id, self.version) for layer in layers}}
+        rows = [(moment, layer, *load) for layer, load in sorted(now.items())]
+        (local_frame(self.spark, rows, self.LOG_SCHEMA).coalesce(1)       # one file, seen whole or not
          .write.mode("append").parquet(f"{self.root}/_publicaciones"))
 
-    def _log(self, layer: str) -> DataFrame | None:
-        log = self._read(f"{self.root}/_publicaciones", self.LOG_SCHEMA)
-        return None if log is None else log.where(F.col("capa") == layer)
+    def _log(self) -> DataFrame | None:
+        return self._read(f"{self.root}/_publicaciones", self.LOG_SCHEMA)
 
-    def _current(self, layer: str) -> tuple[str, str] | None:
-        log = self._log(layer)
+    def _layers(self) -> dict[str, tuple[str, str]]:
+        log = self._log()
         if log is None:
-            return None
-        latest = log.agg(F.max_by(F.struct("run_id", "version"),
-                                  F.struct("publicado_en", "version"))).first()[0]
-        return None if latest is None else (latest.run_id, latest.version)
+            return {}
+        last = log.groupBy("publicado_en").agg(F.collect_list(F.struct("capa", "run_id", "version")).alias("capas"))
+        rows = last.agg(F.max_by("capas", "publicado_en")).first()[0] or []     # a row per layer
+        return {r.capa: (r.run_id, r.version) for r in rows}
+
+    def _runs(self) -> dict[str, list[tuple[str, str]]]:
+        """Of each table that keeps history, the version listed last for each run."""
+        listed = self._read(f"{self.root}/_historial", self.RUN_SCHEMA)
+        if listed is None:
+            return {}
+        last = listed.groupBy("tabla", "run_id").agg(F.max_by("version", "agregado_en").alias("version"))
+        found: dict[str, list[tuple[str, str]]] = {}
+        for r in last.collect():                                 # one short row per run
+            found.setdefault(r.tabla, []).append((r.run_id, r.version))
+        return found
+
+    def snapshot(self) -> Snapshot:
+        """All layers as they are published now; what it reads never changes."""
+        return Snapshot(self, self._layers(), self._runs())
 
     def load(self, layer: str) -> tuple[str, str]:
         """Run and version of the load that is current now; reads may be pinned to it."""
-        current = self._current(layer)
-        if current is None:
-            raise ValueError(f"layer {layer} has not been published")
-        return current
+        return Snapshot(self, self._layers(), {}).load(layer)
 
     def current_run(self, layer: str) -> str | None:
-        current = self._current(layer)
-        return current and current[0]
+        return self._layers().get(layer, (None,))[0]
 
     def read(self, layer: str, table: str, load: tuple[str, str] | None = None) -> DataFrame:
         """A table of ``load``, or of the current one."""
@@ -172,20 +217,42 @@ class TableStore:
 
         Call when no reader is left on the old tables.
         """
-        log, current = self._log(layer), self._current(layer)
-        loads = [] if log is None else log.select("run_id", "version").distinct().collect()
+        log, current = self._log(), self._layers().get(layer)
+        loads = [] if log is None else (log.where(F.col("capa") == layer).select("run_id", "version")
+                                        .distinct().collect())
         old = sorted(tuple(r) for r in loads if tuple(r) != current)      # one short row per load
         for run_id, version in old:
             delete_folder(self.spark, f"{self.root}/{layer}/run_id={run_id}/{version}")
         return [run_id for run_id, _ in old]
 
     def append_run(self, layer: str, table: str, run_id: str, df: DataFrame) -> int:
-        """Add one run's rows to a table that keeps history; a rerun of the same run replaces them."""
-        path = f"{self.root}/{layer}/{table}/run_id={run_id}"
-        return write_counted(df.drop("run_id"), path, "overwrite")["rows"]
+        """Add one run's rows to a table that keeps history; a rerun of the same run replaces them.
+
+        They are listed when they are all there. Readers of the rows they replace keep those.
+        """
+        version = uuid.uuid4().hex
+        path = f"{self.root}/{layer}/{table}/run_id={run_id}/version={version}"
+        rows = write_counted(df.drop("run_id"), path)["rows"]
+        entry = [(f"{layer}/{table}", run_id, version, datetime.now(timezone.utc))]
+        (local_frame(self.spark, entry, self.RUN_SCHEMA).coalesce(1)
+         .write.mode("append").parquet(f"{self.root}/_historial"))
+        return rows
+
+    def read_runs(self, layer: str, table: str, schema: str, listed: list[tuple[str, str]]) -> DataFrame:
+        """The rows of the ``listed`` runs and versions; folders of others are not read."""
+        full = f"{schema}, run_id string, version string"
+        found = self._read(f"{self.root}/{layer}/{table}", full) if listed else None
+        if found is None:
+            return self.spark.createDataFrame([], f"{schema}, run_id string")
+        folder = F.concat_ws("/", "run_id", "version")
+        return found.where(folder.isin(["/".join(r) for r in listed])).drop("version")
 
     def history(self, layer: str, table: str, schema: str) -> DataFrame:
         """All runs of an append table; an empty frame with ``schema`` before the first run."""
+        return self.snapshot().history(layer, table, schema)
+
+    def events(self, layer: str, table: str, schema: str) -> DataFrame:
+        """All rows appended to a table by ``run_id``; an empty frame before the first one."""
         full = f"{schema}, run_id string"
         found = self._read(f"{self.root}/{layer}/{table}", full)
         return self.spark.createDataFrame([], full) if found is None else found

@@ -70,7 +70,7 @@ t_clientes as (select trim(cliente_id) as cliente_id,
 t_creditos as (select trim(credito_id) as credito_id, trim(cliente_id) as cliente_id,
   {_date('fecha_solicitud')}, {_date('fecha_desembolso')},
   try_cast(trim(monto_aprobado) as double) as monto_aprobado,
-  cast(trunc(try_cast(trim(plazo_meses) as double)) as integer) as plazo_meses,
+  cast(trunc(try_cast(trim(plazo_meses) as double)) as bigint) as plazo_meses,
   try_cast(trim(tasa_interes_mensual) as double) as tasa_interes_mensual,
   {_state('estado_credito', _LOAN)} as _estado_credito_valido,
   trim(producto) as producto, {_date('fecha_vencimiento')}, trim(canal) as canal,
@@ -93,7 +93,7 @@ x_pagos as (select *, lower(metodo_pago) in ('pse', 'efecty', 'transferencia', '
 c3_clientes as (select * from c1_clientes where _estado_cliente_valido),
 c3_creditos as (select * from x_creditos where _estado_credito_valido and _prod and _canal),
 c3_pagos as (select * from x_pagos where _estado_pago_valido and _metodo),
-d_creditos as (select *, coalesce(monto_aprobado <= 0 or monto_aprobado >= 1e16, true) as _m, coalesce(plazo_meses <= 0, true) as _p,
+d_creditos as (select *, coalesce(monto_aprobado <= 0 or monto_aprobado >= 1e16, true) as _m, coalesce(plazo_meses <= 0 or plazo_meses > 2147483647, true) as _p,
   coalesce(tasa_interes_mensual < 0 or tasa_interes_mensual > 10, false) as _t from c3_creditos),
 c4_creditos as (select * from d_creditos where not (_m or _p or _t)),
 c4_pagos as (select * from c3_pagos where monto_pago > 0 and monto_pago < 1e16),
@@ -152,7 +152,7 @@ f_credito as (select credito_id, cliente_id, cliente_sk, segmento,
   estado_credito as estado, fecha_solicitud,
   case when fecha_desembolso between date '{START}' and date '{END}' then fecha_desembolso end as fecha_desembolso,
   case when fecha_vencimiento between date '{START}' and date '{END}' then fecha_vencimiento end as fecha_vencimiento,
-  cast(monto_aprobado as decimal(18,2)) as monto, plazo_meses as plazo,
+  cast(monto_aprobado as decimal(18,2)) as monto, cast(plazo_meses as integer) as plazo,
   cast(tasa_interes_mensual as decimal(8,4)) as tasa,
   case when estado_credito in ('Mora', 'Vencido') then cast(greatest(coalesce(corte.fecha - m.fecha_vencimiento, 0), 0) as integer) else 0 end as dias_mora,
   estado_credito = 'Activo' as es_activo, estado_credito = 'Mora' as es_mora
@@ -351,6 +351,7 @@ _RAW_CLIENTES = _COLS_CLIENTES
 _SEGMENT_PRODUCT = "from f_credito where {0} group by segmento, producto"
 
 _EXTREME_LOAN = fixtures.EXTREME_AMOUNT.format("credito_id", 3)
+_EXTREME_TERM = fixtures.EXTREME_TERM.format("credito_id", 3)
 _EXTREME_RATE = fixtures.EXTREME_RATE.format("credito_id", 3)
 
 SQL: dict[str, str] = {
@@ -374,7 +375,7 @@ SQL: dict[str, str] = {
     "dq_error_summary": _on_chain("""select regla_id, tabla_origen, severidad, count(*) as num_errores from errores
  group by regla_id, tabla_origen, severidad"""),
     "valid_clientes": _on_chain(f"select {_COLS_CLIENTES}, flag_email_duplicado, flag_doc_duplicado from v_clientes"),
-    "valid_creditos": _on_chain(f"select {_COLS_CREDITOS} from v_creditos"),
+    "valid_creditos": _on_chain(f"select * replace (cast(plazo_meses as integer) as plazo_meses) from (select {_COLS_CREDITOS} from v_creditos)"),
     "valid_pagos": _on_chain(f"select {_COLS_PAGOS}, flag_referencia_duplicada from v_pagos"),
     "dim_tiempo": _on_chain("""select c.tiempo_sk, c.fecha, c.anio, c.mes, c.dia, c.trimestre, c.semana_anio, c.nombre_mes, c.nombre_dia,
  c.es_fin_semana, c.es_festivo_co, count(f.credito_id) as num_creditos from calendario c
@@ -407,7 +408,7 @@ SQL: dict[str, str] = {
  row_number() over (order by cast(substr(credito_id, 3) as bigint)) as sk from f_credito
  union all select 'fact_pago', f.pago_id, row_number() over (order by _o1, _o2, _o3, _o4)
  from f_pago f join v_pagos v on f.pago_id = v.pago_id"""),
-    "dq4_extreme": _on_chain(f""", e_creditos as (select credito_id, plazo_meses,
+    "dq4_extreme": _on_chain(f""", e_creditos as (select credito_id, cast(trunc(try_cast({_EXTREME_TERM} as double)) as bigint) as p,
   try_cast({_EXTREME_LOAN} as double) as m, try_cast({_EXTREME_RATE} as double) as t from t_creditos
   where _estado_credito_valido and lower(producto) in ('microcredito', 'libre inversion', 'capital trabajo', 'consumo')
   and lower(canal) in ('aliado', 'web', 'app')),
@@ -415,9 +416,9 @@ SQL: dict[str, str] = {
   where _estado_pago_valido and lower(metodo_pago) in ('pse', 'efecty', 'transferencia', 'tarjeta'))
  select credito_id as clave, 'Valor fuera de dominio: ' || concat_ws('; ',
   case when m <= 0 or m >= 1e16 then 'monto_aprobado=' || cast(m as varchar) end,
-  case when coalesce(plazo_meses <= 0, true) then 'plazo_meses=' || coalesce(cast(plazo_meses as varchar), 'None') end,
+  case when p <= 0 or p > 2147483647 then 'plazo_meses=' || cast(p as varchar) end,
   case when t < 0 or t > 10 then 'tasa=' || cast(t as varchar) end) as motivo from e_creditos
- where m <= 0 or m >= 1e16 or coalesce(plazo_meses <= 0, true) or t < 0 or t > 10
+ where m <= 0 or m >= 1e16 or p <= 0 or p > 2147483647 or t < 0 or t > 10
  union all select pago_id, 'monto_pago fuera de dominio: ' || cast(m as varchar) from e_pagos where m <= 0 or m >= 1e16"""),
     "dq_error_payload": _on_chain(""", c as (
   select 'raw_clientes' as tabla, 'cliente_id' as campo, t.cliente_id as clave, _n, cast(t.fecha_registro as varchar) as fecha,

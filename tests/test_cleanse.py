@@ -70,7 +70,7 @@ def test_numbers(spark):
 
 def test_integers(spark):
     cases = {"12": 12, "12.0": 12, "-12.9": -12, "12.9": 12, "": None, "x": None, "inf": None,
-             "1e12": None}
+             "1e12": 10**12, "-3e9": -3 * 10**9, "1e20": None}
     assert apply(spark, list(cases), lambda c: truncated(parse_double(c))) == list(cases.values())
 
 

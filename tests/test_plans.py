@@ -9,7 +9,7 @@ import __spark_entry__ as entry_module
 from conftest import TESTDATA, raw_frames
 from creditmart.operators.lookup import JoinLimits
 from creditmart.operators import quality
-from creditmart.plans import marts
+from creditmart.plans import marts, measures, queries
 from creditmart.plans.warehouse import Warehouse
 from creditmart.sources.tables import Scratch
 
@@ -39,10 +39,31 @@ def test_scans_are_pruned_and_filtered(spark):
     dw = entry_module.warehouse(spark, str(SF))
     text = plan(dw.fact_pago.groupBy("estado_pago").agg(F.sum("monto_pago")))
     (scan,) = [line for line in text.splitlines() if "FileScan" in line]
-    assert "IsNull(_regla), IsNull(_descarte)" in scan
     read = re.search(r"ReadSchema: struct<(.*)>", scan).group(1)
-    assert {c.split(":")[0] for c in read.split(",")} == {
-        "monto_pago", "estado_pago", "_regla", "_descarte", "_posicion"}
+    assert set(re.findall(r"(\w+):", read)) == {"monto_pago", "estado_pago"}
+    (scan,) = [line for line in plan(dw.discards()).splitlines()
+               if "FileScan" in line and "credito_id" in line and "pago_id" not in line]
+    assert "IsNotNull(_descarte)" in scan
+
+
+@needs_tables
+@pytest.mark.parametrize("build, column", [
+    (lambda dw: queries.desembolsos_mensuales(dw, (1996, 1997)), "_mes_desembolso"),
+    (lambda dw: marts.pagos_diarios(dw).where("anio = 1996"), "_mes_pago"),
+    (lambda dw: marts.cosecha_morosidad(dw).where("anio_cosecha = 1996 and mes_cosecha = 2"), "_mes_desembolso"),
+    (lambda dw: measures.measures(dw, ["recaudo_total"], where=F.col("mes") == 3, where_columns=["mes"]), "_mes_pago"),
+    (lambda dw: measures.measures(dw, ["tasa_mora_pct"], ["producto"], F.col("anio") == 1996, ["anio"]),
+     "_anio_solicitud")])
+def test_dated_questions_read_their_periods_only(spark, build, column):
+    dw = entry_module.warehouse(spark, str(SF))
+    df = build(dw)
+    assert re.search(rf"dynamicpruningexpression\({column}#\d+ IN dynamicpruning", plan(df))
+    pruned = sorted(map(str, df.collect()))
+    spark.conf.set("spark.sql.optimizer.dynamicPartitionPruning.enabled", "false")
+    try:
+        assert sorted(map(str, build(dw).collect())) == pruned
+    finally:
+        spark.conf.unset("spark.sql.optimizer.dynamicPartitionPruning.enabled")
 
 
 @needs_tables
@@ -82,10 +103,10 @@ def test_stages_stay_small_enough_to_be_compiled(spark, monkeypatch):
     save = Scratch.save
     debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
 
-    def measured(self, df, name, key=None):
+    def measured(self, df, name, key=None, **settings):
         code = debug.codegenString(df._jdf.queryExecution().executedPlan())
         sizes[name] = max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
-        return save(self, df, name, key)
+        return save(self, df, name, key, **settings)
 
     dw = Warehouse(spark, raw_frames(spark))
     dw._find_repeated("clientes", "creditos", "pagos")

@@ -1,3 +1,4 @@
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -125,10 +126,10 @@ def test_store_shows_only_published_runs(spark, tmp_path):
     assert store.write("dwh", "r1", "t", spark.range(3))["rows"] == 3
     with pytest.raises(ValueError):
         store.read("dwh", "t")
-    store.publish("dwh", "r1")
+    store.publish("r1", "dwh")
     store.write("dwh", "r2", "t", spark.range(5))
     assert store.read("dwh", "t").count() == 3
-    store.publish("dwh", "r2")
+    store.publish("r2", "dwh")
     assert store.read("dwh", "t").count() == 5
     assert store.drop_superseded("dwh") == ["r1"]
     assert store.read("dwh", "t").count() == 5
@@ -141,9 +142,44 @@ def test_history_accumulates_and_a_rerun_replaces_its_own_rows(spark, tmp_path):
     assert store.append_run("dq", "e", "r1", rows) == 2
     store.append_run("dq", "e", "r2", rows)
     store.append_run("dq", "e", "r2", rows)
-    counts = {r.run_id: r["count"] for r in
-              store.history("dq", "e", "x long").groupBy("run_id").count().collect()}
-    assert counts == {"r1": 2, "r2": 2}
+    counts = lambda df: {r.run_id: r["count"] for r in df.groupBy("run_id").count().collect()}
+    assert counts(store.history("dq", "e", "x long")) == {"r1": 2, "r2": 2}
+    before = store.snapshot()
+    store.append_run("dq", "e", "r2", rows.limit(1))
+    store.append_run("dq", "e", "r3", rows)
+    assert counts(before.history("dq", "e", "x long")) == {"r1": 2, "r2": 2}
+    assert counts(store.history("dq", "e", "x long")) == {"r1": 2, "r2": 1, "r3": 2}
+
+
+def test_a_rerun_that_is_not_listed_yet_is_not_read(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "layers"))
+    store.append_run("dq", "e", "r1", spark.range(2).withColumnRenamed("id", "x"))
+    spark.range(9).withColumnRenamed("id", "x").write.parquet(f"{store.root}/dq/e/run_id=r1/version=half")
+    history = store.history("dq", "e", "x long")
+    assert history.count() == 2 and history.columns == ["x", "run_id"]
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*run_id.*version", plan)
+
+
+def test_all_layers_switch_at_once(spark, tmp_path):
+    first = TableStore(spark, str(tmp_path / "layers"))
+    for layer in ("dwh", "bi"):
+        first.write(layer, "r1", "t", spark.range(3))
+    first.publish("r1", "dwh", "bi")
+    seen = first.snapshot()
+    second = TableStore(spark, first.root)
+    second.write("dwh", "r2", "t", spark.range(5))
+    second.write("bi", "r2", "t", spark.range(6))
+    second.publish("r2", "dwh", "bi")
+    assert [seen.read(layer, "t").count() for layer in ("dwh", "bi")] == [3, 3]
+    assert [first.snapshot().read(layer, "t").count() for layer in ("dwh", "bi")] == [5, 6]
+    third = TableStore(spark, first.root)
+    third.write("bi", "r2", "t", spark.range(7))
+    third.publish("r2", "bi")                       # what it does not replace stays
+    now = first.snapshot()
+    assert [now.read(layer, "t").count() for layer in ("dwh", "bi")] == [5, 7]
+    with pytest.raises(ValueError, match="raw"):
+        now.read("raw", "t")
 
 
 def test_scratch_measures_keys(spark):
@@ -178,8 +214,8 @@ def test_rerun_of_a_published_run_leaves_its_tables_until_published(spark, tmp_p
     root = str(tmp_path / "layers")
     first, second = TableStore(spark, root), TableStore(spark, root)
     first.write("dwh", "r1", "t", spark.range(3))
-    first.publish("dwh", "r1")
+    first.publish("r1", "dwh")
     second.write("dwh", "r1", "t", spark.range(9))
     assert second.read("dwh", "t").count() == 3
-    second.publish("dwh", "r1")
+    second.publish("r1", "dwh")
     assert first.read("dwh", "t").count() == 9
