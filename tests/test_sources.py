@@ -1,3 +1,4 @@
+import random
 import re
 from types import SimpleNamespace
 
@@ -13,6 +14,7 @@ from creditmart.sources.tables import Scratch, TableStore, scratch_root
 
 
 def write(path, text: str, bom: bool = False):
+    path.parent.mkdir(exist_ok=True)
     path.write_bytes((b"\xef\xbb\xbf" if bom else b"") + text.encode())
     return str(path)
 
@@ -109,6 +111,59 @@ def test_quoted_line_breaks_are_read_on_request(spark, tmp_path):
         (1, "1", "x\ny"), (2, "2", "z")]
 
 
+def quoted_rows(seed, n):
+    rng = random.Random(seed)
+    parts = ["x", "y z", '"', "\n", "\n\n", ",", " ", "é", "\n\"\n", '""', "long " * 9]
+    field = lambda: "".join(rng.choice(parts) for _ in range(rng.randrange(4)))
+    return [(str(i), field(), "line\n" * 120 if i == n // 2 else field()) for i in range(n)]
+
+
+@pytest.mark.parametrize("split", [64, 333, 1 << 20])
+def test_quoted_line_breaks_over_many_splits(spark, tmp_path, split):
+    say = lambda v: v if v.isalnum() else '"' + v.replace('"', '""') + '"'
+    rows = []
+    for name in ("a", "b"):
+        own = quoted_rows(name, 60)
+        text = "id,p,q\n" + "".join(",".join(map(say, r)) + "\n" + "\n" * (int(r[0]) % 7 == 3) for r in own)
+        write(tmp_path / "in" / f"{name}.csv", text, bom=name == "b")
+        rows += own
+    whole = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "in"))
+    old = {k: spark.conf.get(f"spark.sql.files.{k}") for k in ("maxPartitionBytes", "openCostInBytes")}
+    try:
+        for k in old:
+            spark.conf.set(f"spark.sql.files.{k}", split if k == "maxPartitionBytes" else 0)
+        raw = read_csv(spark, str(tmp_path / "in"), multi_line=True)
+        landed = land(raw, str(tmp_path / "raw"), Scratch(spark)).df
+        assert split > 333 or raw.select("_bloque").distinct().count() > 5
+    finally:
+        for k, v in old.items():
+            spark.conf.set(f"spark.sql.files.{k}", v)
+    got = [tuple(r) for r in landed.orderBy("_raw_id").select("_raw_id", "id", "p", "q").collect()]
+    assert got == [(i, *r) for i, r in enumerate(rows, 1)]
+    blank = lambda v: v or ""
+    assert sorted(r[1:] for r in got) == sorted((r.id, blank(r.p), blank(r.q)) for r in whole.collect())
+    assert {r._source_file for r in landed.collect()} == {"a.csv", "b.csv"}
+
+
+def test_quoted_files_with_other_headers_or_widths_fail(spark, tmp_path):
+    write(tmp_path / "in" / "a.csv", 'id,p\n1,"x\ny"\n')
+    write(tmp_path / "in" / "b.csv", 'id,r\n1,"x\ny"\n')
+    with pytest.raises(CorruptRows, match="1 rows"):
+        land(read_csv(spark, str(tmp_path / "in"), multi_line=True), str(tmp_path / "raw"), Scratch(spark))
+    path = write(tmp_path / "c.csv", 'id,p\n1,"x\ny",3\n2\n3,z\n')
+    with pytest.raises(CorruptRows, match="2 rows"):
+        land(read_csv(spark, path, multi_line=True), str(tmp_path / "rows"), Scratch(spark))
+    empty = write(tmp_path / "d.csv", "id,p\n")
+    assert land(read_csv(spark, empty, multi_line=True), str(tmp_path / "none"), Scratch(spark)).rows == 0
+
+
+def test_quoted_lines_are_shuffled_once_whole(spark, tmp_path):
+    path = write(tmp_path / "m.csv", 'a,b\n1,"x\ny"\n2,z\n')
+    plan = csv_source.quoted_records(spark, path)._jdf.queryExecution().executedPlan().toString()
+    wide = {line for line in re.findall(r"Exchange hashpartitioning\([^\n]*", plan)}
+    assert "Python" not in plan and all("_archivo" in line for line in wide)
+
+
 def test_extract_checks_all_files_first(spark, tmp_path):
     paths = {n: write(tmp_path / f"{n}.csv", csv_text(n, entity_rows(n, {}))) for n in BASE}
     assert set(extract(spark, paths)) == set(BASE)
