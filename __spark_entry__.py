@@ -346,6 +346,10 @@ ON_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "measures_by_state": lambda dw: measures.measures(dw, LOAN_MEASURES, by=["estado_credito"]),
     "measures_by_payment_state": lambda dw: measures.measures(
         dw, ["recaudo_total", "tasa_fallo_pago_pct"], by=["estado_pago"]),
+    "measures_filtered_state": lambda dw: measures.measures(
+        dw, LOAN_MEASURES, by=["producto"], filters={
+            "estado_credito": F.col("estado_credito").isin("Mora", "Vencido", "Rechazado"),
+            "es_mora": ~F.col("es_mora"), "canal": F.col("canal") != "App"}),
     "measures_time_rollup": lambda dw: measures.drill_down(dw, ALL_MEASURES),
 }
 

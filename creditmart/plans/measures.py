@@ -4,8 +4,9 @@ Every measure is a ratio or sum of additive parts. ``measures`` computes the par
 fact at the grain of keys, joins only the dimensions the slice needs, and adds them up.
 
 A measure's own filter replaces a slice on the column it filters: approved loans by loan state are
-all approved loans in every row, as there is one filter on that column at a time. Filters on other
-columns of the same dimension, and ``where``, stay.
+all approved loans in every row, as there is one filter on that column at a time. The same goes for
+``filters``, which name the column each of them is on: a part of a measure drops the one on the column
+that it filters itself. Filters on other columns of the same dimension, and ``where``, stay.
 """
 
 from __future__ import annotations
@@ -147,7 +148,14 @@ def _attributes(dw, relation: Relation, columns: set[str],
     return F.broadcast(dim) if relation.small else dim
 
 
-def _additive(dw, fact: str, parts: set[str], columns: set[str], where: Column | None) -> DataFrame:
+def _within(filters: dict[str, Column], but: str | None = None) -> Column | None:
+    """All ``filters`` together, save the one on the column ``but``; None where no other is left."""
+    left = [f for c, f in filters.items() if c != but]
+    return reduce(Column.__and__, left) if left else None
+
+
+def _additive(dw, fact: str, parts: set[str], columns: set[str], where: Column | None,
+              filters: dict[str, Column]) -> DataFrame:
     """Parts per combination of the fact's keys and small-dimension columns, then customers."""
     rows = getattr(dw, fact)
     if fact == LOANS:
@@ -159,7 +167,15 @@ def _additive(dw, fact: str, parts: set[str], columns: set[str], where: Column |
     for relation in (r for r in relations if r.small):
         periods = date_periods(relation.fact_key, rows.columns)
         rows = rows.join(_attributes(dw, relation, columns, periods), [relation.fact_key, *periods])
-    rows = rows.withColumns({p: F.expr(PARTS[fact][p]) for p in parts})
+    # Filters on columns that a part filters itself hold for the other parts only.
+    replaced = {REPLACES.get(p) for p in parts}
+    shared = {c: f for c, f in filters.items() if c not in replaced}
+    own = {c: f for c, f in filters.items() if c in replaced}
+    kept = {p: _within(own, REPLACES.get(p)) for p in parts}
+    if own and all(k is not None for k in kept.values()):
+        rows = rows.where(reduce(Column.__or__, kept.values()))
+    values = {p: F.expr(PARTS[fact][p]) for p in parts}
+    rows = rows.withColumns({p: v if kept[p] is None else F.when(kept[p], v) for p, v in values.items()})
     large = [r for r in relations if not r.small]
     keys = [c for r in relations if r.small for c in r.columns if c in columns]
     keys += sorted(columns & FACT_COLUMNS[fact])
@@ -168,7 +184,9 @@ def _additive(dw, fact: str, parts: set[str], columns: set[str], where: Column |
         rows = rows.groupBy(*keys).agg(*[F.sum(p).alias(p) for p in sorted(parts)])
     for relation in large:
         rows = rows.join(_attributes(dw, relation, columns), relation.fact_key)
-    return rows.where(where) if where is not None else rows
+    for condition in (where, _within(shared)):
+        rows = rows if condition is None else rows.where(condition)
+    return rows
 
 
 def _by_fact(names: list[str]) -> dict[str, list[str]]:
@@ -179,19 +197,23 @@ def _by_fact(names: list[str]) -> dict[str, list[str]]:
 
 
 def measures(dw, names: list[str], by: list[str] = (), where: Column | None = None,
-             where_columns: list[str] = (), drill: bool = False) -> DataFrame:
+             where_columns: list[str] = (), drill: bool = False,
+             filters: dict[str, Column] | None = None) -> DataFrame:
     """The named measures per combination of ``by``; filtered by ``where`` over slice columns.
 
+    ``filters`` maps slice columns to predicates, of which a measure drops the one on its own column.
+    A fact that cannot be sliced by such a column refuses it.
+
     ``drill=True`` adds the totals of each prefix of ``by``, with ``nivel`` telling how many
     trailing columns are rolled up. Measures of both facts may be mixed when both can be sliced
     that way; a slice present in one fact only still appears.
     """
     by = list(by)
-    level = ["nivel"] if drill else []
+    filters, level = dict(filters or {}), ["nivel"] if drill else []
     results = []
     for fact, wanted in _by_fact(list(names)).items():
         parts = {p for n in wanted for p in MEASURES[n].parts}
-        rows = _additive(dw, fact, parts, set(by) | set(where_columns), where)
+        rows = _additive(dw, fact, parts, set(by) | set(where_columns) | set(filters), where, filters)
         totals = [F.sum(p).alias(p) for p in sorted(parts)]
         finest = rows.groupBy(*by).agg(*totals)
         for part in sorted(p for p in parts if REPLACES.get(p) in by):
@@ -203,6 +225,9 @@ def measures(dw, names: list[str], by: list[str] = (), where: Column | None = No
             finest = finest.groupBy(*others).agg(
                 F.sum(part).alias(part), F.collect_list(F.struct(*rest)).alias("_filas")
             ).select(*others, part, F.inline("_filas"))
+        shown = _within({c: f for c, f in filters.items() if c in by})
+        if shown is not None:
+            finest = finest.where(shown)
         if drill:       # roll up the finest level, not the rows: each level would copy them
             depth = F.bit_count(F.grouping_id()).cast("int").alias("nivel")
             finest = finest.rollup(*by).agg(depth, *totals)

@@ -530,6 +530,15 @@ SQL: dict[str, str] = {
  (select cast(sum(monto) as double) from f_pago where estado = 'Exitoso') as recaudo_total,
  cast((select count(*) from f_pago where estado = 'Fallido') as double) * cast(100 as double) / count(*) as tasa_fallo_pago_pct
  from f_pago group by estado"""),
+    # A measure's own filter takes the place of a filter on its column; all others hold.
+    "measures_filtered_state": _on_chain(f"""select producto,
+ cast(sum(monto) filter (where es_activo and _state and not es_mora) as double) as cartera_vigente,
+ nullif({_n('es_activo and _state and not es_mora')}, 0) as num_creditos_activos,
+ {_mean(f"sum(monto) filter (where {_APPROVED} and not es_mora)", _n(f'{_APPROVED} and not es_mora'))} as ticket_promedio,
+ coalesce(cast({_n('es_mora and _state')} as double) * cast(100 as double) / nullif({_n('_state and not es_mora')}, 0), 0) as tasa_mora_pct,
+ {_mean("sum(dias_mora) filter (where es_mora and _state)", _n('es_mora and _state'))} as dias_mora_promedio,
+ coalesce(cast({_n(f'{_APPROVED} and not es_mora')} as double) * cast(100 as double) / nullif({_n('_state and not es_mora')}, 0), 0) as tasa_aprobacion_pct
+ from (select *, estado in ('Mora', 'Vencido', 'Rechazado') as _state from f_credito where canal <> 'App') group by producto"""),
     "measures_time_rollup": _measures_by(
         ["anio", "trimestre", "mes", "dia"],
         "(select f.*, c.anio, c.trimestre, c.mes, c.dia from f_credito f join calendario c on f.fecha_solicitud = c.fecha)",

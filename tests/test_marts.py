@@ -165,3 +165,30 @@ def test_drill_down_levels(dw):
 def test_marts_take_any_star(dw):
     star = SimpleNamespace(**dw.star())
     assert rows(marts.kpi_resumen(star)) == rows(marts.kpi_resumen(dw))
+
+
+def test_a_measure_drops_the_filter_on_its_own_column(dw):
+    """Against the plain reading of each measure: its own filter instead of the one on that column."""
+    loans = [r.asDict() for r in marts.with_state(dw, dw.fact_credito).collect()]
+    wanted = {"estado_credito": lambda r: r["estado"] != "Activo", "es_activo": lambda r: not r["es_activo"]}
+    got, = rows(measures.measures(
+        dw, ["num_creditos_activos", "ticket_promedio", "tasa_mora_pct", "tasa_aprobacion_pct"],
+        filters={"estado_credito": F.col("estado_credito") != "Activo", "es_activo": ~F.col("es_activo")}))
+    def among(own, column=None):
+        return [r for r in loans if own(r) and all(f(r) for c, f in wanted.items() if c != column)]
+    active = among(lambda r: r["es_activo"], "es_activo")
+    approved = among(lambda r: r["estado"] != "Rechazado", "estado_credito")
+    late, every = among(lambda r: r["es_mora"], "es_mora"), among(lambda r: True)
+    assert every and approved and got == {
+        "num_creditos_activos": len(active) or None,
+        "ticket_promedio": pytest.approx(float(sum(r["monto_aprobado"] for r in approved)) / len(approved)),
+        "tasa_mora_pct": pytest.approx(100 * len(late) / len(every)),
+        "tasa_aprobacion_pct": pytest.approx(100 * len(approved) / len(every))}
+
+
+def test_a_filter_on_a_sliced_column_limits_the_rows(dw):
+    got = rows(measures.measures(dw, ["ticket_promedio", "tasa_mora_pct"], by=["estado_credito"],
+                                 filters={"estado_credito": F.col("estado_credito") == "Mora"}))
+    whole = rows(measures.measures(dw, ["ticket_promedio"]))
+    assert [r["estado_credito"] for r in got] == ["Mora"]
+    assert got[0]["ticket_promedio"] == whole[0]["ticket_promedio"]
