@@ -16,6 +16,8 @@ from creditmart.llm.tables import Scratch, fits, text_of
 
 WHITE_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 PREFIX_CHARS = 64
+GROUP_BYTES = 160               # memory of a broadcast group
+PARTS = 16                      # that the rows of a group are dealt to, where groups are not broadcast
 
 
 def normalised(text: Column) -> Column:
@@ -32,8 +34,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text counts as empty, and all empty texts are one group. Rows that repeat an id and its
     text get the same answer and count in ``group_size``. An empty table gives no rows; other
     columns are ignored, whatever their names. ``text_sha256`` is the digest of the normalised
-    text; for a text that no other shares length and beginning with it is null, unless
-    ``all_digests`` asks for it.
+    text; for a text that no other equals it is null, unless ``all_digests`` asks for it.
     """
     scratch = Scratch(docs.sparkSession)
     text = text_of(text_col)
@@ -57,10 +58,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            F.col("doc_id").alias("id")))
     groups = (rows.where("_shared").groupBy(F.col("text_sha256").alias("_key"))
               .agg(first.alias("_first"), F.count(F.lit(1)).alias("_size")).where("_size > 1"))
-    joined = rows.join(groups, (F.col("text_sha256") == F.col("_key")) & F.col("_shared"), "left")
+    groups = scratch.save(groups, "groups")
+    own = F.col("text_sha256") == F.col("_key")
+    if fits(groups, GROUP_BYTES):
+        joined = rows.join(F.broadcast(groups.df), own & F.col("_shared"), "left")
+    else:       # a group may have any number of rows, so its rows are dealt to several tasks
+        every = groups.df.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        part = F.pmod(F.xxhash64("doc_id", "_chars", F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")
+        joined = rows.where("_shared").withColumn("_own", part).join(
+            every, own & (F.col("_own") == F.col("_part")), "left")
+        joined = joined.unionByName(rows.where(~F.col("_shared")), allowMissingColumns=True)
+    digest = F.col("text_sha256") if all_digests else F.when(F.col("_size").isNotNull(), F.col("text_sha256"))
     return joined.select(
         "doc_id", F.when(F.col("_size").isNull(), F.col("doc_id")).otherwise(F.col("_first.id"))
         .alias("keep_id"),
         F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("_size").isNull() | F.col("doc_id").eqNullSafe(F.col("_first.id"))).alias("kept"),
-        "text_sha256")
+        digest.alias("text_sha256"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditmart.llm.tables import Scratch, Stored, ready_workers, text_of, with_size
+from creditmart.llm.tables import Scratch, Stored, frugal, keeps, ready_workers, text_of, with_size
 
 WORDS, THRESHOLD = 5, 80            # words of an n-gram; per cent
 FIRST_CUT = 0.3                     # part of the order that all classes are counted over
@@ -32,23 +32,28 @@ RANGE_GRAMS = 2 << 20               # n-grams of a fragment that one task compar
 FLUSH_DOCS, FLUSH_GRAMS = 4096, 1 << 20
 FRAGMENTS = 4                       # in which overlaps of pairs are counted; a power of two
 TURNS = 3
-CHUNK = 1 << 20
+CHUNK = 1 << 18                     # bytes of text worked on at once, but for longer texts
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BASE = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = []
+_POWERS: list[np.ndarray] = []      # for the bytes of one piece of work
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse modulo 2**64."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 2 * CHUNK)
-        _POWERS[:] = [np.cumprod(np.r_[np.uint64(1), np.full(size, b, np.uint64)])
-                      for b in (BASE, pow(BASE, -1, 1 << 64))]
+    made = lambda size: [np.cumprod(np.r_[np.uint64(1), np.full(size, b, np.uint64)])
+                         for b in (BASE, pow(BASE, -1, 1 << 64))]
+    if n > 2 * CHUNK:
+        return tuple(made(n))
+    if not _POWERS:
+        _POWERS[:] = made(2 * CHUNK)
     return _POWERS[0], _POWERS[1]
 
 
+keeps("jaccard", _POWERS.clear)
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -114,7 +119,7 @@ def set_classes(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "_hash", "text").mapInArrow(
-        work, f"doc_id {kind}, _hash long, n long, cls binary")
+        frugal("jaccard", work), f"doc_id {kind}, _hash long, n long, cls binary")
 
 
 def _packed(held: list[tuple[bytes, np.ndarray]], ranges: int, part: float) -> pa.RecordBatch:
@@ -226,7 +231,7 @@ def _in_fragments(docs: DataFrame, grams: int, part: float, words: int) -> DataF
             yield _packed(held, ranges, part)
 
     return docs.select("cls", "text").mapInArrow(
-        pack, "range int, " + ", ".join(f"{c} binary" for c in PACKED[1:])).groupBy("range")
+        frugal("jaccard", pack), "range int, " + ", ".join(f"{c} binary" for c in PACKED[1:])).groupBy("range")
 
 
 def with_company(docs: DataFrame, grams: int, part: float, words: int = WORDS,
@@ -313,8 +318,9 @@ def _one_each(places: DataFrame, nodes: DataFrame, turn: int, threshold: int) ->
 def _all_left(places: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     """Every pair (a, b) of different components that may reach the threshold.
 
-    The smaller set of a pair needs a shorter prefix than the larger. All n-grams that the two share
-    up to the last one found are among those found; after it either set has only so many.
+    At the first n-gram that two such sets share, both have as many left as they need to share. So a
+    pair is found where that holds, and so are all n-grams shared up to the last one found; after it
+    either set has only so many.
     """
     placed = places.join(nodes, "cls")
     sizes = placed.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("size"))
@@ -322,16 +328,13 @@ def _all_left(places: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
                                       F.count(F.lit(1)).alias("comps")).where("comps > 1")
     members = placed.join(mains.select("gram", "main"), "gram")
     other = members.select("gram", *[F.col(c).alias(f"o_{c}") for c in ("cls", "n", "pos", "comp", "main")])
-    first = (F.col("n") < F.col("o_n")) | ((F.col("n") == F.col("o_n")) & (F.col("cls") < F.col("o_cls")))
-    small = F.when(first, F.struct("n", "pos")).otherwise(F.struct(F.col("o_n").alias("n"), F.col("o_pos").alias("pos")))
-    shorter = small["n"] - F.ceil(2 * threshold * small["n"] / (100 + threshold)) + 1
     needed = F.ceil(threshold * (F.col("n") + F.col("o_n")) / (100 + threshold))
-    reach = F.least("pos", "o_pos") + F.least(F.col("n") - F.col("pos"), F.col("o_n") - F.col("o_pos"))
+    reach = F.least(F.col("n") - F.col("pos"), F.col("o_n") - F.col("o_pos"))
     # One side is outside the largest component; of two outside, one leads.
     met = members.where("comp != main").join(other, "gram").where(
         (F.col("comp") != F.col("o_comp"))
         & ((F.col("o_comp") == F.col("o_main")) | (F.col("cls") < F.col("o_cls")))
-        & _near_in_size("n", "o_n", threshold) & (small["pos"] < shorter) & (reach >= needed))
+        & _near_in_size("n", "o_n", threshold) & (reach >= needed))
     turned = F.col("cls") > F.col("o_cls")
     ends = [F.when(turned, F.col(y)).otherwise(F.col(x)).alias(name) for name, x, y in (
         ("a", "cls", "o_cls"), ("b", "o_cls", "cls"), ("n_a", "n", "o_n"), ("n_b", "o_n", "n"),
@@ -375,11 +378,12 @@ def similar_classes(texts: DataFrame, grams: int, scratch: Scratch, words: int =
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        words: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """``doc_id, _hash, n_shingles, component_id``; one row per row.
+    """``doc_id, _hash, n_shingles, component_id, _group``; one row per row.
 
     Words are runs of anything but white space, with A-Z in lower case. Two documents link when
     their sets' intersection is ``threshold`` per cent of their union or more, and component_id is
-    the smallest id that links reach. Equal sets link. A text without words, or null, has an empty
+    the smallest id that links reach, and _group names the component itself, also where rows of
+    several components repeat an id; it is null for empty sets. Equal sets link. A text without words, or null, has an empty
     set and is alone. Rows that repeat an id and its text get the same answer; a null id is never
     the smallest, unless it is alone.
     """
@@ -411,7 +415,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ids = classes.df.select("cls", F.col("first.doc_id").alias("doc_id")).join(comps, "cls", "left")
     ids = ids.withColumn("_comp", F.coalesce("comp", F.hex("cls")))
     least = ids.groupBy("_comp").agg(F.min("doc_id").alias("_least"))
-    named = scratch.save(ids.join(least, "_comp").select(F.col("cls").alias("_cls"), "_least"), "named")
+    named = scratch.save(ids.join(least, "_comp").select(F.col("cls").alias("_cls"), "_least", F.col("_comp").alias("_group")), "named")
     joined = rows.join(with_size(named), F.col("cls") == F.col("_cls"), "left")
     return joined.select("doc_id", "_hash", F.col("n").alias("n_shingles"), F.when(
-        F.col("n") == 0, F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"))
+        F.col("n") == 0, F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"), "_group")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditmart.llm.bpe import byte_characters
-from creditmart.llm.tables import Scratch, Stored, ready_workers, text_of
+from creditmart.llm.tables import Scratch, Stored, frugal, keeps, ready_workers, text_of
 
 WINDOW = 2048
 END_ID = 1                          # closes every document
@@ -107,6 +107,9 @@ def words(path: str) -> Words:
     return Words(path)
 
 
+keeps("packing", words.cache_clear)
+
+
 def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
              end_id: int = END_ID) -> DataFrame:
     """``doc_id, ids``: ids of each row's text and ``end_id``, as binary with 16 bits each.
@@ -123,7 +126,7 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     ready_workers(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return rows.mapInArrow(frugal("packing", work), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
 
 
 def _by_document(ids: list[np.ndarray]) -> np.ndarray:
@@ -149,7 +152,7 @@ def document_frequencies(stored: Stored) -> tuple[np.ndarray, int]:
         terms = np.flatnonzero(found)
         yield pa.record_batch([np.r_[terms, -1], np.r_[found[terms], tokens]], ["term", "n"])
 
-    rows = (stored.df.select("ids").mapInArrow(count, "term long, n long")
+    rows = (stored.df.select("ids").mapInArrow(frugal("packing", count), "term long, n long")
             .groupBy("term").agg(F.sum("n").alias("n")).collect())      # a row per vocabulary id
     found = np.zeros(TERMS + 1, np.int64)
     found[[r.term for r in rows]] = [r.n for r in rows]
@@ -290,10 +293,10 @@ def pack(stored: Stored, window: int = WINDOW) -> DataFrame:
             yield out.batch(kind)
 
     shards = max(1, -(-tokens // SHARD_TOKENS))
-    dealt = (stored.df.mapInArrow(deal, f"doc_id {id_type}, ids binary, term int")
+    dealt = (stored.df.mapInArrow(frugal("packing", deal), f"doc_id {id_type}, ids binary, term int")
              .repartitionByRange(shards, "term", "doc_id").sortWithinPartitions("term", "doc_id"))
     return dealt.select("doc_id", "ids").mapInArrow(
-        fill, f"doc_id {id_type}, " + ", ".join(f"{f} long" for f in Sequences.FIELDS[1:]))
+        frugal("packing", fill), f"doc_id {id_type}, " + ", ".join(f"{f} long" for f in Sequences.FIELDS[1:]))
 
 
 def pack_documents(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:

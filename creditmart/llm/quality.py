@@ -15,13 +15,14 @@ Text that costs more is rejected, and so is 1 - QUANTILE of held-out text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditmart.llm.tables import Scratch, ready_workers, text_of, with_size
+from creditmart.llm.tables import Scratch, frugal, ready_workers, text_of, with_size
 
 ORDER = 5
 SYMBOLS = 256
@@ -30,6 +31,7 @@ HELD_TOGETHER = 2 << 20         # n-grams a counting task keeps before it hands
 CHUNK_BYTES = 1 << 20           # bytes of text worked on at once
 SHARD_ROWS = 4 << 20            # rows of the table sent to workers at once, 16 bytes each
 QUANTILE, SHORT = 0.99, 4.0
+STEPS = 10_000                  # of a bit, in which limits are found
 FEWEST = 20                     # held-out documents a language needs for a limit of its own
 
 
@@ -93,7 +95,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
             yield pa.record_batch([kept, total], ["gram", "n"])
 
     ready_workers(docs.sparkSession)
-    return (docs.select("text", "fits").mapInArrow(work, "gram long, n long")
+    return (docs.select("text", "fits").mapInArrow(frugal("quality", work), "gram long, n long")
             .groupBy("gram").agg(F.sum("n").alias("n")))
 
 
@@ -149,11 +151,12 @@ def gram_scores(counts: DataFrame, scratch: Scratch, order: int = ORDER) -> Data
     return scored.select("gram", (-F.log2("p")).alias("bits"))
 
 
-def score(docs: DataFrame, table: DataFrame, rows: int, order: int = ORDER) -> DataFrame:
-    """``docs`` without ``text``, with ``n_bytes`` and ``bits``, the cost of its text.
+def score(docs: DataFrame, table: DataFrame, rows: int, scratch: Scratch, order: int = ORDER) -> DataFrame:
+    """``docs`` without ``text``, with ``n_bytes`` and ``bits``, the cost of its text; a row per row.
 
-    The table goes to the workers in shards of bounded size, one after another; each gives the sum
-    over the n-grams it holds.
+    The table goes to the workers in shards of bounded size, one after another, and each is let go
+    when it is done; each gives the sum over the n-grams it holds. Equal rows have equal sums, so
+    they are added up together and come back as often as they were there.
     """
     spark = docs.sparkSession
     ready_workers(spark)
@@ -162,7 +165,7 @@ def score(docs: DataFrame, table: DataFrame, rows: int, order: int = ORDER) -> D
     rest = [c for c in docs.columns if c != "text"]
     docs = docs.select("text", *rest)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
-    partial = None
+    parts = []
     for s in range(shards):
         held = table.where(shard == s).toArrow()
         gram, bits = (held.column(c).to_numpy() for c in ("gram", "bits"))
@@ -186,11 +189,15 @@ def score(docs: DataFrame, table: DataFrame, rows: int, order: int = ORDER) -> D
                     [*batch.columns[1:], pa.array([len(t) for t in texts], pa.int64()), pa.array(bits)],
                     [*rest, "n_bytes", "bits"])
 
-        part = docs.mapInArrow(work, f"{schema}, n_bytes long, bits double")
-        partial = part if partial is None else partial.unionByName(part)
+        parts.append(scratch.save(docs.mapInArrow(frugal("quality", work), f"{schema}, n_bytes long, bits double"),
+                                  f"scores{s}").df)
+        sent.destroy()
     if shards == 1:
-        return partial
-    return partial.groupBy(*rest, "n_bytes").agg(F.sum("bits").alias("bits"))
+        return parts[0]
+    every = reduce(DataFrame.unionByName, parts).groupBy(*rest, "n_bytes").agg(
+        F.sum("bits").alias("_sum"), (F.count(F.lit(1)) / shards).cast("long").alias("_times"))
+    return every.select(*rest, "n_bytes", (F.col("_sum") / F.col("_times")).alias("bits"),
+                        F.explode(F.sequence(F.lit(1).cast("long"), "_times")).alias("_each")).drop("_each")
 
 
 def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None) -> DataFrame:
@@ -215,14 +222,16 @@ def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch | None = None)
                        (F.col("_id").isNotNull() & ~held).alias("fits"),
                        (F.col("_id").isNotNull() & held).alias("held"))
     counts = scratch.save(count_grams(rows), "counts")
-    scores = scratch.save(score(rows, gram_scores(counts.df, scratch), counts.rows), "scores").df
+    scores = score(rows, gram_scores(counts.df, scratch), counts.rows, scratch)
     scores = scores.withColumn("x", F.col("bits") / F.when(F.col("n_bytes") > 0, F.col("n_bytes")))
     short = SHORT / F.sqrt(F.greatest("n_bytes", F.lit(1)))
-    limits = F.struct(F.percentile(F.col("x") - short, F.lit(QUANTILE)).alias("q"), F.count("x").alias("n"))
+    # In steps, of which there are few, so that the quantile needs no more memory with more documents.
+    stepped = F.ceil((F.col("x") - short) * STEPS) / STEPS
+    limits = F.struct(F.percentile(stepped, F.lit(QUANTILE)).alias("q"), F.count("x").alias("n"))
     held_out = scores.where("held")
-    every = held_out.agg(limits.alias("every"))
-    own = held_out.groupBy(F.col("lang").alias("_lang")).agg(limits.alias("own"))
-    judged = (scores.join(F.broadcast(own), F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    every = held_out.agg(limits.alias("every"))                     # one row
+    own = scratch.save(held_out.groupBy(F.col("lang").alias("_lang")).agg(limits.alias("own")), "own")
+    judged = (scores.join(with_size(own, 256), F.col("lang").eqNullSafe(F.col("_lang")), "left")
               .join(F.broadcast(every)))
     q = F.when(F.col("own.n") >= FEWEST, F.col("own.q")).otherwise(F.col("every.q"))
     judged = judged.withColumn("limit", q + short)

@@ -78,7 +78,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of its similar ones."""
-    return jaccard_components(table(spark, sf_dir, "documents")).drop("_hash")
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("_hash", "_group")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str,

@@ -78,7 +78,7 @@ t AS (
                                   lambda x: x != '') AS form
   FROM (SELECT doc_id, masked, unnest(range(1, len(masked) + 1)) AS pos FROM d)),
 l AS (
-  SELECT *, (len(form), form[1:3])::VARCHAR AS leaf FROM t WHERE len(form) >= 2),
+  SELECT *, (len(form), form[1:3])::VARCHAR AS leaf FROM t WHERE len(form) >= 1),
 f AS (
   SELECT leaf, form, count(*) AS n FROM l
   WHERE leaf IN (SELECT leaf FROM l GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3)

@@ -28,7 +28,8 @@ def _is(other: str) -> Column:
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Documents that the classifier does not reject. Null and empty texts stay; rows that repeat an
+    id and its text go or stay together."""
     judged = classify(docs, table(spark, sf_dir, "labels"))
     rejected = Scratch(spark).save(judged.where(~F.col("kept")).select(
         F.col("doc_id").alias("_id"), F.col("_hash").alias("_h")).distinct(), "rejected")
@@ -36,29 +37,35 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without recurring lines; one that consists of nothing else goes."""
+    """Documents without recurring lines; one of which only white space is left goes.
+
+    Other empty texts, and null, stay. Rows that repeat an id and its text get the same answer.
+    """
     rows = line_dedup(docs)
-    return _as_documents(rows.where((F.col("n_dropped") == 0) | (F.trim(text_of("text")) != "")))
+    return _as_documents(rows.where((F.col("n_dropped") == 0) | text_of("text").rlike(r"[^\x20\x09-\x0D]")))
 
 
 def similar_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones, that with the smallest id.
 
-    Documents without words or without an id stay. Of rows with equal ids in one group, one stays.
+    Of rows that have it, the one with the smallest hash of its text stays, and of equal rows one.
+    Rows of unlike texts are groups of their own, also where they repeat an id. Documents without
+    words stay, and so do those without an id where the whole group has none.
     """
     scratch = Scratch(spark)
     joined = scratch.save(jaccard_components(docs), "components").df
     alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
-    grouped = joined.where(~alone).where(F.col("doc_id") == F.col("component_id"))
-    keeper = grouped.groupBy("doc_id").agg(F.min("_hash").alias("_hash"), F.count(F.lit(1)).alias("n"))
+    own = F.col("doc_id") == F.col("component_id")
+    first = joined.where(~alone & own).groupBy("_group", "doc_id", "_hash").agg(F.count(F.lit(1)).alias("n"))
+    keeper = first.groupBy("_group").agg(F.min(F.struct("_hash", "doc_id", "n")).alias("k")).select("k.*")
     stays = keeper.unionByName(joined.where(alone).select("doc_id", "_hash").distinct()
                                .withColumn("n", F.lit(1).cast("long")))
     stays = scratch.save(stays.select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_h"), "n"),
                          "stays")
     kept = docs.select(*COLUMNS).join(with_size(stays).alias("s"), _is("s"))
     single = kept.where("n = 1").select(*COLUMNS)
-    repeated = kept.where("n > 1").select(*COLUMNS)
-    return single.unionByName(repeated.dropDuplicates(["doc_id"]))
+    repeated = kept.where("n > 1").dropDuplicates(["doc_id", "_h"]).select(*COLUMNS)
+    return single.unionByName(repeated)
 
 
 def repeat_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,5 +75,6 @@ def repeat_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in training sequences."""
+    """The pieces of all documents in training sequences; a null text is an empty document. Rows that
+    repeat an id are documents of their own."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))

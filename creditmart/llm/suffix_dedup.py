@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from creditmart.llm.tables import Scratch, Stored, fits, ready_workers, text_of, with_size
+from creditmart.llm.tables import Scratch, Stored, fits, frugal, ready_workers, text_of, with_size
 
 LENGTH, GRAM = 200, 80
 CHUNK = 1 << 20             # bytes hashed together
@@ -117,7 +117,7 @@ def occurrences(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "_hash", "text").mapInArrow(
-        work, f"doc_id {kind}, _hash long, start int, len int, anchor long, seg long")
+        frugal("suffix", work), f"doc_id {kind}, _hash long, start int, len int, anchor long, seg long")
 
 
 class Transform:
@@ -245,7 +245,7 @@ def _fetched(docs: DataFrame, wanted: Stored, scratch: Scratch) -> DataFrame:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)],
                                   ["anchor", "seg", "bytes"])
 
-    cuts = held.select("text", "list").mapInArrow(cut, "anchor long, seg long, bytes binary")
+    cuts = held.select("text", "list").mapInArrow(frugal("suffix", cut), "anchor long, seg long, bytes binary")
     # Rows that repeat an id and its text give a segment more than once.
     return cuts.dropDuplicates(["anchor", "seg"])
 
@@ -294,7 +294,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
             .applyInArrow(_search(length), spans))
         if most > crowded:
             strings = scratch.save(
-                crowds.select("anchor", "seg", "bytes").mapInArrow(_strings(length), "anchor long, seg long, at int, h1 long, h2 long"),
+                crowds.select("anchor", "seg", "bytes").mapInArrow(frugal("suffix", _strings(length)), "anchor long, seg long, at int, h1 long, h2 long"),
                 "strings").df
             equal = strings.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             verdicts.append(
@@ -354,5 +354,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = StringType() if as_text else BinaryType()
     schema = StructType([rows.schema["_row"], *[
         StructField(c, kind if c == "kept" else LongType()) for c in made]])
-    found = rows.mapInArrow(work, schema)
+    found = rows.mapInArrow(frugal("suffix", work), schema)
     return found.select(*[F.col("_row").getField(c).alias(c) for c in rest], *made)

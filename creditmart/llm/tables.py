@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,42 @@ def with_size(side: Stored, row_bytes: int = ROW_BYTES) -> DataFrame:
 __all__ = ["BROADCAST_BYTES", "Scratch", "Stored", "fits", "table", "text_of", "with_size"]
 
 
+_KEPT: dict[str, Callable[[], object]] = {}     # of a worker: how to forget what an operator keeps
+
+
+def keeps(operator: str, forget: Callable[[], object]) -> None:
+    """Name what drops the caches that an operator keeps in a worker between its tasks."""
+    _KEPT[operator] = forget
+
+
+def forget_others(operator: str) -> None:
+    for name, forget in _KEPT.items():
+        if name != operator:
+            forget()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the platform can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def frugal(operator: str, work: Callable) -> Callable:
+    """``work`` over batches, as a task that holds no more memory than it needs.
+
+    A worker serves one operator after another. Before the first batch it drops what others keep,
+    and after the last one it gives back what it has freed.
+    """
+    def task(batches: Iterator) -> Iterator:
+        forget_others(operator)
+        yield from work(batches)
+        give_back()
+
+    return task
+
+
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}      # the driver serves it until it ends
 
 

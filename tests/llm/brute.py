@@ -66,7 +66,7 @@ def clean_lines(docs, min_docs=3, depth=3, agree=0.7):
     for i, text in sorted(docs.items()):
         for pos, line in enumerate((text or "").split("\n")):
             form = tuple("<*>" if re.search("[0-9]", t) else t for t in words(line))
-            if len(form) >= 2:
+            if form:
                 leaf = (len(form), form[:depth])
                 lines.append((i, pos, leaf, form))
                 leaf_docs[leaf].add(i)

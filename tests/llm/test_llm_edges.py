@@ -80,6 +80,16 @@ def test_exact(spark):
     assert got == sorted(expected)
 
 
+def test_exact_is_alike_at_every_size(spark, monkeypatch):
+    from creditmart.llm import exact_dedup as module
+    docs = frame(spark, [*MESSY, *[(900 + i, "a group of copies") for i in range(50)]])
+    answers = lambda **k: sorted(map(str, exact_dedup(docs, **k).collect()))
+    small, digests = answers(), answers(all_digests=True)
+    assert any("text_sha256=None" in r for r in small) and not any("text_sha256=None" in r for r in digests)
+    monkeypatch.setattr(module, "fits", lambda *_: False)
+    assert answers() == small and answers(all_digests=True) == digests
+
+
 def test_jaccard(spark):
     got = sorted((r.doc_id or 99, r.n_shingles, r.component_id or 99) for r in jaccard_components(frame(spark)).collect())
     order = sorted(range(len(MESSY)), key=lambda k: (MESSY[k][0] is None, MESSY[k][0] or 0))
@@ -232,14 +242,15 @@ def test_model_in_shards(spark, monkeypatch):
     scratch = Scratch(spark)
     counts = scratch.save(quality.count_grams(docs), "counts")
     scores = scratch.save(quality.gram_scores(counts.df, scratch), "scores").df
-    whole = quality.score(docs, scores, counts.rows)
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(1))       # rows that repeat
+    whole = quality.score(docs, scores, counts.rows, Scratch(spark))
     monkeypatch.setattr(quality, "SHARD_ROWS", 300)
     first, second = ([g for chunk in quality._chunks([b"", PROSE.encode() * 9, b"a"], 5) for g in chunk[0]]
                      for quality.CHUNK_BYTES in (1 << 20, 100))
     assert first == second and len(first) == 9 * len(PROSE) + 1
-    parts = quality.score(docs.distinct(), scores, counts.rows)
-    bits = lambda df: {(r.doc_id, r.n_bytes): round(r.bits, 6) for r in df.collect()}
-    assert bits(parts) == bits(whole)
+    parts = quality.score(docs, scores, counts.rows, Scratch(spark))
+    bits = lambda df: sorted((r.doc_id, r.n_bytes, round(r.bits, 6)) for r in df.collect())
+    assert bits(parts) == bits(whole) and len(bits(parts)) == docs.count()
 
 
 def test_quality(spark):
@@ -301,3 +312,30 @@ def test_chat(spark):
     assert all(n <= chat_format.BUDGET - chat_format.HISTORY or turns == 1 for n, turns, _ in sizes)
     assert sum("<|seen|>" in text for *_, text in sizes) == len(sizes) - 1
     assert chat_format.format_conversations(df.limit(0)).collect() == []
+
+
+def test_similar_stage_keeps_unlike_texts_of_one_id(spark):
+    from creditmart.llm import stages
+    w, v = PROSE, "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, w), (1, v), (2, w), (3, v + " thirteen"), (3, v + " thirteen"), (None, w), (4, ""), (4, None), (4, ""),
+            (None, "a b c d e f g h"), (5, "x y z u v w"), (5, "x y z u v w")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "more") for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _group string")
+    kept = stages.similar_filter(spark, docs, "")
+    assert kept.columns == stages.COLUMNS
+    got = sorted((r.doc_id or 99, r.text or "") for r in kept.collect())
+    linked = [(3, v + " thirteen")] if len(v.split()) < 8 else []
+    assert got == sorted([(1, w), (1, v), (4, ""), (4, ""), (4, ""), (99, "a b c d e f g h"),
+                          (5, "x y z u v w")] + linked)
+    assert stages.similar_filter(spark, docs.limit(0), "").collect() == []
+
+
+def test_line_stage_drops_what_only_holds_white_space(spark):
+    from creditmart.llm import stages
+    line = "all rights of this page are reserved"
+    rows = [(i, f"\t{i}\n{line}\n" if i < 2 else f"\t\n{line}\n ") for i in range(5)] + [(9, None), (9, ""), (10, " \t")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id, r.text or "") for r in stages.line_filter(spark, docs, "").collect())
+    assert [i for i, _ in got] == [0, 1, 9, 9, 10] and line in got[0][1] and line not in got[1][1]
+    assert stages.line_filter(spark, docs.limit(0), "").collect() == []
