@@ -68,7 +68,7 @@ FROM p JOIN c USING (hex) WINDOW g AS (PARTITION BY hex)
 """
 
 LINE_DEDUP = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines,
          string_split(regexp_replace(coalesce(text, ''),
            '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), chr(10)) AS masked
@@ -84,12 +84,19 @@ f AS (
   WHERE leaf IN (SELECT leaf FROM l GROUP BY leaf HAVING count(DISTINCT doc_id) >= 3)
   GROUP BY leaf, form),
 s AS (
-  SELECT leaf, form, first_value(form) OVER (PARTITION BY leaf ORDER BY n DESC, form) AS seed
-  FROM f),
+  SELECT leaf, form, n, 1 AS step, 3 AS depth,
+         first_value(form) OVER (PARTITION BY leaf ORDER BY n DESC, form) AS seed
+  FROM f
+  UNION ALL
+  SELECT leaf, form, n, step, depth,
+         first_value(form) OVER (PARTITION BY leaf, form[1:depth] ORDER BY n DESC, form)
+  FROM (SELECT leaf, form, n, step + 1 AS step,
+               CASE WHEN step < 4 THEN depth ELSE depth + 1 + depth // 8 END AS depth
+        FROM s
+        WHERE len(list_filter(range(1, len(form) + 1), lambda i: form[i] = seed[i])) < 0.7 * len(form))),
 m AS (
-  SELECT leaf, form, CASE WHEN len(list_filter(range(1, len(form) + 1),
-                                   lambda i: form[i] = seed[i])) >= 0.7 * len(form)
-                          THEN seed ELSE form END AS template FROM s),
+  SELECT leaf, form, seed AS template FROM s
+  WHERE len(list_filter(range(1, len(form) + 1), lambda i: form[i] = seed[i])) >= 0.7 * len(form)),
 r AS (
   SELECT l.doc_id, l.pos, leaf, template FROM l JOIN m USING (leaf, form)),
 c AS (

@@ -60,7 +60,7 @@ def repeats(texts, length=200):
     return out
 
 
-def clean_lines(docs, min_docs=3, depth=3, agree=0.7):
+def clean_lines(docs, min_docs=3, depth=3, agree=0.7, listed=4):
     """Texts by id without lines whose template recurs; ``docs`` maps id to text."""
     lines, leaf_docs, forms = [], defaultdict(set), defaultdict(Counter)
     for i, text in sorted(docs.items()):
@@ -71,12 +71,23 @@ def clean_lines(docs, min_docs=3, depth=3, agree=0.7):
                 lines.append((i, pos, leaf, form))
                 leaf_docs[leaf].add(i)
                 forms[leaf][form] += 1
-    template, holders, first = {}, defaultdict(set), {}
+    template, holders, first, seeds = {}, defaultdict(set), {}, {}
+    for leaf, found in forms.items():
+        nodes, at, step = [sorted(found, key=lambda f: (-found[f], f))], depth, 1
+        while nodes:
+            left = defaultdict(list)
+            if step >= listed:
+                at += 1 + at // 8
+            for node in nodes:
+                for form in node:
+                    if sum(a == b for a, b in zip(form, node[0])) >= agree * len(form):
+                        seeds[leaf, form] = node[0]
+                    else:
+                        left[form[:at]].append(form)
+            nodes, step = list(left.values()), step + 1
     for i, pos, leaf, form in lines:
         if len(leaf_docs[leaf]) >= min_docs:
-            seed = min(forms[leaf], key=lambda f: (-forms[leaf][f], f))
-            same = sum(a == b for a, b in zip(form, seed))
-            template[i, pos] = (leaf, seed if same >= agree * len(form) else form)
+            template[i, pos] = (leaf, seeds[leaf, form])
             holders[template[i, pos]].add(i)
             first.setdefault(template[i, pos], (i, pos))
     return {i: "\n".join(line for pos, line in enumerate((text or "").split("\n"))

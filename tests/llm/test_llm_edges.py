@@ -149,6 +149,27 @@ def test_lines(spark):
     assert len(line_dedup(frame(spark)).collect()) == len(MESSY)
 
 
+FAMILIES = ["Share this article with your friends on Facebook", "Share this article written by P{} Doe today",
+            "Share this article if you like Q{} much", "Share this article because K{} told me so", "Share",
+            "Share this article when all of V{} sleeps", "Share this article since no one else W{}",
+            "Share this article before A{} takes it down", "Share this article or B{} will be sad"]
+
+
+def test_lines_of_a_leaf_with_many_templates(spark, monkeypatch):
+    from creditmart.llm import line_dedup as module
+    name = lambda i: "".join(chr(97 + int(d)) for d in str(i))  # noqa: E731  a digit is a field of itself
+    docs = {i * 10 + k: f"own {name(i * 10 + k)} text\n" + line.format(name(i)) for k, line in enumerate(FAMILIES)
+            for i in range(7 + (k == 0))}
+    docs[1000] = "Share this article with nobody at all please"      # like no other
+    frame_ = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    for size in (module.BROADCAST_BYTES, 0):                    # broadcast, then shuffled
+        monkeypatch.setattr(module, "BROADCAST_BYTES", size)
+        rows = line_dedup(frame_).collect()
+        assert {r.doc_id: r.text for r in rows} == brute.clean_lines(docs)
+        dropped = {k: sum(r.n_dropped for r in rows if r.doc_id % 10 == k and r.doc_id < 1000) for k in range(len(FAMILIES))}
+        assert all(n >= 6 for n in dropped.values()) and docs[1000] in [r.text for r in rows]
+
+
 def test_bpe_and_decode(spark):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("byte_bpe_50k.json")
