@@ -57,7 +57,8 @@ def test_scans_are_pruned_and_filtered(spark):
 def test_dated_questions_read_their_periods_only(spark, build, column):
     dw = entry_module.warehouse(spark, str(SF))
     df = build(dw)
-    assert re.search(rf"dynamicpruningexpression\({column}#\d+ IN dynamicpruning", plan(df))
+    # Spark cuts the filters of a scan off after 100 characters.
+    assert re.search(rf"dynamicpruningexpression\({column}#\d+ IN ", plan(df))
     pruned = sorted(map(str, df.collect()))
     spark.conf.set("spark.sql.optimizer.dynamicPartitionPruning.enabled", "false")
     try:
