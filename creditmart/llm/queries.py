@@ -41,9 +41,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back as a capture."""
-    folder = f"{Scratch(spark).path}/archives"
+    scratch = Scratch(spark)
+    folder = f"{scratch.path}/archives"
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
-    return warc.page_table(warc.assemble(warc.read_records(spark, folder, with_payload=False)))
+    records = scratch.save(warc.read_records(spark, folder, with_payload=False), "records").df
+    return warc.page_table(scratch.save(warc.assemble(records), "captures").df)
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,15 +12,18 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from creditmart.llm.tables import Scratch, ready_workers, text_of, with_size
+from creditmart.operators.lookup import DEFAULT_LIMITS, JoinLimits, attach, key_counts
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRLF, BLANK = "\r\n", "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"    # fixed value
 CAPTURES_PER_FILE = 2000
+FILE_BYTES = 64 << 20           # most that the captures of an archive take together, unless it is one
+COPIES = 1000                   # repeated rows that a task numbers at a time
 RECORD_SCHEMA = ("record_id string, kind string, target_uri string, concurrent_to string, "
                  "refers_to string, stated_digest string, fields map<string,string>, "
                  "payload_bytes long, payload_digest string, payload binary")
@@ -60,7 +63,8 @@ def write_archives(pages: DataFrame, path: str, date: str = "2025-01-01T00:00:00
     A null html is an empty payload; empty payloads are equal too. A null url has no target header;
     line breaks in a url are written as ``%0D`` and ``%0A``. Rows with a null page_id revisit a
     numbered one, or are all responses where no equal payload has a number. Rows alike in all three
-    columns have the same record ids: they are one capture when read. Other columns are ignored.
+    columns are captures of their own, told apart by a number in their ids. Other columns are ignored.
+    Archives are bounded by captures and bytes; a capture beyond the bytes has one to itself.
     """
     url = F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     rows = pages.select(F.col("page_id").cast("string").alias("page"), "page_id", url.alias("url"),
@@ -69,9 +73,17 @@ def write_archives(pages: DataFrame, path: str, date: str = "2025-01-01T00:00:00
     rows = rows.withColumn("uid", _uuid(F.coalesce("page", F.lit("")),
                                         F.coalesce("url", F.lit("\x00")), F.col("digest")))
     latest = F.max(F.struct("page_id", "uid", "url"))
-    groups = (rows.groupBy("digest").agg(latest.alias("first"), F.count(F.lit(1)).alias("n"))
+    weight = F.octet_length("html") + 4 * F.coalesce(F.octet_length("url"), F.lit(0)) + 4096
+    scratch, seen = Scratch(pages.sparkSession), Observation()
+    groups = (rows.observe(seen, F.max(weight).alias("largest")).groupBy("digest")
+              .agg(latest.alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("digest", "first"))
-    groups = with_size(Scratch(pages.sparkSession).save(groups, "groups"), row_bytes=400)
+    saved = scratch.save(groups, "groups")
+    groups, largest = with_size(saved, row_bytes=400), seen.get["largest"] or 0
+    repeated = scratch.save(rows.join(groups, "digest", "left_semi").groupBy("uid")
+                            .agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"), "repeated")
+    if repeated.rows:
+        rows = _number_copies(rows.join(with_size(repeated, row_bytes=150), "uid", "left"))
     rows = rows.join(groups, "digest", "left")
     revisits = F.coalesce(F.col("first.page_id").isNotNull()
                           & ~F.col("page_id").eqNullSafe(F.col("first.page_id")), F.lit(False))
@@ -95,10 +107,34 @@ def write_archives(pages: DataFrame, path: str, date: str = "2025-01-01T00:00:00
                        F.coalesce(F.concat(F.lit("page-id: "), F.col("page"), F.lit(CRLF)),
                                   F.lit("")), date, tied,
                        _header("Content-Type", F.lit("application/warc-fields")))
-    # The writer ends a row with the blank line that ends a record.
-    (rows.select(F.concat_ws(BLANK, request, F.when(revisits, revisit).otherwise(response),
-                             metadata).alias("value"))
-     .write.option("lineSep", BLANK).option("maxRecordsPerFile", CAPTURES_PER_FILE).text(path))
+    capture = F.concat_ws(BLANK, request, F.when(revisits, revisit).otherwise(response), metadata)
+
+    def write(part: DataFrame, captures: int) -> None:
+        # The writer ends a row with the blank line that ends a record.
+        (part.select(capture.alias("value")).write.mode("append").option("lineSep", BLANK)
+         .option("maxRecordsPerFile", captures).text(path))
+
+    large = weight > FILE_BYTES // CAPTURES_PER_FILE
+    many = largest > FILE_BYTES // CAPTURES_PER_FILE
+    write(rows.where(~large) if many else rows, CAPTURES_PER_FILE)
+    if many:
+        write(rows.where(large), max(1, FILE_BYTES // largest))
+
+
+def _number_copies(rows: DataFrame) -> DataFrame:
+    """The rows with a ``uid`` of their own each; ``copies`` counts those that share one, if any do.
+
+    The first keeps it. One row of a kind is moved for each block of numbers, so that no task writes
+    all copies of a row.
+    """
+    kinds = rows.where("copies is not null").dropDuplicates(["uid"])
+    number = F.explode(F.expr("sequence(_from, least(_from + %d, copies))" % (COPIES - 1)))
+    copies = (kinds.withColumn("_from", F.explode(F.expr(f"sequence(1L, copies, {COPIES}L)")))
+              .repartition("uid", "_from").withColumn("_number", number)
+              .withColumn("uid", F.when(F.col("_number") == 1, F.col("uid"))
+                          .otherwise(_uuid(F.col("uid"), F.col("_number").cast("string")))))
+    alone = rows.where("copies is null")
+    return alone.unionByName(copies.select(*alone.columns))
 
 
 def _fields(lines: bytes) -> dict[str, str]:
@@ -185,17 +221,28 @@ def assemble(records: DataFrame) -> DataFrame:
             .select("response", "request", F.coalesce("metadata", F.array()).alias("metadata")))
 
 
-def page_table(captures: DataFrame) -> DataFrame:
+def page_table(captures: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
     """Per page of archives that ``write_archives`` wrote: its full payload's size and digest.
 
-    A revisit's payload is that of the record it refers to.
+    A revisit's payload is that of the record it refers to; unknown, and null, where there is none.
+    Responses need no other record and are not moved: only revisits meet the responses that they name.
+    Reads ``captures`` four times, so hand in a stored table.
     """
     page = F.get_json_object(F.col("metadata")[0]["fields"], "$.page-id").cast("long")
     rows = captures.select(page.alias("page_id"), "response.*").drop("payload")
-    known = rows.where("kind = 'response'").select(
-        F.col("record_id").alias("_id"), F.col("page_id").alias("_page"),
-        F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest"))
-    return rows.join(known, F.col("refers_to") == F.col("_id"), "left").select(
+    refers = (F.col("kind") == "revisit") & F.col("refers_to").isNotNull()
+    revisits = rows.where(refers)
+    names = revisits.select(F.col("refers_to").alias("record_id")).distinct()
+    named = Scratch(captures.sparkSession).save(
+        rows.where("kind = 'response'").join(names, "record_id", "left_semi").select(
+            F.col("record_id").alias("refers_to"), F.col("page_id").alias("_page"),
+            F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest")), "named")
+    found = attach(revisits, named.df, ["refers_to"], right_bytes=named.rows * 300,
+                   counts=key_counts(revisits, ["refers_to"]), salt_by=["record_id"], limits=limits)
+    alone = rows.where(~refers).withColumns({"_page": F.lit(None).cast("long"),
+                                             "_bytes": F.lit(None).cast("long"),
+                                             "_digest": F.lit(None).cast("string")})
+    return alone.unionByName(found).select(
         "page_id", F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"),
         F.coalesce("payload_digest", "_digest").alias("payload_digest"),
         F.col("kind").alias("record_type"), F.col("_page").alias("refers_to"))

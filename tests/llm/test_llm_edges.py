@@ -14,6 +14,7 @@ from creditmart.llm.exact_dedup import exact_dedup
 from creditmart.llm.jaccard_join import jaccard_components
 from creditmart.llm.line_dedup import line_dedup
 from creditmart.llm.tables import Scratch
+from creditmart.operators.lookup import JoinLimits
 from test_llm_queries import check_pieces
 
 CLASHES = ["_hash", "_id", "_h", "_row", "_text", "_doc", "_lines", "_drop", "_key", "kept", "n", "cls",
@@ -281,7 +282,7 @@ def test_quality(spark):
     assert len(rows) == len(MESSY) and all(r.kept for r in rows if not r.perplexity)
 
 
-def test_warc(spark):
+def test_warc(spark, monkeypatch):
     pages = [(1, "http://a/", "same"), (2, "http://b/", "same"), (3, None, None), (4, "http://c/\r\nX: y", ""),
              (5, "http://d/", "WARC/1.1\r\n\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\n"),
              (5, "http://d/", "WARC/1.1\r\n\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\n"),
@@ -292,20 +293,30 @@ def test_warc(spark):
     folder = f"{Scratch(spark).path}/archives"
     warc.write_archives(df, folder)
     captures = warc.assemble(warc.read_records(spark, folder)).collect()
-    assert len(captures) == 9
+    assert len(captures) == len(pages) == len({c.response.record_id for c in captures})
     by_url = {c.response.target_uri: c for c in captures}
     assert bytes(by_url["http://e/"].response.payload) == ("é\r\n\r\n" * 9).encode()
     assert by_url["http://a/"].response.kind == by_url["http://h/"].response.kind == "revisit"
     assert by_url["http://a/"].response.refers_to == by_url["http://b/"].response.record_id
     assert by_url["http://c/%0D%0AX: y"].response.payload_bytes == 0 and None in by_url
     assert all(c.request and len(c.metadata) == 1 for c in captures)
-    table = {r.page_id: r for r in warc.page_table(warc.assemble(
-        warc.read_records(spark, folder, with_payload=False))).where("page_id is not null").collect()}
+    records = Scratch(spark).save(warc.read_records(spark, folder, with_payload=False), "records").df
+    read = warc.page_table(warc.assemble(records)).collect()
+    shuffled = warc.page_table(warc.assemble(records), JoinLimits(broadcast_bytes=-1, rows_per_piece=1))
+    assert sorted(map(str, read)) == sorted(map(str, shuffled.collect())) and len(read) == len(pages)
+    table = {r.page_id: r for r in read if r.page_id is not None}
     assert table[3].record_type == "revisit" and table[3].refers_to == 4 and table[3].payload_bytes == 0
     assert table[1].payload_digest == table[2].payload_digest and table[1].payload_bytes == 4
     assert table[7].payload_bytes == 200_000
     with pytest.raises(ValueError, match="cut short"):
         list(warc.parse(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"))
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "COPIES", 3)
+    repeated = spark.createDataFrame([(1, "u", "z")] * 10 + [(2, "u", "z"), (3, None, "w" * 30_000)], df.columns[:3])
+    warc.write_archives(repeated, many := f"{Scratch(spark).path}/many")
+    records = Scratch(spark).save(warc.read_records(spark, many), "records").df
+    rows = warc.page_table(warc.assemble(records)).groupBy("page_id", "record_type", "refers_to").count().collect()
+    assert sorted(map(tuple, rows), key=str) == [(1, "revisit", 2, 10), (2, "response", None, 1), (3, "response", None, 1)]
     empty = f"{Scratch(spark).path}/none"
     warc.write_archives(df.limit(0), empty)
     assert warc.assemble(warc.read_records(spark, empty)).count() == 0
