@@ -22,6 +22,7 @@ from creditmart.llm.sql import SQL
 from creditmart.llm.suffix_dedup import remove_repeats
 from creditmart.llm.tables import Scratch, table, text_of
 from creditmart.llm.topk_search import top_k
+from creditmart.sources.tables import delete_folder
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str,
@@ -45,6 +46,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{scratch.path}/archives"
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
     records = scratch.save(warc.read_records(spark, folder, with_payload=False), "records").df
+    delete_folder(spark, folder)                    # all that is asked of the archives is stored
     return warc.page_table(scratch.save(warc.assemble(records), "captures").df)
 
 
