@@ -33,7 +33,7 @@ SHARD_TOKENS = 16 << 20             # tokens of a shard, one task's work
 QUERY_TERMS = 16                    # terms of a seed that are looked up
 K1, B = 1.2, 0.75                   # the usual BM25 constants
 TERMS = 1 << 16                     # ids are stored in 16 bits
-REMEMBERED, LONGEST_REMEMBERED = 250_000, 40    # words and pieces of a worker, twice; only time depends on it
+REMEMBERED, LONGEST_REMEMBERED = 100_000, 40    # words and pieces of a worker, twice; only time depends on it
 
 # Words of Latin letters, digits and ASCII signs, and their pieces under the published pattern.
 LETTERS = "a-z\xc0-\xd6\xd8-\xf6\xf8-įı-ʯ"
@@ -107,7 +107,7 @@ def words(path: str) -> Words:
     return Words(path)
 
 
-keeps("packing", words.cache_clear)
+keeps("packing", words.cache_clear)       # also for the tasks of the index, which need no vocabulary
 
 
 def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -152,7 +152,7 @@ def document_frequencies(stored: Stored) -> tuple[np.ndarray, int]:
         terms = np.flatnonzero(found)
         yield pa.record_batch([np.r_[terms, -1], np.r_[found[terms], tokens]], ["term", "n"])
 
-    rows = (stored.df.select("ids").mapInArrow(frugal("packing", count), "term long, n long")
+    rows = (stored.df.select("ids").mapInArrow(frugal("packing index", count), "term long, n long")
             .groupBy("term").agg(F.sum("n").alias("n")).collect())      # a row per vocabulary id
     found = np.zeros(TERMS + 1, np.int64)
     found[[r.term for r in rows]] = [r.n for r in rows]
@@ -293,10 +293,10 @@ def pack(stored: Stored, window: int = WINDOW) -> DataFrame:
             yield out.batch(kind)
 
     shards = max(1, -(-tokens // SHARD_TOKENS))
-    dealt = (stored.df.mapInArrow(frugal("packing", deal), f"doc_id {id_type}, ids binary, term int")
+    dealt = (stored.df.mapInArrow(frugal("packing index", deal), f"doc_id {id_type}, ids binary, term int")
              .repartitionByRange(shards, "term", "doc_id").sortWithinPartitions("term", "doc_id"))
     return dealt.select("doc_id", "ids").mapInArrow(
-        frugal("packing", fill), f"doc_id {id_type}, " + ", ".join(f"{f} long" for f in Sequences.FIELDS[1:]))
+        frugal("packing index", fill), f"doc_id {id_type}, " + ", ".join(f"{f} long" for f in Sequences.FIELDS[1:]))
 
 
 def pack_documents(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
