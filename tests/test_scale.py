@@ -1,7 +1,12 @@
 """What keeps work and memory in proportion to the rows."""
 
+from pathlib import Path
+
 import __spark_entry__ as registry
 from conftest import TESTDATA
+from creditmart.llm import packing, tables
+from creditmart.sources.csv_source import extract, land
+from creditmart.sources.tables import Scratch
 
 
 def test_extreme_domain_works_out_each_verdict_once(spark):
@@ -9,3 +14,32 @@ def test_extreme_domain_works_out_each_verdict_once(spark):
     plan = registry.queries()["dq4_extreme"](spark, str(TESTDATA / "sf0.001"))._jdf.queryExecution().optimizedPlan()
     filters = [line for line in plan.toString().splitlines() if "Filter " in line]
     assert filters and all(len(line) < 200 for line in filters)
+
+
+def test_sources_and_landed_rows_are_written_compressed(spark, tmp_path):
+    paths = registry.write_sources(spark, str(TESTDATA / "sf0.001"))
+    scratch = Scratch(spark)
+    for name, df in extract(spark, paths).items():
+        files = [f for f in Path(paths[name]).iterdir() if f.name.startswith("part-")]
+        assert files and all(f.suffix == ".gz" for f in files)
+        stored = land(df, str(tmp_path / name), scratch)
+        assert all(".zstd." in f.name for f in (tmp_path / name).iterdir() if f.name.startswith("part-"))
+        ids = [r[0] for r in stored.df.select("_raw_id").collect()]
+        assert sorted(ids) == list(range(1, stored.rows + 1))
+
+
+def test_packing_drops_the_vocabulary_before_the_index(spark, monkeypatch):
+    """A worker that fills windows has no use for the words it knew when it made tokens."""
+    named = []
+    monkeypatch.setattr(packing, "frugal", lambda name, work: named.append(name) or tables.frugal(name, work))
+    docs = spark.createDataFrame([(1, "one two three"), (2, "two three"), (3, None)], "doc_id long, text string")
+    import public_tokenizers
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.pack_documents(docs, path).count() == 3
+    packing.words(path)
+    list(tables.frugal(named[0], iter)(iter(())))
+    assert packing.words.cache_info().currsize == 1
+    for index in named[1:]:
+        packing.words(path)
+        list(tables.frugal(index, iter)(iter(())))
+        assert packing.words.cache_info().currsize == 0
