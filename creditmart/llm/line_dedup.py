@@ -3,9 +3,10 @@
 A line descends by its number of tokens and its leading tokens to a leaf, with every token that
 holds a digit taken as a variable field. A leaf has a list of templates. The commonest form is the
 first; forms that agree with it in most positions belong to it and differ in its variable fields. Of
-the rest the commonest is the next, and so on; what none of a leaf's templates takes descends by
-further tokens, where the same is done, until a form is alone. A template that recurs in several
-documents is boilerplate: its first line stays and all others are dropped.
+the rest the commonest is the next, and so on, until every form of the leaf belongs to the first
+template that it agrees with. Lists have no limit: they are drawn up by batches of the commonest forms
+left, of bounded size, and all other forms of a leaf meet each batch as rows of their own. A template
+that recurs in several documents is boilerplate: its first line stays and all others are dropped.
 
 Only keys and hashes of lines are grouped and joined. Texts of forms are fetched only for leaves
 that recur in documents and hold several forms.
@@ -13,13 +14,15 @@ that recur in documents and hold several forms.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditmart.llm.tables import BROADCAST_BYTES, Scratch, text_of, with_size
 
 DEPTH = 3               # leading tokens on the way to a leaf
-LISTED = 4              # templates of a leaf, before the rest descends
+BATCH, MOST = 32, 512   # forms of a leaf that its list is drawn up from at a time: at first, and later on
+BATCH_TOKENS = 1 << 16  # and their tokens
+TOKEN_TIMES = 4         # memory of a text as an array of tokens
 MIN_DOCS = 3            # documents in which a recurring template is found
 MIN_TOKENS = 1          # blank lines are left alone
 AGREE = 0.7             # share of positions in which a form agrees with its template
@@ -44,43 +47,45 @@ def _keyed(lines: DataFrame, depth: int, min_tokens: int) -> DataFrame:
         F.xxhash64("tokens").alias("form"))
 
 
-def _agree(tokens: Column, seed: Column) -> Column:
-    """Positions in which two forms of one leaf have the same token."""
-    return F.size(F.filter(F.zip_with(tokens, seed, lambda a, b: a == b), lambda same: same))
+def _agrees(tokens: Column, seed: Column, agree: float) -> Column:
+    """Whether two forms of one leaf have the same token in enough positions."""
+    same = F.size(F.filter(F.zip_with(tokens, seed, lambda a, b: a == b), lambda same: same))
+    return same >= agree * F.size(tokens)
 
 
-def _deeper(depth: int) -> int:
-    """The tokens of the next descent; long lines take larger steps, so that few are needed."""
-    return depth + 1 + depth // 8
+def _seeds(left: DataFrame, batch: int, agree: float) -> DataFrame:
+    """``leaf, seeds``: the templates among the ``batch`` commonest forms left of each leaf, in order."""
+    rank = F.row_number().over(Window.partitionBy("leaf").orderBy(F.col("n").desc(), "tokens", "form"))
+    few = F.greatest(F.lit(1), F.floor(F.lit(BATCH_TOKENS) / F.greatest(F.size("tokens"), F.lit(1))))
+    tops = left.withColumn("rank", rank).where(F.col("rank") <= batch).where(F.col("rank") <= few)
+    forms = tops.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("rank", "tokens", "form"))).alias("forms"))
+    listed = F.reduce("forms", F.slice("forms", 1, 1), lambda seeds, x: F.when(
+        F.exists(seeds, lambda s: _agrees(x["tokens"], s["tokens"], agree)), seeds).otherwise(
+        F.concat(seeds, F.array(x))))
+    return forms.select("leaf", listed.alias("seeds")).withColumn(
+        "_text", F.array_join(F.flatten(F.col("seeds.tokens")), " "))      # to tell its size
 
 
-def _templates(texts: DataFrame, depth: int, agree: float, scratch: Scratch) -> DataFrame:
+def _templates(texts: DataFrame, agree: float, scratch: Scratch) -> DataFrame:
     """``leaf, form, template`` of forms that share a leaf; ``texts`` has leaf, form, tokens, n.
 
-    Every step compares a form with one other, the commonest left in its node. Forms that are alone
-    there have no row. Two forms with the same ``agree`` of their tokens in front agree, so a node
-    that deep leaves nothing over, and the steps end.
+    Every step settles the commonest forms left of a leaf and all that agree with a template among
+    them, so the steps end, and a form gets the first template that it agrees with.
     """
-    left, taken, step = texts, None, 1
+    left, taken, step, batch = texts, None, 1, BATCH
     while True:
-        placed = left.withColumn("node", F.xxhash64("leaf", F.slice("tokens", 1, depth)))
-        seeds = scratch.save(placed.groupBy("node").agg(
-            F.min(F.struct((-F.col("n")).alias("n"), "tokens", "form")).alias("seed"),
-            F.count(F.lit(1)).alias("_forms")).where("_forms > 1").select(
-            "node", F.array_join("seed.tokens", " ").alias("_line"), F.col("seed.form").alias("template")),
-            f"seeds{step}", key="_line")
+        seeds = scratch.save(_seeds(left, batch, agree), f"seeds{step}", key="_text")
         if not seeds.rows:
             break
-        known = F.broadcast(seeds.df) if seeds.lookup_bytes <= BROADCAST_BYTES else seeds.df
-        joins = _agree(F.col("tokens"), F.split("_line", " ")) >= agree * F.size("tokens")
-        judged = scratch.save(placed.join(known, "node").select(
-            "leaf", "form", "tokens", "n", "template", joins.alias("joins")), f"judged{step}").df
-        part = judged.where("joins").select("leaf", "form", "template")
+        known = seeds.df.drop("_text")
+        known = F.broadcast(known) if TOKEN_TIMES * seeds.lookup_bytes <= BROADCAST_BYTES else known
+        first = F.filter("seeds", lambda s: _agrees(F.col("tokens"), s["tokens"], agree))
+        judged = scratch.save(left.join(known, "leaf").select(
+            "leaf", "form", "tokens", "n", F.get(first, F.lit(0))["form"].alias("template")), f"judged{step}").df
+        part = judged.where("template is not null").select("leaf", "form", "template")
         taken = part if taken is None else taken.unionByName(part)
-        left = judged.where("not joins").select("leaf", "form", "tokens", "n")
-        if step >= LISTED:
-            depth = _deeper(depth)
-        step += 1
+        left = judged.where("template is null").select("leaf", "form", "tokens", "n")
+        step, batch = step + 1, min(2 * batch, MOST)
     return texts.select("leaf", "form", F.col("form").alias("template")).limit(0) if taken is None else taken
 
 
@@ -110,7 +115,7 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOC
     texts = (_keyed(_lines(held), depth, min_tokens).join(with_size(wanted), where)
              .groupBy(*where).agg(F.first("tokens").alias("tokens"), F.first("n").alias("n")))
     texts = scratch.save(texts, "texts").df
-    templates = scratch.save(_templates(texts, depth, agree, scratch), "templates")
+    templates = scratch.save(_templates(texts, agree, scratch), "templates")
     lines = lines.join(with_size(templates), where, "left").withColumn(
         "template", F.coalesce("template", "form"))
     common = scratch.save(in_docs(lines, "leaf", "template").where(F.col("docs") >= min_docs)

@@ -60,7 +60,7 @@ def repeats(texts, length=200):
     return out
 
 
-def clean_lines(docs, min_docs=3, depth=3, agree=0.7, listed=4):
+def clean_lines(docs, min_docs=3, depth=3, agree=0.7):
     """Texts by id without lines whose template recurs; ``docs`` maps id to text."""
     lines, leaf_docs, forms = [], defaultdict(set), defaultdict(Counter)
     for i, text in sorted(docs.items()):
@@ -73,18 +73,15 @@ def clean_lines(docs, min_docs=3, depth=3, agree=0.7, listed=4):
                 forms[leaf][form] += 1
     template, holders, first, seeds = {}, defaultdict(set), {}, {}
     for leaf, found in forms.items():
-        nodes, at, step = [sorted(found, key=lambda f: (-found[f], f))], depth, 1
-        while nodes:
-            left = defaultdict(list)
-            if step >= listed:
-                at += 1 + at // 8
-            for node in nodes:
-                for form in node:
-                    if sum(a == b for a, b in zip(form, node[0])) >= agree * len(form):
-                        seeds[leaf, form] = node[0]
-                    else:
-                        left[form[:at]].append(form)
-            nodes, step = list(left.values()), step + 1
+        left = sorted(found, key=lambda f: (-found[f], f))
+        while left:
+            seed, rest = left[0], []
+            for form in left:
+                if sum(a == b for a, b in zip(form, seed)) >= agree * len(form):
+                    seeds[leaf, form] = seed
+                else:
+                    rest.append(form)
+            left = rest
     for i, pos, leaf, form in lines:
         if len(leaf_docs[leaf]) >= min_docs:
             template[i, pos] = (leaf, seeds[leaf, form])

@@ -171,6 +171,22 @@ def test_lines_of_a_leaf_with_many_templates(spark, monkeypatch):
         assert all(n >= 6 for n in dropped.values()) and docs[1000] in [r.text for r in rows]
 
 
+def test_lines_meet_every_template_of_a_leaf(spark, monkeypatch):
+    """Forms that come after many templates and part early still belong together, where most positions agree."""
+    from creditmart.llm import line_dedup as module
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i))  # noqa: E731  a digit is a field of itself
+    common = [" ".join(["We all know", *[f"{word(k)}{p}" for p in "uvwxyzt"]]) for k in range(10, 22)]
+    late = ["We all know {} is on sale here today".format(w) for w in ("bread", "cheese", "butter")]
+    docs = {100 * k + i: f"own {word(100 * k + i)} text\n{line}" for k, line in enumerate(common) for i in range(3)}
+    docs |= {5000 + i: f"own {word(5000 + i)} text\n{line}" for i, line in enumerate(late)}
+    for batch in (module.BATCH, 2):
+        monkeypatch.setattr(module, "BATCH", batch)
+        monkeypatch.setattr(module, "MOST", batch)
+        rows = line_dedup(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()
+        assert {r.doc_id: r.text for r in rows} == brute.clean_lines(docs)
+        assert {r.doc_id for r in rows if r.n_dropped and r.doc_id >= 5000} == {5001, 5002}
+
+
 def test_bpe_and_decode(spark):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("byte_bpe_50k.json")
