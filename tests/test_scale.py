@@ -43,3 +43,25 @@ def test_packing_drops_the_vocabulary_before_the_index(spark, monkeypatch):
         packing.words(path)
         list(tables.frugal(index, iter)(iter(())))
         assert packing.words.cache_info().currsize == 0
+
+
+def test_packing_remembers_words_and_pieces_in_one_place():
+    import public_tokenizers
+    from creditmart.llm.packing import Words
+    words, text = Words(public_tokenizers.path("word_bpe_49k.json")), "Harbour harbour. harbour, 'll \"harbour's\" I'll -'s x1 1"
+    ids = words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert [list(memoryview(words.encode(text)).cast("H")) for _ in range(2)] == [ids, ids]
+    assert {"harbour", ".", "'s", "1"} <= words.keys() and not hasattr(words, "pieces")
+    for piece in list(words):
+        assert words[piece] == words._word(piece)
+
+
+def test_stored_tables_are_compressed(spark, tmp_path):
+    from creditmart.sources.tables import Scratch, TableStore
+    df = spark.range(10)
+    Scratch(spark, str(tmp_path / "scratch")).save(df, "numbers")
+    store = TableStore(spark, str(tmp_path / "store"))
+    store.write("dwh", "R1", "numbers", df)
+    store.append_run("dq", "errors", "R1", df)
+    files = [f.name for f in tmp_path.rglob("part-*.parquet") if "_historial" not in str(f)]
+    assert len(files) >= 3 and all(name.endswith(".zstd.parquet") for name in files)
