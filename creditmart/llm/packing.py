@@ -33,7 +33,7 @@ SHARD_TOKENS = 16 << 20             # tokens of a shard, one task's work
 QUERY_TERMS = 16                    # terms of a seed that are looked up
 K1, B = 1.2, 0.75                   # the usual BM25 constants
 TERMS = 1 << 16                     # ids are stored in 16 bits
-REMEMBERED, LONGEST_REMEMBERED = 100_000, 40    # words and pieces of a worker, twice; only time depends on it
+REMEMBERED, LONGEST_REMEMBERED = 200_000, 40    # words and pieces of a worker, twice; only time depends on it
 
 # Words of Latin letters, digits and ASCII signs, and their pieces under the published pattern.
 LETTERS = "a-z\xc0-\xd6\xd8-\xf6\xf8-įı-ʯ"
@@ -43,7 +43,10 @@ LATIN_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LET
 
 
 class Words(dict):
-    """Ids by word, as the tokenizers library gives them: words not met before are worked out."""
+    """Ids by word, as the tokenizers library gives them: words not met before are worked out.
+
+    A piece of a word has the ids that it has as a word, so both are remembered in one place.
+    """
 
     def __init__(self, path: str):
         super().__init__({"": b""})
@@ -58,44 +61,39 @@ class Words(dict):
         self.spelling = {b: c for c, b in byte_characters().items()}
         self.tokens = self.tokenizer.model.tokenize
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}           # what was known before it grew too large
-        self.older_pieces: dict[str, bytes] = {}
+
+    def _remember(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+                self[""] = b""
+            self[text] = ids
+        return ids
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.older_pieces.get(piece)
+        ids = self.older.get(piece)
         if ids is None:
             spelled = piece if piece.isascii() else \
                 piece.encode("utf-8").decode("latin-1").translate(self.spelling)
             ids = array("H", [t.id for t in self.tokens(spelled)]).tobytes()
-        if len(piece) <= LONGEST_REMEMBERED:
-            if len(self.pieces) >= REMEMBERED:
-                self.older_pieces, self.pieces = self.pieces, {}
-            self.pieces[piece] = ids
-        return ids
+        return self._remember(piece, ids)
 
     def _word(self, word: str) -> bytes:
         lower = word.lower()
         if simple := SIMPLE(lower):
             letters, rest = simple.groups()
-            ids = self.pieces.get(letters) or self._piece(letters)
-            return ids + (self.pieces.get(rest) or self._piece(rest)) if rest else ids
+            ids = self.get(letters) or self._piece(letters)
+            return ids + (self.get(rest) or self._piece(rest)) if rest else ids
         if LATIN(lower) and not ("<|" in word and any(s in word for s in self.special)):
-            known, piece = self.pieces.get, self._piece
+            known, piece = self.get, self._piece
             return b"".join([known(p) or piece(p) for p in LATIN_PIECES(lower)])
         return array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
-        if ids is None:
-            ids = self._word(word)
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-                self[""] = b""
-            self[word] = ids
-        return ids
+        return self._remember(word, self._word(word) if ids is None else ids)
 
     def encode(self, text: str) -> bytes:
         """Ids in 16 bits each. Spaces and line feeds separate pieces under any pattern."""
