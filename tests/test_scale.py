@@ -65,3 +65,9 @@ def test_stored_tables_are_compressed(spark, tmp_path):
     store.append_run("dq", "errors", "R1", df)
     files = [f.name for f in tmp_path.rglob("part-*.parquet") if "_historial" not in str(f)]
     assert len(files) >= 3 and all(name.endswith(".zstd.parquet") for name in files)
+
+
+def test_each_error_body_is_read_once(spark):
+    plan = registry.queries()["dq_error_payload"](spark, str(TESTDATA / "sf0.001"))._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    assert "get_json_object" not in text and text.count("from_json(") == 3      # one for each entity
