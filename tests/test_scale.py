@@ -1,10 +1,15 @@
 """What keeps work and memory in proportion to the rows."""
 
+import re
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as registry
 from conftest import TESTDATA
 from creditmart.llm import packing, tables
+from creditmart.model import CLIENTES
+from creditmart.operators import constraints
 from creditmart.sources.csv_source import extract, land
 from creditmart.sources.tables import Scratch
 
@@ -71,3 +76,23 @@ def test_each_error_body_is_read_once(spark):
     plan = registry.queries()["dq_error_payload"](spark, str(TESTDATA / "sf0.001"))._jdf.queryExecution().optimizedPlan()
     text = plan.toString()
     assert "get_json_object" not in text and text.count("from_json(") == 3      # one for each entity
+
+
+def test_whole_numbered_keys_meet_as_numbers(spark):
+    loans = spark.createDataFrame([(1, "a", 7), (1, "a", 8), (2, None, 9)], "fact_credito_sk long, credito_id string, "
+                                  "cliente_sk int").withColumns({c: F.lit(1) for c in (
+                                      "producto_sk", "canal_sk", "estado_credito_sk", "tiempo_solicitud_sk",
+                                      "tiempo_desembolso_sk", "tiempo_vencimiento_sk", "monto_aprobado",
+                                      "plazo_meses", "dias_mora", "_loaded_at")})
+    def customers(kind):
+        fields = {c: F.lit("x") for c in (*CLIENTES.columns, *CLIENTES.flags, "_loaded_at")}
+        return spark.createDataFrame([(7,), (8,)], "cliente_sk long").withColumns(
+            {**fields, "cliente_id": F.col("cliente_sk").cast("string"), "cliente_sk": F.col("cliente_sk").cast(kind)})
+
+    for kind in ("long", "string"):         # a reference to texts meets them as text
+        report = constraints.audit({"fact_credito": loans, "dim_cliente": customers(kind)})
+        assert re.search(r"hashpartitioning\(c#\d+, num#\d+L, key#\d+", report._jdf.queryExecution().executedPlan().toString())
+        assert {(r.tabla, r.restriccion): r.violaciones for r in report.collect() if r.violaciones} == {
+            ("fact_credito", "unique fact_credito_sk"): 1, ("fact_credito", "unique credito_id"): 1,
+            ("fact_credito", "unique not null credito_id"): 1, ("fact_credito", "not null credito_id"): 1,
+            ("fact_credito", "cliente_sk -> dim_cliente"): 1}
