@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from conftest import TESTDATA
+from creditmart.functions import parsing, text
 from creditmart.llm import packing, tables
 from creditmart.model import CLIENTES
 from creditmart.operators import constraints
+from creditmart.operators.lookup import JoinLimits
+from creditmart.plans.warehouse import Warehouse
+from creditmart.sources import fixtures
 from creditmart.sources.csv_source import extract, land
 from creditmart.sources.tables import Scratch
 
@@ -96,3 +100,33 @@ def test_whole_numbered_keys_meet_as_numbers(spark):
             ("fact_credito", "unique fact_credito_sk"): 1, ("fact_credito", "unique credito_id"): 1,
             ("fact_credito", "unique not null credito_id"): 1, ("fact_credito", "not null credito_id"): 1,
             ("fact_credito", "cliente_sk -> dim_cliente"): 1}
+
+
+def test_text_without_blanks_at_its_ends_is_not_trimmed(spark):
+    """Trimming goes through a text sign by sign; most texts have nothing to drop."""
+    texts = ["", " ", "a", " a", "a ", "a b", "a\n", "\na", "a\nb", "ab\r\n", "\x85", "a ", "\xa0a", "é", "é ", "\x1fa", "!", "~", "\x7f", "a\x00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    stripped = df.select("t", text.strip(F.col("t")).alias("s"), parsing.year_first(F.col("t")))
+    plan = stripped._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN RLIKE" in plan and "translate(" not in plan
+    assert [(r.t, r.s) for r in stripped.collect()] == [(t, t and t.strip(text.WHITESPACE)) for t in texts]
+
+
+def test_cleansing_with_shuffled_lookups_can_be_compiled(spark, monkeypatch):
+    """The largest stage, where loans are also dealt by hash, stays below the 8000 bytes that the JVM compiles."""
+    sizes, save = {}, Scratch.save
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+
+    def measured(self, df, name, key=None, **settings):
+        code = debug.codegenString(df._jdf.queryExecution().executedPlan())
+        sizes[name] = max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code)), default=0)
+        return save(self, df, name, key, **settings)
+
+    monkeypatch.setattr(Scratch, "save", measured)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        Warehouse(spark, fixtures.Landed(spark, str(TESTDATA / "sf0.001")), start=fixtures.START, end=fixtures.END,
+                  limits=JoinLimits(broadcast_bytes=-1)).build()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {"creditos", "pagos"} <= sizes.keys() and max(sizes.values()) < 8000, sizes
