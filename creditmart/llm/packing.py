@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,15 +38,19 @@ REMEMBERED, LONGEST_REMEMBERED = 200_000, 40    # words and pieces of a worker,
 
 # Words of Latin letters, digits and ASCII signs, and their pieces under the published pattern.
 LETTERS = "a-z\xc0-\xd6\xd8-\xf6\xf8-įı-ʯ"
-SIMPLE = re.compile(rf"([{LETTERS}]+)([.,:;!?]*)").fullmatch         # two pieces at most
+ENDING = ".,:;!?"
+SIMPLE = re.compile(rf"([{LETTERS}]+)([{ENDING}]*)").fullmatch       # two pieces at most
 LATIN = re.compile(rf"[\x21-\x7e{LETTERS}]*").fullmatch
+PLAIN = re.compile(rf"[ -~\n{LETTERS}]*").fullmatch                    # texts of such words alone
 LATIN_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+").findall
 
 
 class Words(dict):
     """Ids by word, as the tokenizers library gives them: words not met before are worked out.
 
-    A piece of a word has the ids that it has as a word, so both are remembered in one place.
+    A piece of a word has the ids that it has as a word, so both are remembered in one place. Of
+    texts with Latin words alone, each word is looked up once for all texts of a batch, and only
+    its pieces are remembered.
     """
 
     def __init__(self, path: str):
@@ -59,6 +64,7 @@ class Words(dict):
         if self.tokenizer.get_vocab_size() > TERMS:
             raise ValueError("ids must fit in 16 bits")
         self.spelling = {b: c for c, b in byte_characters().items()}
+        self.tokenizer.model._resize_cache(0)       # what it is asked for is remembered here
         self.tokens = self.tokenizer.model.tokenize
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.older: dict[str, bytes] = {}           # what was known before it grew too large
@@ -99,6 +105,34 @@ class Words(dict):
         """Ids in 16 bits each. Spaces and line feeds separate pieces under any pattern."""
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
+    def encode_all(self, texts: list[str], closing: bytes = b"") -> list[bytes]:
+        """Ids of each text, and ``closing``."""
+        lower = [t.lower() for t in texts]
+        plain = [i for i, t in enumerate(lower) if PLAIN(t) and "<|" not in t]
+        found = [b""] * len(texts)
+        for i in sorted(set(range(len(texts))).difference(plain)):
+            found[i] = self.encode(texts[i]) + closing
+        split = pc.ascii_split_whitespace(pa.array([lower[i] for i in plain], pa.large_string()))
+        coded = split.values.dictionary_encode()
+        known, piece, ids = self.get, self._piece, []
+        for word in coded.dictionary.to_numpy(zero_copy_only=False):
+            of_word = known(word)
+            if of_word is None:
+                letters = word.rstrip(ENDING)
+                if letters.isalpha():
+                    of_word = known(letters) or piece(letters)
+                    if rest := word[len(letters):]:
+                        of_word += known(rest) or piece(rest)
+                else:
+                    of_word = b"".join([known(p) or piece(p) for p in LATIN_PIECES(word)])
+            ids.append(of_word)
+        _, begins, data = pa.array(ids, pa.large_binary()).take(coded.indices).buffers()
+        begins = np.frombuffer(begins, np.int64) if begins else np.zeros(1, np.int64)
+        ends, data = begins[split.offsets.to_numpy()].tolist(), memoryview(data or b"")
+        for i, begin, end in zip(plain, ends, ends[1:]):
+            found[i] = bytes(data[begin:end]) + closing
+        return found
+
 
 @lru_cache(maxsize=2)
 def words(path: str) -> Words:
@@ -117,9 +151,9 @@ def tokenise(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     closing = np.array([end_id], "<u2").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = words(path).encode
+        encode = words(path).encode_all
         for batch in batches:
-            ids = pa.array([encode(t) + closing for t in batch.column(1).to_pylist()], pa.binary())
+            ids = pa.array(encode(batch.column(1).to_pylist(), closing), pa.binary())
             yield pa.record_batch([batch.column(0), ids], ["doc_id", "ids"])
 
     ready_workers(docs.sparkSession)

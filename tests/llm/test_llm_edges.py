@@ -219,6 +219,22 @@ def test_packing(spark):
     assert sum(r.start == 0 for r in everything.collect()) == len(MESSY)
 
 
+def test_packing_remembers_pieces_of_plain_texts():
+    """Words that differ in case or signs are worked out once; all texts get the library's ids."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    known, tokenizer = packing.Words(path), packing.Words(path).tokenizer
+    plain = ["The the THE, the.", "it's 'S x'll ''s\nÉtait--été (ÉTÉ)!? 12a3", "  a \n\n b_c~ ", ""]
+    mixed = ["the \u0130 \u03a3\u03a3 \u212a", "a\tb <|endoftext|>The <| x", "naïve 日本語's the\r\n", "<|ENDOFTEXT|>"]
+    ids = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in plain + mixed]
+    for _ in range(2):
+        assert known.encode_all(plain + mixed, b"x") == [i + b"x" for i in ids]
+    for few in ([], [""], ["", " \n"], mixed[:1], ["<|endoftext|>", ""], plain[:1] * 3):
+        assert known.encode_all(few) == [known.encode(t) for t in few]
+    known = packing.Words(path)
+    known.encode_all(plain[:1])
+    assert set(known) == {"", "the", ",", "."}
+
+
 def test_packing_brings_neighbours_together():
     topics = [np.arange(40, dtype="<u2") + 100 * k for k in range(5)]
     rng = np.random.default_rng(0)
