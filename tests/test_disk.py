@@ -6,12 +6,13 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import raw_frames
+from conftest import TESTDATA, raw_frames
 from creditmart.model import CLIENTES, ORDER, PAGOS
 from creditmart.operators import quality
 from creditmart.operators.lookup import JoinLimits, attach_marked, frequent_keys, hot_keys
 from creditmart.plans.warehouse import Warehouse
-from creditmart.sources import tables
+from creditmart.sources import fixtures, tables
+from creditmart.sources.csv_source import land, read_csv
 from creditmart.sources.tables import Scratch, write_counted
 
 SHUFFLED = JoinLimits(broadcast_bytes=-1, rows_per_piece=20)
@@ -103,3 +104,31 @@ def test_shuffle_files_go_when_a_table_is_stored(spark, tmp_path):
     assert spark.read.parquet(str(Path(tmp_path) / "t")).count() == 10
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true" and not tables._HELD
+
+
+def test_tables_that_nothing_reads_any_more_are_deleted(spark, raw, tmp_path):
+    dw = Warehouse(spark, raw).build()
+    kept = {p.name for p in Path(dw.scratch.path).iterdir()}
+    assert not kept & {"clientes-judged", "clientes-later", "creditos-later", "pagos-later"}
+    assert {"clientes", "creditos-judged", "pagos-judged", "creditos", "pagos"} <= kept
+    scratch, source = Scratch(spark), str(tmp_path / "in")
+    spark.createDataFrame([("a",), ("b",)], "k string").write.option("header", True).csv(source)
+    landed = land(read_csv(spark, source), str(tmp_path / "raw_x"), scratch)
+    assert not [p for p in Path(scratch.path).iterdir()] and landed.df.count() == 2
+
+
+def test_payments_are_put_in_order_as_numbers(spark, tmp_path):
+    """Texts are made of the sorted rows: numbers take less room on the way."""
+    spark.createDataFrame([(5, 1, 1, 9, 2.0, "A", "F", "1996-01-02"), (4, 1, 2, 9, 1.0, "N", "O", "1996-01-02"),
+                           (6, None, 1, 7, 1.0, "R", "F", "1996-01-01"), (7, 0, 1, 7, 1.0, "R", "F", None)],
+                          "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, l_extendedprice double, "
+                          "l_returnflag string, l_linestatus string, l_shipdate string"
+                          ).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for name in ("customer", "nation", "orders"):
+        spark.read.parquet(str(TESTDATA / "sf0.001" / f"{name}.parquet")).write.parquet(str(tmp_path / f"{name}.parquet"))
+    paid = fixtures.raw_entities(spark, str(tmp_path), in_order=True)["pagos"]
+    assert [r.pago_id for r in paid.collect()] == ["P6-1", "P7-1", "P4-2", "P5-1"]
+    text = paid._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("concat(") < text.index("RepartitionByExpression [l_partkey")
+    plain = fixtures.raw_entities(spark, str(tmp_path))["pagos"]
+    assert sorted(map(str, paid.collect())) == sorted(map(str, plain.collect()))
